@@ -1,0 +1,2 @@
+"""Intentionally empty: the reproduced workload is batch only (no stream source,
+watermark or state), so there is no streaming operator to offer."""

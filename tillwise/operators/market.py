@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import exact
+from ..functions import calendar, exact
 from ..functions.joins import null_safe_join
 from . import quantiles
 
@@ -85,6 +85,20 @@ def price_by_level(listings: DataFrame, price: str, attributes: Sequence[str]) -
     )
 
 
+def reviews_by_market(reviews: DataFrame, listings: DataFrame, by: str, ts: str = "created_at") -> DataFrame:
+    """Reviews per market and month.
+
+    Reviews are folded per listing and month first, so a much-reviewed listing reaches the
+    join as one row a month.
+    """
+    folded = reviews.groupBy("listing_id", *calendar.year_month(F.col(ts))).agg(exact.rows().alias("n"))
+    return (
+        folded.join(listings.select("listing_id", by), "listing_id")
+        .groupBy(by, "year_", "month_")
+        .agg(F.sum("n").alias("reviews"))
+    )
+
+
 def best_value(listings: DataFrame, reviews: DataFrame, by: str, price: str, width: int = 100) -> DataFrame:
     """Markets ranked by reviews per listing for each 1,000 of median price.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import shop, web  # noqa: F401
+from . import checks, declared, shop, web  # noqa: F401
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY"]

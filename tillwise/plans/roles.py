@@ -189,10 +189,8 @@ class Roles:
 
     @cached_property
     def rates(self) -> DataFrame:
-        raw = self.spark.createDataFrame(list(RATES), "currency string, rate string, taken_on string")
-        return raw.select(
-            "currency", F.col("rate").cast("decimal(10,4)").alias("rate"), F.col("taken_on").cast("date").alias("taken_on")
-        )
+        rows = ", ".join(f"('{c}', {rate}BD, DATE '{day}')" for c, rate, day in RATES)
+        return self.spark.sql(f"SELECT * FROM VALUES {rows} AS rates(currency, rate, taken_on)")
 
     @cached_property
     def listings(self) -> DataFrame:

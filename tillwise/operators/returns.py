@@ -218,9 +218,9 @@ def net_revenue(items: DataFrame, refunds: DataFrame) -> DataFrame:
     )
 
 
-def refund_cost_share(facts: DataFrame, products: DataFrame) -> DataFrame:
-    """Each product's share of the money refunded."""
-    all_refunds = facts.agg(F.sum("refund_amount_usd")).scalar()
+def refund_cost_share(facts: DataFrame, refunds: DataFrame, products: DataFrame) -> DataFrame:
+    """Each product's share of the money refunded, the total being taken from the refund table."""
+    all_refunds = refunds.agg(F.sum("refund_amount_usd")).scalar()
     t = refund_counts(facts, products)
     return t.select(
         "product_name",

@@ -104,7 +104,7 @@ def revenue_metrics(sessions: DataFrame, orders: DataFrame, period: Sequence[Col
 
 def device_overall(sessions: DataFrame, orders: DataFrame) -> DataFrame:
     t = totals(join_orders(sessions, orders), "device_type")
-    all_sessions = sessions.agg(exact.rows()).scalar()
+    all_sessions = F.sum("sessions").over(Window.partitionBy())
     return t.select(
         "device_type",
         "sessions",
@@ -201,8 +201,10 @@ def campaign_date_ranges(sessions: DataFrame) -> DataFrame:
 
 
 def repeat_vs_first_time(sessions: DataFrame, orders: DataFrame) -> DataFrame:
+    """The join keeps every session once, so the two groups add up to all sessions; revenue
+    is set against the order table itself, whatever sessions its orders belong to."""
     t = totals(join_orders(sessions, orders), "is_repeat_session")
-    all_sessions = sessions.agg(exact.rows()).scalar()
+    all_sessions = F.sum("sessions").over(Window.partitionBy())
     all_revenue = orders.agg(F.sum("price_usd")).scalar()
     return t.select(
         "is_repeat_session",

@@ -8,16 +8,24 @@ from pyspark.sql import functions as F
 from ..functions import calendar, exact
 
 
+def _tier_total(c: str) -> Column:
+    """A total over the tiers of a frequency table.
+
+    Such a table is short, since n rows have at most about sqrt(2 n) different counts per
+    user: the total fits one task and saves a second pass over the raw rows.
+    """
+    return F.sum(c).over(Window.partitionBy())
+
+
 def sessions_per_user(sessions: DataFrame, user: str = "user_id") -> DataFrame:
     """How many users had 1, 2, 3 … sessions."""
     per_user = sessions.groupBy(user).agg(exact.rows().alias("sessions_per_user"))
-    users = per_user.where(F.col(user).isNotNull()).agg(exact.rows()).scalar()
-    return (
-        per_user.groupBy("sessions_per_user")
-        .agg(exact.rows().alias("users"))
-        .withColumn("pct_of_users", exact.percent(F.col("users"), users, 2))
-        .orderBy("sessions_per_user")
-    )
+    tiers = per_user.groupBy("sessions_per_user").agg(exact.rows().alias("users"), F.count(user).alias("known"))
+    return tiers.select(
+        "sessions_per_user",
+        "users",
+        exact.percent(F.col("users"), _tier_total("known"), 2).alias("pct_of_users"),
+    ).orderBy("sessions_per_user")
 
 
 def orders_per_customer(orders: DataFrame, user: str = "user_id") -> DataFrame:
@@ -25,17 +33,17 @@ def orders_per_customer(orders: DataFrame, user: str = "user_id") -> DataFrame:
     per_user = orders.groupBy(user).agg(
         exact.rows().alias("orders_per_user"), F.sum("price_usd").alias("user_revenue")
     )
-    customers = per_user.where(F.col(user).isNotNull()).agg(exact.rows()).scalar()
-    revenue = orders.agg(F.sum("price_usd")).scalar()
     tiers = per_user.groupBy("orders_per_user").agg(
-        exact.rows().alias("customers"), F.sum("user_revenue").alias("revenue")
+        exact.rows().alias("customers"),
+        F.count(user).alias("known"),
+        F.sum("user_revenue").alias("revenue"),
     )
     return tiers.select(
         "orders_per_user",
         "customers",
-        exact.percent(F.col("customers"), customers, 2).alias("pct_of_customers"),
+        exact.percent(F.col("customers"), _tier_total("known"), 2).alias("pct_of_customers"),
         "revenue",
-        exact.money_percent(F.col("revenue"), revenue, 1).alias("pct_of_revenue"),
+        exact.money_percent(F.col("revenue"), _tier_total("revenue"), 1).alias("pct_of_revenue"),
     ).orderBy("orders_per_user")
 
 

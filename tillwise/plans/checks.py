@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exact
-from ..operators import funnel, quality, returns, sessions, users
+from ..operators import funnel, quality, sessions, users
 from ..sources import csv, layout
 from .oracle import ORDERS, REVENUE, SESSIONS, big, cents, dollars, label, per_unit, percent, sql
 from .registry import query
-from .roles import ITEM_KEY
 
 _SIZED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -81,7 +80,7 @@ _REFERENCES = (
     ("lineitem", "l_orderkey", "orders", "o_orderkey"),
     ("lineitem", "l_partkey", "part", "p_partkey"),
     ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
-    ("events", "event_id", "orders", "o_orderkey"),
+    ("events", "user_id", "customer", "c_custkey"),
 )
 
 
@@ -222,11 +221,10 @@ def _(r):
     ),
 )
 def _(r):
-    facts = returns.with_refunds(r.items, r.refunds, ITEM_KEY)
     return quality.simulation_signals(
         sessions.repeat_share(r.web_sessions),
         users.sessions_per_user(r.web_sessions),
-        facts.where(F.col("refunded") == 1),
+        r.item_facts.where(F.col("refunded") == 1),
     )
 
 

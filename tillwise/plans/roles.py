@@ -169,6 +169,24 @@ class Roles:
             exact.money(F.col("l_extendedprice")).alias("refund_amount_usd"),
         )
 
+    @cached_property
+    def item_facts(self) -> DataFrame:
+        """Items with their refund beside them.
+
+        The line carries its return flag, so where refunds need not be a table of their own
+        this is what ``returns.with_refunds`` gives, without the join.
+        """
+        returned = F.col("l_returnflag") == "R"
+        price = exact.money(F.col("l_extendedprice"))
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"),
+            (F.col("l_linenumber") == 1).cast("int").alias("is_primary_item"),
+            price.alias("price_usd"),
+            F.when(returned, 1).alias("refunded"),
+            F.when(returned, price).alias("refund_amount_usd"),
+        )
+
     @cached_property
     def products(self) -> DataFrame:
         """Named by brand; brand number n launched 80 n days after 1 June 1995."""

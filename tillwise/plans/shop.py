@@ -19,6 +19,7 @@ def _months():
 
 
 def _facts(r):
+    """Items joined to the refund table, as when the two are separate tables."""
     return returns.with_refunds(r.items, r.refunds, ITEM_KEY)
 
 
@@ -162,7 +163,7 @@ def _(r):
     sql(f"SELECT product_name, is_primary_item, {_SOLD} FROM items GROUP BY 1, 2", "items"),
 )
 def _(r):
-    return returns.refund_by_item_role(_facts(r), r.products)
+    return returns.refund_by_item_role(r.item_facts, r.products)
 
 
 @query(
@@ -174,7 +175,7 @@ def _(r):
 )
 def _(r):
     since = F.lit("1998-09-01").cast("timestamp_ntz")
-    return returns.refund_by_item_role_since(_facts(r), r.orders, r.products, since)
+    return returns.refund_by_item_role_since(r.item_facts, r.orders, r.products, since)
 
 
 @query(
@@ -208,7 +209,7 @@ _EXCESS = "CAST(fr AS HUGEINT) * bs - CAST(br AS HUGEINT) * fs"
 def _monthly_with_value(r):
     """Product-months with the product's mean item price beside them, from one pass over the items."""
     month = calendar.month_label(F.col("ordered_at")).alias("order_month")
-    t = returns.refund_counts(returns.with_order_time(_facts(r), r.orders), r.products_by_type, month)
+    t = returns.refund_counts(returns.with_order_time(r.item_facts, r.orders), r.products_by_type, month)
     months = Window.partitionBy("product_name")
     unit = exact.per_unit(F.sum("revenue").over(months), F.sum("items_sold").over(months))
     return t.withColumn("unit", unit)
@@ -241,7 +242,7 @@ def _(r):
 )
 def _(r):
     month = calendar.month_label(F.col("ordered_at")).alias("order_month")
-    t = returns.refund_counts(returns.with_order_time(_facts(r), r.orders), r.products_by_type, month)
+    t = returns.refund_counts(returns.with_order_time(r.item_facts, r.orders), r.products_by_type, month)
     return returns.peer_check(t, F.col("order_month").isin("1998-08", "1998-09"), moved_at=1.1)
 
 
@@ -256,7 +257,7 @@ def _(r):
     ),
 )
 def _(r):
-    return returns.gap_by_role(returns.refund_by_item_role(_facts(r), r.products))
+    return returns.gap_by_role(returns.refund_by_item_role(r.item_facts, r.products))
 
 
 @query(
@@ -280,7 +281,7 @@ def _(r):
     ),
 )
 def _(r):
-    return returns.refund_cost_share(_facts(r), r.products)
+    return returns.refund_cost_share(r.item_facts, r.refunds, r.products)
 
 
 # --- decompositions ----------------------------------------------------------------

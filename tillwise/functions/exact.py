@@ -26,6 +26,23 @@ def cents(amount: Column) -> Column:
     return (amount.cast("decimal(30,2)") * F.lit(100)).cast("decimal(32,0)")
 
 
+def sum_cents(amount: Column | str) -> Column:
+    """The exact sum of a price column, in whole cents (BIGINT).
+
+    A price is at most some billions, so its double is within half a cent of one whole
+    number of cents whether it was stored as DECIMAL or DOUBLE; whole cents then add without
+    error.  Long sums also stay in fixed-width aggregation buffers, where a wide decimal
+    would be rebuilt as an object for every row.  An overflow is an error, not a wrap.
+    """
+    col = F.col(amount) if isinstance(amount, str) else amount
+    return F.sum(F.rint(col.cast("double") * 100).cast("bigint"))
+
+
+def from_cents(whole: Column) -> Column:
+    """Whole cents back to money."""
+    return (whole.cast("decimal(19,0)") * F.lit(Decimal("0.01"))).cast("decimal(21,2)")
+
+
 def rows() -> Column:
     return F.count(F.lit(1))
 

@@ -64,7 +64,7 @@ def funnel_steps(wide: DataFrame, steps: Sequence[Step] = CHECKOUT_STEPS) -> Dat
 def abandoned_value(steps: DataFrame, orders: DataFrame, value: str = "price_usd") -> DataFrame:
     """Sessions lost at each step times the average order value (rounded to cents)."""
     aov = (
-        orders.agg(F.sum(value).alias("revenue"), exact.rows().alias("orders"))
+        orders.agg(exact.from_cents(exact.sum_cents(value)).alias("revenue"), exact.rows().alias("orders"))
         .select(exact.per_unit(F.col("revenue"), F.col("orders")))
         .scalar()
     )

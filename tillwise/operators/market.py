@@ -36,7 +36,7 @@ def market_comparison(listings: DataFrame, by: str, price: str, width: int = 100
     level = listings.groupBy(by).agg(
         exact.rows().alias("listings"),
         F.count(price).alias("priced"),
-        F.sum(price).alias("total"),
+        exact.from_cents(exact.sum_cents(price)).alias("total"),
     )
     q = quantiles.quantiles(
         listings, [by], price, {"q1": "0.25", "median_price": "0.5", "q3": "0.75"}, width
@@ -68,7 +68,7 @@ def price_by_level(listings: DataFrame, price: str, attributes: Sequence[str]) -
     t = (
         listings.select(price, F.inline(levels))
         .groupBy("attribute", "level")
-        .agg(exact.rows().alias("listings"), F.sum(price).alias("total"))
+        .agg(exact.rows().alias("listings"), exact.from_cents(exact.sum_cents(price)).alias("total"))
     )
     everything = Window.partitionBy("attribute")
     all_total = exact.cents(F.sum("total").over(everything)).cast("decimal(20,0)")

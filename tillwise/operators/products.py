@@ -15,7 +15,7 @@ def items_per_order(orders: DataFrame, period: Sequence[Column]) -> DataFrame:
     t = orders.groupBy(*period).agg(
         exact.rows().alias("orders"),
         F.sum("items_purchased").alias("items"),
-        F.sum("price_usd").alias("revenue"),
+        exact.from_cents(exact.sum_cents("price_usd")).alias("revenue"),
     )
     return t.select(
         *t.columns[: len(period)],
@@ -94,13 +94,13 @@ def launch_windows(orders: DataFrame, launched: DataFrame, days: int = 90) -> Da
     condition becomes an equi-join.  A window without orders keeps its row, with zero orders.
     """
     daily = orders.groupBy(F.col("created_at").cast("date").alias("day")).agg(
-        exact.rows().alias("n"), F.sum("items_purchased").alias("items"), F.sum("price_usd").alias("value")
+        exact.rows().alias("n"), F.sum("items_purchased").alias("items"), exact.sum_cents("price_usd").alias("value")
     )
     windows = _sides(launched, days).select("launch", "window_", _days(F.col("from_day"), days).alias("day"))
     t = windows.join(daily, "day", "left").groupBy("launch", "window_").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("orders"),
         F.sum("items").alias("items"),
-        F.sum("value").alias("revenue"),
+        exact.from_cents(F.sum("value")).alias("revenue"),
     )
     return t.select(
         "launch",

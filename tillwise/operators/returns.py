@@ -38,16 +38,16 @@ def refund_counts(facts: DataFrame, products: DataFrame, *by: Column | str) -> D
     by_id = facts.groupBy("product_id", *by).agg(
         exact.rows().alias("n"),
         F.count("refunded").alias("r"),
-        F.sum("price_usd").alias("v"),
-        F.sum("refund_amount_usd").alias("rv"),
+        exact.sum_cents("price_usd").alias("v"),
+        exact.sum_cents("refund_amount_usd").alias("rv"),
     )
     keys = by_id.columns[1:-4]
     named = by_id.join(products.select("product_id", "product_name"), "product_id", "left")
     return named.groupBy("product_name", *keys).agg(
         F.sum("n").alias("items_sold"),
         F.sum("r").alias("items_refunded"),
-        F.sum("v").alias("revenue"),
-        F.sum("rv").alias("refunded_value"),
+        exact.from_cents(F.sum("v")).alias("revenue"),
+        exact.from_cents(F.sum("rv")).alias("refunded_value"),
     )
 
 
@@ -209,8 +209,8 @@ def gap_by_role(by_role: DataFrame) -> DataFrame:
 
 def net_revenue(items: DataFrame, refunds: DataFrame) -> DataFrame:
     """Gross, refunded and net money.  Everywhere else revenue is gross."""
-    refunded = refunds.agg(F.sum("refund_amount_usd")).scalar()
-    gross = items.agg(F.sum("price_usd").alias("gross_revenue"))
+    refunded = refunds.agg(exact.from_cents(exact.sum_cents("refund_amount_usd"))).scalar()
+    gross = items.agg(exact.from_cents(exact.sum_cents("price_usd")).alias("gross_revenue"))
     return gross.select("gross_revenue", F.coalesce(refunded, F.lit(0)).alias("refunded_value")).withColumn(
         "net_revenue", F.col("gross_revenue") - F.col("refunded_value")
     ).withColumn(
@@ -220,7 +220,7 @@ def net_revenue(items: DataFrame, refunds: DataFrame) -> DataFrame:
 
 def refund_cost_share(facts: DataFrame, refunds: DataFrame, products: DataFrame) -> DataFrame:
     """Each product's share of the money refunded, the total being taken from the refund table."""
-    all_refunds = refunds.agg(F.sum("refund_amount_usd")).scalar()
+    all_refunds = refunds.agg(exact.from_cents(exact.sum_cents("refund_amount_usd"))).scalar()
     t = refund_counts(facts, products)
     return t.select(
         "product_name",

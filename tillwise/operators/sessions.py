@@ -22,7 +22,7 @@ KEY = "website_session_id"
 
 def join_orders(sessions: DataFrame, orders: DataFrame, key: str = KEY, value: str = "price_usd") -> DataFrame:
     per_session = orders.groupBy(key).agg(
-        exact.rows().alias("session_orders"), F.sum(value).alias("session_revenue")
+        exact.rows().alias("session_orders"), exact.sum_cents(value).alias("session_cents")
     )
     return sessions.join(per_session, key, "left")
 
@@ -33,7 +33,7 @@ def totals(joined: DataFrame, *by: Column | str) -> DataFrame:
         exact.rows().alias("sessions"),
         F.coalesce(F.sum("session_orders"), F.lit(0)).alias("orders"),
         F.count("session_orders").alias("converted"),
-        F.sum("session_revenue").alias("revenue"),
+        exact.from_cents(F.sum("session_cents")).alias("revenue"),
     )
 
 
@@ -205,7 +205,7 @@ def repeat_vs_first_time(sessions: DataFrame, orders: DataFrame) -> DataFrame:
     is set against the order table itself, whatever sessions its orders belong to."""
     t = totals(join_orders(sessions, orders), "is_repeat_session")
     all_sessions = F.sum("sessions").over(Window.partitionBy())
-    all_revenue = orders.agg(F.sum("price_usd")).scalar()
+    all_revenue = orders.agg(exact.from_cents(exact.sum_cents("price_usd"))).scalar()
     return t.select(
         "is_repeat_session",
         "sessions",

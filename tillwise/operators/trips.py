@@ -29,8 +29,10 @@ def average_trips_per_week(trips: DataFrame, ts: str = "picked_up_at") -> DataFr
 
 
 def average_distance(trips: DataFrame, period: Column, distance: str = "distance") -> DataFrame:
-    """Mean distance (a two-place decimal) per trip and period."""
-    t = trips.groupBy(period).agg(exact.rows().alias("trips"), F.sum(distance).alias("total"))
+    """Mean distance per trip and period; distances are recorded to a hundredth."""
+    t = trips.groupBy(period).agg(
+        exact.rows().alias("trips"), exact.from_cents(exact.sum_cents(distance)).alias("total")
+    )
     return t.select(
         t.columns[0], "trips", exact.per_unit(F.col("total"), F.col("trips")).alias("avg_distance")
     )

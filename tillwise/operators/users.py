@@ -31,12 +31,12 @@ def sessions_per_user(sessions: DataFrame, user: str = "user_id") -> DataFrame:
 def orders_per_customer(orders: DataFrame, user: str = "user_id") -> DataFrame:
     """How many customers placed 1, 2, 3 … orders, and the revenue of each tier."""
     per_user = orders.groupBy(user).agg(
-        exact.rows().alias("orders_per_user"), F.sum("price_usd").alias("user_revenue")
+        exact.rows().alias("orders_per_user"), exact.sum_cents("price_usd").alias("user_cents")
     )
     tiers = per_user.groupBy("orders_per_user").agg(
         exact.rows().alias("customers"),
         F.count(user).alias("known"),
-        F.sum("user_revenue").alias("revenue"),
+        exact.from_cents(F.sum("user_cents")).alias("revenue"),
     )
     return tiers.select(
         "orders_per_user",

@@ -269,4 +269,4 @@ def _(r):
     path = layout.scratch_path(r.spark, "orders-by-month")
     layout.write_by_month(r.orders, path, "created_at", ("created_at", "order_id"))
     laid_out = r.spark.read.parquet(path)
-    return laid_out.groupBy("year_", "month_").agg(exact.rows().alias("orders"), F.sum("price_usd").alias("revenue"))
+    return laid_out.groupBy("year_", "month_").agg(exact.rows().alias("orders"), exact.from_cents(exact.sum_cents("price_usd")).alias("revenue"))

@@ -55,7 +55,7 @@ def _normalised(r):
 def _(r):
     t = _normalised(r).groupBy("city", "currency").agg(
         exact.rows().alias("listings"),
-        F.sum("base_price").alias("total_base_price"),
+        exact.from_cents(exact.sum_cents("base_price")).alias("total_base_price"),
         F.count("base_price").alias("priced"),
     )
     avg = exact.per_unit(F.col("total_base_price"), F.col("priced"))
@@ -284,7 +284,7 @@ def _(r):
 
 def _monthly_orders(r):
     return r.orders.groupBy("priority", *_months()).agg(
-        exact.rows().alias("orders"), F.sum("price_usd").alias("revenue")
+        exact.rows().alias("orders"), exact.from_cents(exact.sum_cents("price_usd")).alias("revenue")
     )
 
 
@@ -343,7 +343,7 @@ _DAY_REVENUE = dollars(f"coalesce(sum({cents('o_totalprice')}), 0)")
 )
 def _(r):
     daily = r.orders.groupBy(F.col("created_at").cast("date").alias("day")).agg(
-        exact.rows().alias("orders"), F.sum("price_usd").alias("revenue")
+        exact.rows().alias("orders"), exact.from_cents(exact.sum_cents("price_usd")).alias("revenue")
     )
     bounds = daily.agg(F.min("day").alias("first"), F.max("day").alias("last"))
     return series.zero_filled(daily, calendar.spine(bounds, "first", "last", "1 day", "day"), "day", ["orders", "revenue"])
@@ -360,7 +360,7 @@ def _(r):
     ),
 )
 def _(r):
-    revenue = r.items.groupBy("product_id").agg(F.sum("price_usd").alias("revenue"))
+    revenue = r.items.groupBy("product_id").agg(exact.from_cents(exact.sum_cents("price_usd")).alias("revenue"))
     named = revenue.join(r.products.select("product_id", "product_type"), "product_id")
     return series.top_in_group(named, ["product_type"], [F.desc("revenue")], ["product_id"], 3)
 
@@ -382,7 +382,7 @@ def _(r):
     return kept.groupBy("l_returnflag").agg(
         exact.rows().alias("rows_kept"),
         F.sum("l_partkey").alias("partkeys"),
-        F.sum(exact.money(F.col("l_extendedprice"))).alias("value"),
+        exact.from_cents(exact.sum_cents("l_extendedprice")).alias("value"),
     )
 
 

@@ -100,7 +100,7 @@ class Roles:
             F.col("ts").alias("created_at"),
             _session_id(),
             "user_id",
-            exact.money(F.col("value")).alias("price_usd"),
+            F.col("value").alias("price_usd"),
         )
 
     # --- visits --------------------------------------------------------------
@@ -120,7 +120,7 @@ class Roles:
     def visit_orders(self) -> DataFrame:
         return self.table("lineitem").where(F.col("l_linenumber") == 1).select(
             F.col("l_orderkey").alias("website_session_id"),
-            exact.money(F.col("l_extendedprice")).alias("price_usd"),
+            F.col("l_extendedprice").alias("price_usd"),
         )
 
     # --- shop ----------------------------------------------------------------
@@ -132,7 +132,7 @@ class Roles:
             F.col("o_orderdate").alias("created_at"),
             F.col("o_custkey").alias("user_id"),
             F.col("o_orderpriority").alias("priority"),
-            exact.money(F.col("o_totalprice")).alias("price_usd"),
+            F.col("o_totalprice").alias("price_usd"),
         )
 
     @cached_property
@@ -158,7 +158,7 @@ class Roles:
         return self.table("lineitem").select(
             *self._item_key(),
             (F.col("l_linenumber") == 1).cast("int").alias("is_primary_item"),
-            exact.money(F.col("l_extendedprice")).alias("price_usd"),
+            F.col("l_extendedprice").alias("price_usd"),
         )
 
     @cached_property
@@ -166,7 +166,7 @@ class Roles:
         return self.table("lineitem").where(F.col("l_returnflag") == "R").select(
             *self._item_key(),
             F.col("l_shipdate").alias("created_at"),
-            exact.money(F.col("l_extendedprice")).alias("refund_amount_usd"),
+            F.col("l_extendedprice").alias("refund_amount_usd"),
         )
 
     @cached_property
@@ -177,7 +177,7 @@ class Roles:
         this is what ``returns.with_refunds`` gives, without the join.
         """
         returned = F.col("l_returnflag") == "R"
-        price = exact.money(F.col("l_extendedprice"))
+        price = F.col("l_extendedprice")
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
@@ -245,7 +245,7 @@ class Roles:
             F.col("l_orderkey").alias("order_id"),
             F.col("l_suppkey").alias("supplier_id"),
             F.col("l_shipdate").alias("picked_up_at"),
-            exact.money(F.col("l_quantity")).alias("distance"),
+            F.col("l_quantity").alias("distance"),
         )
 
     @cached_property

@@ -184,12 +184,12 @@ def simulation_signals(repeat_share: DataFrame, frequency: DataFrame, refunds: D
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
     """Keep one row per key: the newest, ties settled by the remaining columns.
 
-    A maximum over a struct combines map-side, so one key with most of the rows is not
-    sorted in one task as a row number over the key would be.
+    Asking for the first row number only lets Spark cut each key to one row per task before
+    the shuffle, so a key that holds most of the rows does not end up in one task.
     """
     rest = [c for c in df.columns if c not in keys and c not in newest]
-    kept = F.max(F.struct(*newest, *rest)).alias("kept")
-    return df.groupBy(*keys).agg(kept).select(*keys, "kept.*")
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in (*newest, *rest)])
+    return df.withColumn("__nth", F.row_number().over(newest_first)).where("__nth = 1").drop("__nth")
 
 
 def run(

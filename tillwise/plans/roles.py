@@ -44,9 +44,12 @@ def _device(user: str) -> Column:
 class Roles:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return tables.parquet(self.spark, self.folder, name)
+        if name not in self._tables:
+            self._tables[name] = tables.parquet(self.spark, self.folder, name)
+        return self._tables[name]
 
     # --- web -----------------------------------------------------------------
 

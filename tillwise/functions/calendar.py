@@ -49,7 +49,7 @@ def until_day_of_years(ts: Column, month: int, day: int, years: Iterable[int]) -
 
 
 def retail_year_start(year: Column) -> Column:
-    """The Sunday nearest to 31 January: the first Sunday after 28 January."""
+    """The day after the Saturday nearest to 31 January: the first Sunday after 28 January."""
     return F.next_day(F.make_date(year, F.lit(1), F.lit(28)), "Sun")
 
 

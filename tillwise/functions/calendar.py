@@ -32,6 +32,12 @@ def week_start(ts: Column) -> Column:
     return F.trunc(ts.cast("date"), "week")
 
 
+def time_of_day(ts: Column) -> Column:
+    """Night, morning, afternoon or evening, six hours each from midnight."""
+    names = F.array(*[F.lit(n) for n in ("night", "morning", "afternoon", "evening")])
+    return F.element_at(names, F.floor(F.hour(ts) / 6).cast("int") + 1)
+
+
 def until_day_of_year(ts: Column, month: int, day: int) -> Column:
     """Like-for-like window: 1 January to the given day, inclusive, every year."""
     return F.month(ts) * 100 + F.dayofmonth(ts) <= F.lit(month * 100 + day)

@@ -44,6 +44,14 @@ def busiest_times(events: DataFrame, ts: str) -> DataFrame:
     return t.withColumn("busy_rank", F.rank().over(Window.partitionBy().orderBy(F.desc("n"))))
 
 
+def volume_by_time_of_day(events: DataFrame, ts: str) -> DataFrame:
+    """Volume by part of the day, weekdays and weekends apart."""
+    weekend = F.when(F.weekday(ts) >= 5, "weekend").otherwise("weekday")
+    return events.groupBy(
+        weekend.alias("day_kind"), calendar.time_of_day(F.col(ts)).alias("time_of_day")
+    ).agg(exact.rows().alias("n"))
+
+
 def place_pairs(trips: DataFrame) -> DataFrame:
     """Trips per (pick-up, drop-off) zone pair: the fold that every place report starts from."""
     return trips.groupBy("pickup_zone_id", "dropoff_zone_id").agg(exact.rows().alias("trips"))

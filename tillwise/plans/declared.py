@@ -207,6 +207,18 @@ def _(r):
     return trips.busiest_times(r.table("events"), "ts")
 
 
+@query(
+    "time_of_day_volume",
+    sql(
+        "SELECT CASE WHEN isodow(ts) >= 6 THEN 'weekend' ELSE 'weekday' END AS day_kind, "
+        "CASE WHEN hour(ts) < 6 THEN 'night' WHEN hour(ts) < 12 THEN 'morning' WHEN hour(ts) < 18 THEN 'afternoon' ELSE 'evening' END AS time_of_day, "
+        "count(*) AS n FROM events GROUP BY 1, 2"
+    ),
+)
+def _(r):
+    return trips.volume_by_time_of_day(r.table("events"), "ts")
+
+
 def _popular(role: str) -> str:
     return sql(
         f"SELECT n_name AS zone, count(*) AS trips FROM trips JOIN nation ON n_nationkey = {role}_zone_id "

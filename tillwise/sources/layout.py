@@ -14,16 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_by_month(df: DataFrame, path: str, ts: str, sort_by: tuple[str, ...] = ()) -> None:
+def write_by_month(
+    df: DataFrame, path: str, ts: str, sort_by: tuple[str, ...] = (), partitions: int | None = None
+) -> None:
     """Write Parquet partitioned by year and month of ``ts``.
 
+    ``partitions`` is the number of range partitions (the session's shuffle partitions if
+    not given).
+
     Range partitioning on the timestamp keeps a month in few files yet still splits
     a month that holds most of the rows, because the timestamp itself is the range key.
     """
     keyed = df.withColumn("year_", F.year(ts)).withColumn("month_", F.month(ts))
     order = [F.col("year_"), F.col("month_"), *[F.col(c) for c in (sort_by or (ts,))]]
+    ranges = [F.col(ts), *[F.col(c) for c in sort_by if c != ts]]
     (
-        keyed.repartitionByRange(F.col(ts), *[F.col(c) for c in sort_by if c != ts])
+        keyed.repartitionByRange(*([partitions] if partitions else []), *ranges)
         .sortWithinPartitions(*order)
         .write.mode("errorifexists")
         .partitionBy("year_", "month_")

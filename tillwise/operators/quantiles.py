@@ -1,9 +1,10 @@
 """Exact quantiles per group that no single task has to hold.
 
 ``percentile`` keeps every distinct value of a group in one buffer and
-``percentile_approx`` is not exact.  Here values are folded to (group, value, count), the
-groups are cut into value buckets of a fixed width, and a running count over the buckets
-places every value: a window covers one bucket, or the list of buckets, never a group.
+``percentile_approx`` is not exact.  Here values are folded to (group, value, count) and cut
+into value buckets of a fixed width.  A running count over a group's buckets finds the few
+buckets that hold the wanted ranks, and only their values are ordered: a window covers one
+bucket, or the list of buckets, never a group.
 """
 
 from __future__ import annotations
@@ -32,34 +33,33 @@ def quantiles(
         .agg(exact.rows().alias("n"))
         .withColumn("bucket", F.floor(F.col(value) / F.lit(width)))
     )
-    per_bucket = counts.groupBy(*keys, "bucket").agg(F.sum("n").alias("bucket_n"))
-    earlier = (
-        Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        counts.groupBy(*keys, "bucket")
+        .agg(F.sum("n").alias("bucket_n"))
+        .withColumn("rows_before", F.coalesce(F.sum("bucket_n").over(earlier), F.lit(0)))
+        .withColumn("rows_total", F.sum("bucket_n").over(group))
     )
-    placed = per_bucket.select(
-        *keys,
-        "bucket",
-        F.coalesce(F.sum("bucket_n").over(earlier), F.lit(0)).alias("rows_before"),
-        F.sum("bucket_n").over(Window.partitionBy(*keys)).alias("rows_total"),
-    )
-    within = (
-        Window.partitionBy(*keys, "bucket")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def needed(p: str) -> Column:
+        return F.ceil(F.lit(Decimal(p)) * F.col("rows_total").cast("decimal(20,0)"))
+
+    hit = F.lit(False)
+    for p in probs.values():
+        hit = hit | needed(p).between(F.col("rows_before") + 1, F.col("rows_before") + F.col("bucket_n"))
+    wanted = placed.where(hit).select(*keys, "bucket", "rows_before", "rows_total")
+    so_far = (
+        Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = counts.withColumn("so_far", F.sum("n").over(within))
-    joined = null_safe_join(running, placed, [*keys, "bucket"]).select(
-        *keys,
-        value,
-        (F.col("rows_before") + F.col("so_far")).alias("at_or_below"),
-        "rows_total",
+    ranked = null_safe_join(counts, wanted, [*keys, "bucket"]).withColumn(
+        "at_or_below", F.col("rows_before") + F.sum("n").over(so_far)
     )
 
     def pick(p: str) -> Column:
-        needed = F.ceil(F.lit(Decimal(p)) * F.col("rows_total").cast("decimal(20,0)"))
-        return F.min(F.when(F.col("at_or_below") >= needed, F.col(value)))
+        return F.min(F.when(F.col("at_or_below") >= needed(p), F.col(value)))
 
-    return joined.groupBy(*keys).agg(*[pick(p).alias(name) for name, p in probs.items()])
+    return ranked.groupBy(*keys).agg(*[pick(p).alias(name) for name, p in probs.items()])
 
 
 def iqr_fences(df: DataFrame, keys: Sequence[str], value: str, width: int, reach: str = "1.5") -> DataFrame:

@@ -116,6 +116,19 @@ def refunds_by_refund_date(
 # --- derived from the tables above -------------------------------------------
 
 
+def refund_month_pairs(refunds: DataFrame, orders: DataFrame) -> DataFrame:
+    """Refunds per (order month, refund month): at most the square of the months in the data."""
+    issued = refunds.select("order_id", F.col("created_at").alias("refunded_at"))
+    return (
+        with_order_time(issued, orders)
+        .groupBy(
+            calendar.month_label(F.col("ordered_at")).alias("order_month"),
+            calendar.month_label(F.col("refunded_at")).alias("refund_month"),
+        )
+        .agg(exact.rows().alias("n"))
+    )
+
+
 def event_vs_record_date(by_event: DataFrame, by_record: DataFrame) -> DataFrame:
     """The same refunds per month by order date and by refund date, side by side.
 

@@ -30,11 +30,13 @@ def period_over_period(series: DataFrame, keys: Sequence[str], order: Sequence[s
 
 
 def same_month_last_year(series: DataFrame, keys: Sequence[str], metric: str) -> DataFrame:
-    """Self-join on (year - 1, month): right even where a month is missing from the series."""
-    before = series.select(
-        *keys, (F.col("year_") + 1).alias("year_"), "month_", F.col(metric).alias("last_year")
-    )
-    return series.join(before, [*keys, "year_", "month_"], "left").withColumn(
+    """The value twelve months earlier and the ratio to it.
+
+    The frame is the range "one year before", not the row before, so a missing year gives
+    NULL; and the series is computed once, where a self-join would compute it twice.
+    """
+    year_before = Window.partitionBy(*keys, "month_").orderBy("year_").rangeBetween(-1, -1)
+    return series.withColumn("last_year", F.max(metric).over(year_before)).withColumn(
         "yoy_ratio", exact.ratio(F.col(metric), F.col("last_year"), 2)
     )
 

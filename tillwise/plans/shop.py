@@ -189,11 +189,12 @@ def _(r):
     ),
 )
 def _(r):
-    def by_month(df, ts):
-        return df.groupBy(calendar.month_label(F.col(ts)).alias("month")).agg(exact.rows().alias("n"))
+    pairs = returns.refund_month_pairs(r.refunds, r.orders)
 
-    by_order = by_month(returns.with_order_time(r.refunds.select("order_id"), r.orders), "ordered_at")
-    return returns.event_vs_record_date(by_order, by_month(r.refunds, "created_at"))
+    def by(column):
+        return pairs.groupBy(F.col(column).alias("month")).agg(F.sum("n").alias("n"))
+
+    return returns.event_vs_record_date(by("order_month"), by("refund_month"))
 
 
 _FLAGGED = "strftime(ordered_at, '%Y-%m') IN ('1998-08', '1998-09')"

@@ -18,9 +18,10 @@ def year_month(ts: Column) -> list[Column]:
     return [F.year(ts).alias("year_"), F.month(ts).alias("month_")]
 
 
-def month_label(ts: Column) -> Column:
-    """``2014-08``."""
-    return F.concat_ws("-", F.year(ts).cast("string"), F.lpad(F.month(ts).cast("string"), 2, "0"))
+def month_label(day: Column) -> Column:
+    """``2014-08`` from a date.  Group by ``month_start`` and label the groups: a date key is an
+    integer, a label is text to be built and hashed for every row."""
+    return F.substring(day.cast("string"), 1, 7)
 
 
 def month_start(ts: Column) -> Column:

@@ -1,8 +1,9 @@
 """Refund rates by product, role, order month and refund month.
 
 Refunds are folded to one row per item before they meet the items, so an item refunded
-twice still counts once as sold and its price once as revenue.  Items are then folded
-by product id before product names are joined, so a best-seller costs that join one row.
+twice still counts once as sold and its price once as revenue.  Where the fold shrinks them,
+items are folded by product id before product names are joined, so a best-seller costs that
+join one row.
 """
 
 from __future__ import annotations
@@ -30,25 +31,49 @@ def with_order_time(facts: DataFrame, orders: DataFrame) -> DataFrame:
     return facts.join(orders.select("order_id", F.col("created_at").alias("ordered_at")), "order_id")
 
 
-def refund_counts(facts: DataFrame, products: DataFrame, *by: Column | str) -> DataFrame:
-    """Items sold, items refunded, gross revenue and refunded value per product name (and ``by``).
-
-    An item whose product is unknown stays, under a NULL name.
-    """
-    by_id = facts.groupBy("product_id", *by).agg(
+def _counts() -> list[Column]:
+    return [
         exact.rows().alias("n"),
         F.count("refunded").alias("r"),
         exact.sum_cents("price_usd").alias("v"),
         exact.sum_cents("refund_amount_usd").alias("rv"),
+    ]
+
+
+def _named(counts: DataFrame) -> DataFrame:
+    keys = [c for c in counts.columns if c not in ("n", "r", "v", "rv")]
+    return counts.select(
+        *keys,
+        F.col("n").alias("items_sold"),
+        F.col("r").alias("items_refunded"),
+        exact.from_cents(F.col("v")).alias("revenue"),
+        exact.from_cents(F.col("rv")).alias("refunded_value"),
     )
-    keys = by_id.columns[1:-4]
-    named = by_id.join(products.select("product_id", "product_name"), "product_id", "left")
-    return named.groupBy("product_name", *keys).agg(
-        F.sum("n").alias("items_sold"),
-        F.sum("r").alias("items_refunded"),
-        exact.from_cents(F.sum("v")).alias("revenue"),
-        exact.from_cents(F.sum("rv")).alias("refunded_value"),
+
+
+def refund_counts(facts: DataFrame, products: DataFrame, *by: str) -> DataFrame:
+    """Items sold, items refunded, gross revenue and refunded value per product name (and ``by``).
+
+    An item whose product is unknown stays, under a NULL name.
+    """
+    names = products.select("product_id", "product_name")
+    by_id = facts.groupBy("product_id", *by).agg(*_counts())
+    sums = [F.sum(c).alias(c) for c in ("n", "r", "v", "rv")]
+    return _named(by_id.join(names, "product_id", "left").groupBy("product_name", *by).agg(*sums))
+
+
+def monthly_refund_counts(facts: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """``refund_counts`` by order month.
+
+    Product ids times months can be as many as the items, so a fold by id would not shrink
+    them: here names are joined first, and the fold by name and month does all the work.
+    """
+    month = calendar.month_start(F.col("ordered_at")).alias("month")
+    named = with_order_time(facts, orders).join(
+        products.select("product_id", "product_name"), "product_id", "left"
     )
+    t = _named(named.groupBy("product_name", month).agg(*_counts()))
+    return t.withColumn("order_month", calendar.month_label(F.col("month"))).drop("month")
 
 
 def _rate(scale: int = 2) -> Column:
@@ -66,8 +91,7 @@ def monthly_refund_rate(
     facts: DataFrame, orders: DataFrame, products: DataFrame, min_items: int = 100
 ) -> DataFrame:
     """By *order* month, leaving out product-months with too little volume for a rate."""
-    month = calendar.month_label(F.col("ordered_at")).alias("order_month")
-    t = refund_counts(with_order_time(facts, orders), products, month)
+    t = monthly_refund_counts(facts, orders, products)
     return (
         t.where(F.col("items_sold") >= min_items)
         .select("product_name", "order_month", "items_sold", "items_refunded", _rate())
@@ -102,12 +126,12 @@ def refunds_by_refund_date(
     sold = items.join(wanted, "product_id").select(*dict.fromkeys([*item_key, "order_id"]))
     issued = refunds.select(*item_key, F.col("created_at").alias("refunded_at"))
     lagged = with_order_time(issued.join(sold, list(item_key)), orders)
-    t = lagged.groupBy(calendar.month_label(F.col("refunded_at")).alias("refund_month")).agg(
+    t = lagged.groupBy(calendar.month_start(F.col("refunded_at")).alias("month")).agg(
         exact.rows().alias("refunds_issued"),
         F.sum(F.datediff("refunded_at", "ordered_at")).alias("days"),
     )
     return t.select(
-        "refund_month",
+        calendar.month_label(F.col("month")).alias("refund_month"),
         "refunds_issued",
         exact.ratio(F.col("days"), F.col("refunds_issued"), 1).alias("avg_days_to_refund"),
     ).orderBy("refund_month")
@@ -119,14 +143,19 @@ def refunds_by_refund_date(
 def refund_month_pairs(refunds: DataFrame, orders: DataFrame) -> DataFrame:
     """Refunds per (order month, refund month): at most the square of the months in the data."""
     issued = refunds.select("order_id", F.col("created_at").alias("refunded_at"))
-    return (
+    t = (
         with_order_time(issued, orders)
         .groupBy(
-            calendar.month_label(F.col("ordered_at")).alias("order_month"),
-            calendar.month_label(F.col("refunded_at")).alias("refund_month"),
+            calendar.month_start(F.col("ordered_at")).alias("ordered"),
+            calendar.month_start(F.col("refunded_at")).alias("refunded"),
         )
         .agg(exact.rows().alias("n"))
     )
+    return t.select(
+        calendar.month_label(F.col("ordered")).alias("order_month"),
+        calendar.month_label(F.col("refunded")).alias("refund_month"),
+        "n",
+    )
 
 
 def event_vs_record_date(by_event: DataFrame, by_record: DataFrame) -> DataFrame:

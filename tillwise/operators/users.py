@@ -105,7 +105,7 @@ def cohort_retention(orders: DataFrame, user: str = "user_id", ts: str = "create
     )
     size = F.max(F.when(F.col("months_since") == 0, F.col("users"))).over(Window.partitionBy("cohort"))
     return cells.withColumn("cohort_size", size).select(
-        F.substring(F.col("cohort").cast("string"), 1, 7).alias("cohort_month"),
+        calendar.month_label(F.col("cohort")).alias("cohort_month"),
         "months_since",
         "users",
         "cohort_size",

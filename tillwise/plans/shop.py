@@ -209,8 +209,7 @@ _EXCESS = "CAST(fr AS HUGEINT) * bs - CAST(br AS HUGEINT) * fs"
 
 def _monthly_with_value(r):
     """Product-months with the product's mean item price beside them, from one pass over the items."""
-    month = calendar.month_label(F.col("ordered_at")).alias("order_month")
-    t = returns.refund_counts(returns.with_order_time(r.item_facts, r.orders), r.products_by_type, month)
+    t = returns.monthly_refund_counts(r.item_facts, r.orders, r.products_by_type)
     months = Window.partitionBy("product_name")
     unit = exact.per_unit(F.sum("revenue").over(months), F.sum("items_sold").over(months))
     return t.withColumn("unit", unit)
@@ -242,8 +241,7 @@ def _(r):
     ),
 )
 def _(r):
-    month = calendar.month_label(F.col("ordered_at")).alias("order_month")
-    t = returns.refund_counts(returns.with_order_time(r.item_facts, r.orders), r.products_by_type, month)
+    t = returns.monthly_refund_counts(r.item_facts, r.orders, r.products_by_type)
     return returns.peer_check(t, F.col("order_month").isin("1998-08", "1998-09"), moved_at=1.1)
 
 

@@ -112,3 +112,18 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
 def test_scratch_paths_lie_in_the_shared_folder_and_differ(spark):
     a, b = layout.scratch_path(spark, "x"), layout.scratch_path(spark, "x")
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+
+
+class FakeSession:
+    """Only what ``scratch_path`` asks of a session."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_scratch_paths_without_a_shared_folder():
+    assert layout.scratch_path(FakeSession("spark://host:7077", "s3a://bucket/x/"), "t").startswith("s3a://bucket/x/t-")
+    assert layout.scratch_path(FakeSession("local[2]"), "t")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        layout.scratch_path(FakeSession("spark://host:7077"), "t")

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, oracle
+from . import decision_list, decontaminate, mixing, naive_bayes_svm, oracle, workers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers.reach(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,13 +28,25 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of each document, from the labels that are not held out."""
+    return naive_bayes_svm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of 150 % of all words, shared 3 : 1 : 2 among sources, takes of each document."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each document, the fixed rule and the learned rules' verdict."""
+    return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_decontamination, op7_source_mix)
+    f.__name__: f for f in (op3_decontamination, op4_quality_classifier, op7_source_mix, op10_quality_rules)
 }
 
 ORACLES: dict[str, str] = {"op3_decontamination": oracle.DECONTAMINATION, "op7_source_mix": oracle.SOURCE_MIX}

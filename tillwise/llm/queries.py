@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontaminate, mixing, naive_bayes_svm, oracle, workers
+from . import decision_list, decontaminate, mixing, naive_bayes_svm, oracle, simhash, workers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of each document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("print")).alias("fingerprint"), "component_id")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which words of each document lie in a benchmark window, and which items those come from."""
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -46,7 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_decontamination, op4_quality_classifier, op7_source_mix, op10_quality_rules)
+    f.__name__: f for f in (op1_simhash, op3_decontamination, op4_quality_classifier, op7_source_mix, op10_quality_rules)
 }
 
 ORACLES: dict[str, str] = {"op3_decontamination": oracle.DECONTAMINATION, "op7_source_mix": oracle.SOURCE_MIX}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontaminate, mixing, naive_bayes_svm, oracle, simhash, workers
+from . import decision_list, decontaminate, huffman, mixing, naive_bayes_svm, oracle, simhash, workers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("print")).alias("fingerprint"), "component_id")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each document, written as Huffman blocks and read back."""
+    return huffman.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which words of each document lie in a benchmark window, and which items those come from."""
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -52,7 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_decontamination, op4_quality_classifier, op7_source_mix, op10_quality_rules)
+    f.__name__: f for f in (op1_simhash, op2_token_files, op3_decontamination, op4_quality_classifier, op7_source_mix, op10_quality_rules)
 }
 
 ORACLES: dict[str, str] = {"op3_decontamination": oracle.DECONTAMINATION, "op7_source_mix": oracle.SOURCE_MIX}

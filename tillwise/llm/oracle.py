@@ -68,3 +68,18 @@ SELECT doc_id, size, source_size, target,
        CAST(floor(u + rate * k) - floor(u + rate * (k - 1)) AS BIGINT) * size AS taken
 FROM (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM placed JOIN aimed USING (src, src_null))
 """
+
+REPEATS = f"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
+), place AS (
+    SELECT r, doc_id, p, list_slice(w, p, p + 12) AS g FROM doc, unnest(range(1, len(w) - 11)) AS u(p)
+), first AS (
+    SELECT g, min(doc_id) AS least FROM place GROUP BY g HAVING min(doc_id) < max(doc_id)
+), gone AS (
+    SELECT r, list(DISTINCT q) AS gone FROM place JOIN first USING (g), unnest(range(p, p + 13)) AS u(q) WHERE doc_id > least GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string([w[i] FOR i IN range(1, len(w) + 1) IF gone IS NULL OR NOT list_contains(gone, i)], ' '), '')) AS kept_sha256
+FROM doc LEFT JOIN gone USING (r)
+"""

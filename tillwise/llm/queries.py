@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontaminate, huffman, mixing, naive_bayes_svm, oracle, recompression, simhash, suffix_tree, workers
+from . import decision_list, decontaminate, huffman, mixing, naive_bayes_svm, oracle, pii, recompression, simhash, suffix_tree, token_counts, workers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,11 +49,22 @@ def op5_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of each document: by fixed patterns, and all spans."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs)).drop("redacted")
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of 150 % of all words, shared 3 : 1 : 2 among sources, takes of each document."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line of each document, from one encoding of the whole text."""
+    return token_counts.count_sections(table(spark, sf_dir, "documents"))
+
+
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document left after repeats of 13 words from documents of smaller id are removed."""
     return recompression.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
@@ -67,7 +78,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_token_files, op3_decontamination, op4_quality_classifier, op5_suffix_tree_scores, op7_source_mix, op9_repeated_passages, op10_quality_rules)
+    f.__name__: f for f in (op1_simhash, op2_token_files, op3_decontamination, op4_quality_classifier, op5_suffix_tree_scores, op6_personal_data, op7_source_mix, op8_section_tokens, op9_repeated_passages, op10_quality_rules)
 }
 
 ORACLES: dict[str, str] = {"op3_decontamination": oracle.DECONTAMINATION, "op7_source_mix": oracle.SOURCE_MIX, "op9_repeated_passages": oracle.REPEATS}

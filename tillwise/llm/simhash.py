@@ -172,6 +172,7 @@ def link(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFra
         raise ValueError("the way for crowded values covers two bits")
     n, both = bit_table(prints)
     out: DataFrame | None = None
+    inside: DataFrame | None = None
     for bits, t in allocate(n, both, radius):
         mask = _mask(bits)
         keyed = prints.select("print", F.col("print").bitwiseAND(F.lit(mask)).alias("key"))
@@ -182,16 +183,17 @@ def link(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFra
         close = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius
         near = cold.join(probe.select("key", F.col("print").alias("v")), "key").where(close & (F.col("u") != F.col("v"))).select("u", "v")
         out = near if out is None else out.union(near)
-        # crowded values: all that probe them meet at the fingerprints one flip (or none) away
-        hot = sizes.where(F.col("size") > crowd).select("key")
-        inside = probe.join(hot, "key").select("print").distinct()
-        reach = [0, *(_mask([b]) for b in range(BITS))] if radius == 2 else [0]
-        if radius == 1:  # one bit apart: equal once that bit is cleared
-            balls = inside.select("print", F.explode(F.array(*[F.struct(F.lit(b).alias("b"), F.col("print").bitwiseAND(F.lit(~_mask([b]))).alias("hub")) for b in range(BITS)])).alias("x")).select("print", "x.b", "x.hub")
-            out = out.union(_star(balls, ["b", "hub"]))
-        elif radius == 2:
-            balls = inside.select("print", F.explode(F.transform(F.array(*[F.lit(f) for f in reach]), lambda f: f.bitwiseXOR(F.col("print")))).alias("hub"))
-            out = out.union(_star(balls, ["hub"]))
+        crowded = probe.join(sizes.where(F.col("size") > crowd).select("key"), "key").select("print")
+        inside = crowded if inside is None else inside.union(crowded)
+    # prints that probe a crowded value in any part meet at the prints one flip (or none) away, each once
+    if radius == 2:
+        reach = F.array(*[F.lit(f) for f in (0, *(_mask([b]) for b in range(BITS)))])
+        hubs = inside.distinct().select("print", F.explode(F.transform(reach, lambda f: f.bitwiseXOR(F.col("print")))).alias("hub"))
+        out = out.union(_star(hubs, ["hub"]))
+    elif radius == 1:  # one bit apart: equal once that bit is cleared
+        cleared = F.array(*[F.struct(F.lit(b).alias("b"), F.col("print").bitwiseAND(F.lit(~_mask([b]))).alias("hub")) for b in range(BITS)])
+        hubs = inside.distinct().select("print", F.explode(cleared).alias("x")).select("print", "x.b", "x.hub")
+        out = out.union(_star(hubs, ["b", "hub"]))
     return out
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import materialize
 from .text import lower_ascii
 
 WINDOW = 10
@@ -117,9 +118,14 @@ def _merged(spans: Column) -> Column:
 
 
 def drop_documents(docs: DataFrame, benchmark: DataFrame, min_hit: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose id has ``min_hit`` hit words or more; null ids are kept only if clean rows are all they have."""
-    hits = find(docs, benchmark, id_col=id_col, text_col=text_col).where(F.col("n_hit") >= min_hit).select(F.col("doc_id").alias("_hit_id")).distinct()
-    return docs.join(hits, docs[id_col].eqNullSafe(hits["_hit_id"]), "left_anti")
+    """``docs`` without the rows whose id has ``min_hit`` hit words or more.
+
+    Rows that share an id, the null id included, go together.  The ids found are written first, so that Spark
+    knows how few they are before it plans how to take them out.
+    """
+    found = find(docs, benchmark, id_col=id_col, text_col=text_col).where(F.col("n_hit") >= min_hit)
+    gone = materialize(found.select(F.col("doc_id").alias("_hit_id")).distinct(), "contaminated")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_hit_id"]), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -118,3 +118,18 @@ def mix(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_
     return systematic(sized, **how).select(
         "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+def take(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
+    """The mixed rows, with the columns of ``docs``: each row as often as the sample takes it.
+
+    ``docs`` has to be a table: its rows are numbered in two passes over the same files.
+    """
+    number = F.monotonically_increasing_id()
+    sized = materialize(
+        docs.select(number.alias("_row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes"
+    )
+    copies = materialize(systematic(sized, **how).where("copies > 0").select(F.col("_row").alias("_taken"), "copies"), "copies")
+    marked = docs.withColumn("_row", number)
+    drawn = marked.join(copies, marked["_row"] == copies["_taken"]).select(*[marked[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
+    return drawn.drop("_copy")

@@ -197,24 +197,52 @@ def link(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFra
     return out
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, print, component_id of every row: the smallest id reachable over links of at most ``radius`` bits.
-
-    Null and empty texts have fingerprint 0 and link like any other.  A null id has a component of the ids
-    it is linked to and never names one, unless all are null.  Rows that repeat an id get a row each.
-    """
-    rows = materialize(fingerprints(docs, id_col, text_col), "prints")
+def _components_of(rows: DataFrame, radius: int) -> DataFrame:
+    """(print, component_id) of all fingerprints with a copy or a link; ``rows`` is a table of doc_id and print."""
     classes = materialize(rows.groupBy("print").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "classes")
     roots = materialize(components(link(classes.select("print"), radius)), "roots")
     linked = classes.join(roots, classes["print"] == roots["node"]).select("print", "first", "root")
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(least, "root").select("print", "component_id")
+    named = linked.join(least, "root").select("print", "root", "component_id")
     # a fingerprint without links and copies names itself: only the others are looked up
-    alone = classes.where("n > 1").join(roots, classes["print"] == roots["node"], "left_anti").select("print", F.col("first").alias("component_id"))
+    alone = classes.where("n > 1").join(roots, classes["print"] == roots["node"], "left_anti").select("print", F.col("print").alias("root"), F.col("first").alias("component_id"))
     named = materialize(named.union(alone), "named")
-    out = rows.join(named, "print", "left").select("doc_id", "print", F.coalesce("component_id", "doc_id").alias("component_id"))
     discard(classes, roots)
-    return out
+    return named
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, print, component_id of every row: the smallest id reachable over links of at most ``radius`` bits.
+
+    Null and empty texts have fingerprint 0 and link like any other.  A null id has a component of the ids
+    it is linked to and never names one, unless all are null.  Rows that repeat an id get a row each.
+    """
+    rows = materialize(fingerprints(docs, id_col, text_col), "prints")
+    named = _components_of(rows, radius).select("print", "component_id")
+    return rows.join(named, "print", "left").select("doc_id", "print", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates: of each component the row of the smallest id stays.
+
+    Null ids come last, and among equal ids one row stays.  ``docs`` has to be a table: its rows are numbered
+    in two passes over the same files.
+    """
+    number = F.monotonically_increasing_id()
+    numbered = docs.select(number.alias("doc_id"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            prints = next(_batches(iter([b])))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("id"), prints.column("print")], ["row", "doc_id", "print"])
+
+    rows = materialize(numbered.mapInArrow(run, "row long, doc_id long, print long"), "prints")
+    grouped = rows.join(_components_of(rows, radius), "print").select("row", "doc_id", "root")
+    order = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "row")
+    stays = grouped.groupBy("root").agg(F.min(order)["row"].alias("stays"))
+    gone = materialize(grouped.join(stays, "root").where("row <> stays").select(F.col("row").alias("_gone")), "copies")
+    marked = docs.withColumn("_row", number)
+    return marked.join(gone, marked["_row"] == gone["_gone"], "left_anti").drop("_row")
 
 
 def hexadecimal(fingerprint_col: Column) -> Column:

@@ -1,3 +1,54 @@
-STAGES = []
+"""A training-data pipeline over ``documents``: filter, deduplicate, decontaminate, mix, write tokens."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tillwise.llm import decontaminate, huffman, mixing, naive_bayes_svm, scratch, simhash
+from tillwise.llm.queries import table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return naive_bayes_svm.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component."""
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of the benchmark."""
+    return decontaminate.drop_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A mix of 150 % of all words, shared 3 : 1 : 2 among sources; a document may come twice."""
+    return mixing.take(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids written as Huffman blocks; what reading them back gives, one row per document."""
+    return huffman.round_trip(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("source_mix", source_mix),
+    ("token_files", token_files),
+]
+
+#: The classifier and the tokenizer are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir): ...
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order; each one's result is written to the shared folder and read by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.materialize(stage(spark, docs, sf_dir), name)
+        scratch.release(spark)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar
+from tillwise.sources import layout
 
 from .conftest import rows
 
@@ -36,17 +37,17 @@ def test_like_for_like_window_is_inclusive_in_both_forms(spark):
         datetime(2014, 12, 31),
     )
     plain = df.where(calendar.until_day_of_year(F.col("ts"), 3, 19))
-    ranged = df.where(calendar.until_day_of_years(F.col("ts"), 3, 19, [2013, 2014]))
+    ranged = df.where(calendar.until_day_in_months(F.month("ts"), F.col("ts"), 3, 19))
     assert rows(plain) == rows(ranged)
     assert plain.count() == 3
 
 
-def test_like_for_like_ranges_are_pushed_to_the_scan(spark, tmp_path):
-    stamps(spark, datetime(2013, 3, 19), datetime(2014, 6, 1)).write.parquet(str(tmp_path / "t"))
-    df = spark.read.parquet(str(tmp_path / "t"))
-    plan = df.where(calendar.until_day_of_years(F.col("ts"), 3, 19, [2013, 2014]))._jdf.queryExecution().executedPlan().toString()
-    pushed = plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
-    assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
+def test_like_for_like_over_a_month_layout_covers_every_year(spark, tmp_path):
+    df = stamps(spark, datetime(2013, 3, 19), datetime(2014, 6, 1), datetime(2031, 1, 5), datetime(2031, 3, 20))
+    layout.write_by_month(df, str(tmp_path / "t"), "ts")
+    kept = spark.read.parquet(str(tmp_path / "t")).where(calendar.until_day_in_months(F.col("month_"), F.col("ts"), 3, 19))
+    assert sorted(r.year_ for r in kept.collect()) == [2013, 2031]
+    assert "month_" in kept._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
 
 
 def brute_retail(day: date):

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import pytest
 from plans import final_only
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tillwise.operators import funnel, returns, sessions
+from tillwise.plans.catalogue import REGISTRY
 from tillwise.plans.roles import Roles
 
 from .conftest import SMALL
 
-WRITES = {"csv_exchange", "month_layout"}
+# these write files as a load step before they return
 
 
 def initial(df):
@@ -29,7 +33,10 @@ def without_broadcasts(spark):
         spark.conf.unset(k)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITES))
+WRITES = {"csv_exchange", "month_layout", "like_for_like_pushed_down"}
+
+
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITES))
 def test_no_python_and_no_pairwise_join(spark, name, without_broadcasts):
     plan = initial(entry.queries()[name](spark, SMALL))
     for node in ("Python", "Arrow", "CartesianProduct", "NestedLoopJoin", "BroadcastExchange", "Scan ExistingRDD"):
@@ -40,8 +47,7 @@ def test_scans_read_only_the_needed_columns(spark):
     plan = initial(entry.queries()["monthly_conversion"](spark, SMALL))
     schemas = [part.split("\n")[0] for part in plan.split("ReadSchema: ")[1:]]
     assert any("struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in s for s in schemas)
-    assert any("struct<l_orderkey:bigint,l_linenumber:int" in s for s in schemas)
-    assert "PushedFilters: [IsNotNull(l_linenumber), EqualTo(l_linenumber,1)" in plan
+    assert any("struct<l_orderkey:bigint>" in s for s in schemas)
 
 
 def test_the_session_join_has_one_row_per_session_on_both_sides(spark, without_broadcasts):
@@ -68,6 +74,41 @@ def test_top_k_reports_do_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in initial(entry.queries()["popular_pairs"](spark, SMALL))
 
 
+def scans(spark, name):
+    """Tables that the final plan reads, and how often each."""
+    df = entry.queries()[name](spark, SMALL)
+    query = df._jdf.queryExecution()
+    df.collect()
+    plan = final_only(query.executedPlan().toString())
+    return Counter(re.findall(r"Scan parquet.*?/(\w+)\.parquet", plan)), plan
+
+
+def test_places_read_only_what_is_asked_for(spark, without_broadcasts):
+    assert set(scans(spark, "popular_pickups")[0]) == {"lineitem", "supplier", "nation"}
+    assert set(scans(spark, "popular_dropoffs")[0]) == {"lineitem", "orders", "customer", "nation"}
+    pairs, plan = scans(spark, "popular_pairs")
+    assert pairs["lineitem"] == 1
+
+
+@pytest.mark.parametrize("name,table", [("market_comparison", "customer"), ("outlier_treatment", "events")])
+def test_one_fold_serves_counts_totals_and_quantiles(spark, name, table, without_broadcasts):
+    read, plan = scans(spark, name)
+    assert read[table] == 1, plan
+    if name == "outlier_treatment":  # nothing is shuffled straight from the scan
+        for part in plan.split("Exchange hashpartitioning")[1:]:
+            below = part.split("Exchange")[0].split("ReusedExchange")[0]
+            assert "FileScan" not in below or "partial_" in below, part
+
+
+def test_first_purchases_are_found_without_sorting(spark, without_broadcasts):
+    assert "SortAggregate" not in initial(entry.queries()["repeat_purchase_reconciliation"](spark, SMALL))
+
+
+def test_like_for_like_reads_only_the_months_it_needs(spark):
+    plan = initial(entry.queries()["like_for_like_pushed_down"](spark, SMALL))
+    assert "PartitionFilters: [" in plan and "month_" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_a_skewed_order_is_split_at_run_time(spark, without_broadcasts):
     """One order holds a third of the items: the adaptive skew join must split it, with equal results."""
     n = 300_000

@@ -117,13 +117,10 @@ def test_scratch_paths_lie_in_the_shared_folder_and_differ(spark):
 class FakeSession:
     """Only what ``scratch_path`` asks of a session."""
 
-    def __init__(self, master, folder=None):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = type("Context", (), {"master": master})
+    def __init__(self, folder=None):
+        self.conf = {"spark.sql.warehouse.dir": "hdfs:/warehouse"} | ({"spark.checkpoint.dir": folder} if folder else {})
 
 
-def test_scratch_paths_without_a_shared_folder():
-    assert layout.scratch_path(FakeSession("spark://host:7077", "s3a://bucket/x/"), "t").startswith("s3a://bucket/x/t-")
-    assert layout.scratch_path(FakeSession("local[2]"), "t")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        layout.scratch_path(FakeSession("spark://host:7077"), "t")
+def test_scratch_paths_without_a_shared_folder_lie_in_the_warehouse():
+    assert layout.scratch_path(FakeSession("s3a://bucket/x/"), "t").startswith("s3a://bucket/x/t-")
+    assert layout.scratch_path(FakeSession(), "t").startswith("hdfs:/warehouse/_scratch/t-")

@@ -6,10 +6,6 @@ Keys are built from date parts rather than ``date_format``, which would move a
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from datetime import date
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,15 +40,10 @@ def until_day_of_year(ts: Column, month: int, day: int) -> Column:
     return F.month(ts) * 100 + F.dayofmonth(ts) <= F.lit(month * 100 + day)
 
 
-def until_day_of_years(ts: Column, month: int, day: int, years: Iterable[int]) -> Column:
-    """The same window as plain ranges, one per year, which reach the Parquet scan.
-
-    Only rows of the listed years qualify, so list every year that is wanted.
-    """
-    ranges = [
-        (ts >= F.lit(date(y, 1, 1))) & (ts < F.date_add(F.lit(date(y, month, day)), 1)) for y in years
-    ]
-    return reduce(lambda a, b: a | b, ranges)
+def until_day_in_months(month_key: Column, ts: Column, month: int, day: int) -> Column:
+    """The same window over a table laid out by month: whole months up to the last are taken by
+    their partition, so months after it are not read, and every year is covered."""
+    return (month_key < F.lit(month)) | ((month_key == F.lit(month)) & (F.dayofmonth(ts) <= F.lit(day)))
 
 
 def retail_year_start(year: Column) -> Column:

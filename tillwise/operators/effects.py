@@ -12,9 +12,18 @@ from pyspark.sql import functions as F
 from ..functions import exact
 
 
+def _converted(table: DataFrame) -> str:
+    """The column that counts converting sessions; a table of one order per session may only have ``orders``."""
+    return "converted" if "converted" in table.columns else "orders"
+
+
 def growth_decomposition(periods: DataFrame, period: str = "year_") -> DataFrame:
-    """Growth of revenue per session from the first period to the last, as the product of
-    conversion growth and order-value growth."""
+    """Growth of revenue per session from the first period to the last, as the product of growth in
+    conversion, in orders per converting session and in order value.
+
+    The middle factor is left out where the table does not tell orders from converting sessions.
+    """
+    converted = _converted(periods)
 
     def ends(c: str) -> list[Column]:
         return [F.min_by(c, period).alias(f"{c}0"), F.max_by(c, period).alias(f"{c}1")]
@@ -24,34 +33,39 @@ def growth_decomposition(periods: DataFrame, period: str = "year_") -> DataFrame
         F.max(period).alias("last_period"),
         *ends("sessions"),
         *ends("orders"),
+        *([] if converted == "orders" else ends("converted")),
         *ends("revenue"),
     )
     s0, s1 = (F.col(c).cast("decimal(14,0)") for c in ("sessions0", "sessions1"))
     o0, o1 = (F.col(c).cast("decimal(14,0)") for c in ("orders0", "orders1"))
+    c0, c1 = (F.col(f"{converted}{i}").cast("decimal(14,0)") for i in (0, 1))
+    per_converted = [] if converted == "orders" else [exact.ratio(o1 * c0, o0 * c1, 2).alias("orders_per_converted_growth")]
     r0, r1 = (exact.cents(F.col(c)).cast("decimal(19,0)") for c in ("revenue0", "revenue1"))
     return t.select(
         "first_period",
         "last_period",
         exact.ratio(r1 * s0, r0 * s1, 2).alias("revenue_per_session_growth"),
-        exact.ratio(o1 * s0, o0 * s1, 2).alias("conversion_growth"),
+        exact.ratio(c1 * s0, c0 * s1, 2).alias("conversion_growth"),
+        *per_converted,
         exact.ratio(r1 * o0, r0 * o1, 2).alias("order_value_growth"),
     )
 
 
 def relative_improvement(table: DataFrame, segment: str, period: str) -> DataFrame:
     """Conversion in the last period over conversion in the first, per segment."""
+    converted = _converted(table)
     t = table.groupBy(segment).agg(
         F.min_by("sessions", period).cast("decimal(16,0)").alias("s0"),
         F.max_by("sessions", period).cast("decimal(16,0)").alias("s1"),
-        F.min_by("orders", period).cast("decimal(16,0)").alias("o0"),
-        F.max_by("orders", period).cast("decimal(16,0)").alias("o1"),
+        F.min_by(converted, period).cast("decimal(16,0)").alias("c0"),
+        F.max_by(converted, period).cast("decimal(16,0)").alias("c1"),
     )
-    s0, s1, o0, o1 = (F.col(c) for c in ("s0", "s1", "o0", "o1"))
+    s0, s1, c0, c1 = (F.col(c) for c in ("s0", "s1", "c0", "c1"))
     return t.select(
         segment,
-        exact.percent(o0, s0, 2).alias("first_conv_pct"),
-        exact.percent(o1, s1, 2).alias("last_conv_pct"),
-        exact.ratio(o1 * s0, o0 * s1, 2).alias("improvement"),
+        exact.percent(c0, s0, 2).alias("first_conv_pct"),
+        exact.percent(c1, s1, 2).alias("last_conv_pct"),
+        exact.ratio(c1 * s0, c0 * s1, 2).alias("improvement"),
     )
 
 
@@ -113,9 +127,11 @@ def composition_vs_performance(
     headline gap = composition + gap within the stratum, all in percentage points.
     """
 
+    converted = _converted(table)
+
     def conv(name: str, keep: Column) -> Column:
         hit = (F.col(segment) == name) & keep
-        n = F.sum(F.when(hit, F.col("orders"))) * 100
+        n = F.sum(F.when(hit, F.col(converted))) * 100
         return exact.rate(n, F.sum(F.when(hit, F.col("sessions"))))
 
     inside = F.col(stratum) == within

@@ -31,20 +31,14 @@ def in_one_currency(listings: DataFrame, rates: DataFrame, price: str = "price")
     )
 
 
-def market_comparison(listings: DataFrame, by: str, price: str, width: int = 100) -> DataFrame:
-    """Listings, mean, median and quartile spread of price per market."""
-    level = listings.groupBy(by).agg(
-        exact.rows().alias("listings"),
-        F.count(price).alias("priced"),
-        exact.from_cents(exact.sum_cents(price)).alias("total"),
-    )
-    q = quantiles.quantiles(
-        listings, [by], price, {"q1": "0.25", "median_price": "0.5", "q3": "0.75"}, width
-    )
-    return null_safe_join(level, q, [by], "left").select(
+def market_comparison(listings: DataFrame, by: str, price: str) -> DataFrame:
+    """Listings, mean, median and quartile spread of price per market, all from one fold of the listings."""
+    counts = quantiles.fold(listings, [by], price)
+    q = quantiles.from_fold(counts, [by], price, {"q1": "0.25", "median_price": "0.5", "q3": "0.75"})
+    return q.select(
         by,
-        "listings",
-        exact.per_unit(F.col("total"), F.col("priced")).alias("avg_price"),
+        F.col("rows").alias("listings"),
+        exact.per_unit(F.col("total").cast("decimal(21,2)"), F.col("valued")).alias("avg_price"),
         "median_price",
         (F.col("q3") - F.col("q1")).alias("price_spread"),
     )
@@ -60,7 +54,8 @@ def price_correlations(listings: DataFrame, price: str, attributes: Sequence[str
 def price_by_level(listings: DataFrame, price: str, attributes: Sequence[str]) -> DataFrame:
     """Mean price of each level of each category, and how far it lies from the overall mean.
 
-    All categories are grouped in one pass over the listings.
+    All categories are grouped in one pass over the listings; the overall mean is a one-row aggregate,
+    so no task sees all levels of a category.
     """
     levels = F.array(
         *[F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("level")) for a in attributes]
@@ -70,9 +65,9 @@ def price_by_level(listings: DataFrame, price: str, attributes: Sequence[str]) -
         .groupBy("attribute", "level")
         .agg(exact.rows().alias("listings"), exact.from_cents(exact.sum_cents(price)).alias("total"))
     )
-    everything = Window.partitionBy("attribute")
-    all_total = exact.cents(F.sum("total").over(everything)).cast("decimal(20,0)")
-    all_rows = F.sum("listings").over(everything).cast("decimal(13,0)")
+    overall = listings.agg(F.struct(exact.rows().alias("n"), exact.sum_cents(price).alias("cents"))).scalar()
+    all_total = overall["cents"].cast("decimal(20,0)")
+    all_rows = overall["n"].cast("decimal(13,0)")
     own = exact.cents(F.col("total")).cast("decimal(20,0)")
     n = F.col("listings").cast("decimal(13,0)")
     gap = (own * all_rows - all_total * n).cast("decimal(33,0)")
@@ -99,17 +94,19 @@ def reviews_by_market(reviews: DataFrame, listings: DataFrame, by: str, ts: str
     )
 
 
-def best_value(listings: DataFrame, reviews: DataFrame, by: str, price: str, width: int = 100) -> DataFrame:
+def best_value(listings: DataFrame, reviews: DataFrame, by: str, price: str) -> DataFrame:
     """Markets ranked by reviews per listing for each 1,000 of median price.
 
-    Reviews are folded to one row per listing before they meet the listings.
+    Reviews are folded to one row per listing before they meet the listings, and listings to one row per
+    market and price: the median and the number of listings come from that.
     """
     per_listing = reviews.groupBy("listing_id").agg(exact.rows().alias("reviews"))
-    t = listings.join(per_listing, "listing_id", "left").groupBy(by).agg(
-        exact.rows().alias("listings"), F.coalesce(F.sum("reviews"), F.lit(0)).alias("reviews")
+    seen = listings.select("listing_id", by).join(per_listing, "listing_id").groupBy(by).agg(F.sum("reviews").alias("reviews"))
+    q = quantiles.from_fold(quantiles.fold(listings, [by], price), [by], price, {"median_price": "0.5"})
+    t = null_safe_join(q, seen, [by], "left").select(
+        by, F.col("rows").alias("listings"), "median_price", F.coalesce("reviews", F.lit(0)).alias("reviews")
     )
-    q = quantiles.quantiles(listings, [by], price, {"median_price": "0.5"}, width)
-    scored = null_safe_join(t, q, [by], "left").select(
+    scored = t.select(
         by,
         "listings",
         "median_price",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exact
@@ -112,18 +112,24 @@ def launch_windows(orders: DataFrame, launched: DataFrame, days: int = 90) -> Da
 
 
 def launch_overlap(launched: DataFrame, days: int = 90) -> DataFrame:
-    """Launch windows that contain another product's launch, and how far apart the two are."""
-    windows = _sides(launched, days).select(
-        "launch", "launch_day", "window_", _days(F.col("from_day"), days).alias("day")
-    )
-    others = launched.select(F.col("launch").alias("other_launch"), F.col("launch_day").alias("day"))
-    return (
-        windows.join(others, "day")
-        .where(F.col("launch") != F.col("other_launch"))
-        .select(
-            "launch",
-            "window_",
-            "other_launch",
-            F.abs(F.datediff(F.col("day"), F.col("launch_day"))).alias("days_apart"),
-        )
+    """Per launch and window, how many other launches it contains and how far the nearest one is (NULL if none).
+
+    Two rows per launch.  Launches are folded to days, and running sums over the days of the calendar
+    count a window's launches, so launches that fall together never pair up.
+    """
+    daily = launched.groupBy("launch_day").agg(exact.rows().alias("n")).withColumn("d", F.unix_date("launch_day"))
+    order = Window.orderBy("d")
+    before, after = order.rangeBetween(-days, -1), order.rangeBetween(1, days - 1)
+    around = daily.select(
+        "launch_day",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
+        (F.col("d") - F.max("d").over(before)).alias("days_before"),
+        (F.coalesce(F.sum("n").over(after), F.lit(0)) + F.col("n") - 1).alias("n_after"),
+        F.when(F.col("n") > 1, 0).otherwise(F.min("d").over(after) - F.col("d")).alias("days_after"),
     )
+    sides = [
+        F.struct(F.lit(w).alias("window_"), F.col(f"n_{w}").alias("other_launches"), F.col(f"days_{w}").alias("nearest_days"))
+        for w in ("before", "after")
+    ]
+    others = around.select("launch_day", F.inline(F.array(*sides)))
+    return launched.join(others, "launch_day").select("launch", "window_", "other_launches", "nearest_days")

@@ -121,7 +121,10 @@ def refunds_by_refund_date(
     product_name: str,
     item_key: Sequence[str] = ITEM_KEY,
 ) -> DataFrame:
-    """One product's refunds by the month they were issued, with the average lag in days."""
+    """One product's refunds by the month they were issued, with the average lag in days.
+
+    ``dated_before_order`` counts refunds dated before their order: they stay in the average and make it suspect.
+    """
     wanted = products.where(F.col("product_name") == product_name).select("product_id")
     sold = items.join(wanted, "product_id").select(*dict.fromkeys([*item_key, "order_id"]))
     issued = refunds.select(*item_key, F.col("created_at").alias("refunded_at"))
@@ -129,11 +132,13 @@ def refunds_by_refund_date(
     t = lagged.groupBy(calendar.month_start(F.col("refunded_at")).alias("month")).agg(
         exact.rows().alias("refunds_issued"),
         F.sum(F.datediff("refunded_at", "ordered_at")).alias("days"),
+        F.count_if(F.datediff("refunded_at", "ordered_at") < 0).alias("dated_before_order"),
     )
     return t.select(
         calendar.month_label(F.col("month")).alias("refund_month"),
         "refunds_issued",
         exact.ratio(F.col("days"), F.col("refunds_issued"), 1).alias("avg_days_to_refund"),
+        "dated_before_order",
     ).orderBy("refund_month")
 
 
@@ -172,24 +177,29 @@ def event_vs_record_date(by_event: DataFrame, by_record: DataFrame) -> DataFrame
     )
 
 
-def excess_vs_baseline(monthly: DataFrame, flagged: Column, unit_value: Column | None = None) -> DataFrame:
-    """Refunds beyond what the baseline rate predicts for the flagged periods, per product.
-
-    ``monthly`` has product_name, items_sold, items_refunded (and ``unit_value``'s columns).
-    The baseline is every period that is not flagged.
-    """
+def _baseline_counts(monthly: DataFrame, flagged: Column, *more: Column) -> DataFrame:
+    """Items sold and refunded outside (bs, br) and inside (fs, fr) the flagged periods, per product."""
 
     def total(c: str, keep: Column) -> Column:
         return F.coalesce(F.sum(F.when(keep, F.col(c))), F.lit(0)).cast("decimal(17,0)")
 
-    value = F.max(unit_value) if unit_value is not None else F.lit(None)
-    t = monthly.groupBy("product_name").agg(
+    return monthly.groupBy("product_name").agg(
         total("items_sold", ~flagged).alias("bs"),
         total("items_refunded", ~flagged).alias("br"),
         total("items_sold", flagged).alias("fs"),
         total("items_refunded", flagged).alias("fr"),
-        value.cast("decimal(18,2)").alias("unit_value"),
+        *more,
     )
+
+
+def excess_vs_baseline(monthly: DataFrame, flagged: Column, unit_value: Column | None = None) -> DataFrame:
+    """Refunds beyond what the baseline rate predicts for the flagged periods, per product.
+
+    ``monthly`` has product_name, items_sold, items_refunded (and ``unit_value``'s columns).
+    The baseline is every period that is not flagged.
+    """
+    value = F.max(unit_value) if unit_value is not None else F.lit(None)
+    t = _baseline_counts(monthly, flagged, value.cast("decimal(18,2)").alias("unit_value"))
     bs, br, fs, fr = (F.col(c) for c in ("bs", "br", "fs", "fr"))
     excess = (fr * bs - br * fs).cast("decimal(34,0)")
     out = t.select(
@@ -207,16 +217,7 @@ def excess_vs_baseline(monthly: DataFrame, flagged: Column, unit_value: Column |
 
 def peer_check(monthly: DataFrame, flagged: Column, moved_at: float = 2.0) -> DataFrame:
     """Did other products move in the flagged periods too?  Rate there over each product's own baseline."""
-
-    def total(c: str, keep: Column) -> Column:
-        return F.coalesce(F.sum(F.when(keep, F.col(c))), F.lit(0)).cast("decimal(17,0)")
-
-    t = monthly.groupBy("product_name").agg(
-        total("items_sold", ~flagged).alias("bs"),
-        total("items_refunded", ~flagged).alias("br"),
-        total("items_sold", flagged).alias("fs"),
-        total("items_refunded", flagged).alias("fr"),
-    )
+    t = _baseline_counts(monthly, flagged)
     bs, br, fs, fr = (F.col(c) for c in ("bs", "br", "fs", "fr"))
     times = exact.ratio((fr * bs).cast("decimal(34,0)"), br * fs, 2)
     return t.select(

@@ -4,8 +4,8 @@ Sessions without an order stay in every denominator.  Orders are first folded to
 row per session, so the left join is one-to-one: nothing fans out when a session
 has several orders, and the shuffle carries one row per converting session.
 
-``orders`` is the number of orders; ``converted`` the sessions with at least one.
-They are equal while a session has at most one order.
+``orders`` is the number of orders; ``converted`` the sessions with at least one.  A conversion
+rate is converted sessions over sessions, so it never exceeds 100; order value and revenue count orders.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def totals(joined: DataFrame, *by: Column | str) -> DataFrame:
 
 
 def _conversion(scale: int = 2) -> Column:
-    return exact.percent(F.col("orders"), F.col("sessions"), scale).alias("conversion_rate_pct")
+    return exact.percent(F.col("converted"), F.col("sessions"), scale).alias("conversion_rate_pct")
 
 
 def _per_session() -> Column:
@@ -63,7 +63,7 @@ def session_counts(sessions: DataFrame, period: Sequence[Column]) -> DataFrame:
 def sessions_by_year_pivot(
     sessions: DataFrame, years: Sequence[int], blank_years: Sequence[int] = (), ts: str = "created_at"
 ) -> DataFrame:
-    """Month rows, one column per year.
+    """Month rows, one column per year, and ``sessions_other_years`` so that a row adds up to its month.
 
     A year in ``blank_years`` shows NULL for a month it has no sessions in (it had not
     begun yet); every other year shows 0.
@@ -73,7 +73,8 @@ def sessions_by_year_pivot(
     for y in years:
         hit = F.when(year == y, 1)
         columns.append(F.sum(hit if y in blank_years else hit.otherwise(0)).alias(f"sessions_{y}"))
-    return sessions.groupBy(F.month(ts).alias("month_")).agg(*columns)
+    other = F.count_if(~F.coalesce(year.isin(*years), F.lit(False)))
+    return sessions.groupBy(F.month(ts).alias("month_")).agg(*columns, other.alias("sessions_other_years"))
 
 
 # --- conversion and revenue --------------------------------------------------
@@ -130,16 +131,16 @@ def device_gap(
     wide = join_orders(sessions, orders).groupBy(period).agg(
         only(high, F.lit(1)).alias("hs"),
         only(low, F.lit(1)).alias("ls"),
-        only(high, F.coalesce("session_orders", F.lit(0))).alias("ho"),
-        only(low, F.coalesce("session_orders", F.lit(0))).alias("lo"),
+        only(high, F.col("session_orders").isNotNull().cast("int")).alias("hc"),
+        only(low, F.col("session_orders").isNotNull().cast("int")).alias("lc"),
     )
-    hs, ls, ho, lo = (F.col(c) for c in ("hs", "ls", "ho", "lo"))
+    hs, ls, hc, lc = (F.col(c) for c in ("hs", "ls", "hc", "lc"))
     return wide.select(
         wide.columns[0],
-        exact.percent(ho, hs, 2).alias(f"{high}_conv_pct"),
-        exact.percent(lo, ls, 2).alias(f"{low}_conv_pct"),
-        exact.percent((ho * ls - lo * hs).cast("decimal(33,0)"), hs * ls, 2).alias("gap_points"),
-        exact.ratio((ho * ls).cast("decimal(35,0)"), hs * lo, 2).alias("gap_ratio"),
+        exact.percent(hc, hs, 2).alias(f"{high}_conv_pct"),
+        exact.percent(lc, ls, 2).alias(f"{low}_conv_pct"),
+        exact.percent((hc * ls - lc * hs).cast("decimal(33,0)"), hs * ls, 2).alias("gap_points"),
+        exact.ratio((hc * ls).cast("decimal(35,0)"), hs * lc, 2).alias("gap_ratio"),
     )
 
 

@@ -52,22 +52,18 @@ def volume_by_time_of_day(events: DataFrame, ts: str) -> DataFrame:
     ).agg(exact.rows().alias("n"))
 
 
-def place_pairs(trips: DataFrame) -> DataFrame:
-    """Trips per (pick-up, drop-off) zone pair: the fold that every place report starts from."""
-    return trips.groupBy("pickup_zone_id", "dropoff_zone_id").agg(exact.rows().alias("trips"))
-
-
-def popular_places(pairs: DataFrame, zones: DataFrame, role: str, k: int) -> DataFrame:
-    """The top ``k`` pick-up or drop-off zones by name."""
-    t = pairs.groupBy(F.col(f"{role}_zone_id").alias("zone_id")).agg(F.sum("trips").alias("trips"))
+def popular_places(counts: DataFrame, zones: DataFrame, k: int) -> DataFrame:
+    """The top ``k`` zones by name, from trips per zone id (an id may come in several rows)."""
+    t = counts.groupBy("zone_id").agg(F.sum("trips").alias("trips"))
     return t.join(zones, "zone_id").select("zone", "trips").orderBy(F.desc("trips"), "zone").limit(k)
 
 
-def popular_pairs(pairs: DataFrame, zones: DataFrame, k: int) -> DataFrame:
-    """The top ``k`` pairs; the zone table plays both roles."""
+def popular_pairs(counts: DataFrame, zones: DataFrame, k: int) -> DataFrame:
+    """The top ``k`` pairs, from trips per pair of zone ids; the zone table plays both roles."""
+    t = counts.groupBy("pickup_zone_id", "dropoff_zone_id").agg(F.sum("trips").alias("trips"))
     pickup = zones.select(F.col("zone_id").alias("pickup_zone_id"), F.col("zone").alias("pickup"))
     dropoff = zones.select(F.col("zone_id").alias("dropoff_zone_id"), F.col("zone").alias("dropoff"))
-    named = pairs.join(pickup, "pickup_zone_id").join(dropoff, "dropoff_zone_id")
+    named = t.join(pickup, "pickup_zone_id").join(dropoff, "dropoff_zone_id")
     return (
         named.select("pickup", "dropoff", "trips")
         .orderBy(F.desc("trips"), "pickup", "dropoff")

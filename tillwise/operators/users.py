@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar, exact
+from ..functions.joins import null_safe_join
 
 
 def _tier_total(c: str) -> Column:
@@ -66,12 +67,12 @@ def repeat_purchase_reconciliation(
 ) -> DataFrame:
     """The exact form: which orders of return visits were the user's very first.
 
-    A user's first order is a map-side minimum over (time, id), so a user with a large part
-    of all orders is never sorted in one task.
+    A user's first order is the least id among those at the user's earliest time.  Both minima are of
+    fixed width and combine map-side by hash, so a user with a large part of all orders costs a task one row.
     """
-    first = orders.groupBy("user_id").agg(
-        F.min(F.struct("created_at", order_id)).getField(order_id).alias(order_id)
-    )
+    earliest = orders.groupBy("user_id").agg(F.min("created_at").alias("earliest"))
+    at_once = null_safe_join(orders.select("user_id", "created_at", order_id), earliest, ["user_id"])
+    first = at_once.where(F.col("created_at").eqNullSafe(F.col("earliest"))).groupBy("user_id").agg(F.min(order_id).alias(order_id))
     flagged = orders.join(
         first.select(order_id, F.lit(1).alias("is_first")), order_id, "left"
     ).groupBy(key).agg(exact.rows().alias("n"), F.count("is_first").alias("firsts"))
@@ -114,8 +115,12 @@ def cohort_retention(orders: DataFrame, user: str = "user_id", ts: str = "create
 
 
 def cohort_matrix(retention: DataFrame, months: int) -> DataFrame:
-    """The retention table as one row per cohort and one column per month since."""
+    """The retention table as one row per cohort and one column per month since.
+
+    ``later_months`` adds up the users of all months past the last column, so no cell is lost.
+    """
     columns = [
         F.max(F.when(F.col("months_since") == m, F.col("users"))).alias(f"month_{m}") for m in range(months + 1)
     ]
-    return retention.groupBy("cohort_month").agg(F.max("cohort_size").alias("cohort_size"), *columns)
+    later = F.coalesce(F.sum(F.when(F.col("months_since") > months, F.col("users"))), F.lit(0)).alias("later_months")
+    return retention.groupBy("cohort_month").agg(F.max("cohort_size").alias("cohort_size"), *columns, later)

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 from ..functions import exact
 from ..operators import funnel, quality, sessions, users
 from ..sources import csv, layout
-from .oracle import ORDERS, REVENUE, SESSIONS, big, cents, dollars, label, per_unit, percent, sql
+from . import load
+from .oracle import CONVERTED, ORDERS, REVENUE, SESSIONS, big, cents, dollars, label, per_unit, percent, sql
 from .registry import query
 
 _SIZED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -245,7 +246,7 @@ _CAMPAIGN_CSV = T.StructType(
 @query(
     "csv_exchange",
     sql(
-        f"SELECT utm_campaign, {SESSIONS} AS sessions, {ORDERS} AS orders, {percent(ORDERS, SESSIONS, 2)} AS conversion_rate_pct, "
+        f"SELECT utm_campaign, {SESSIONS} AS sessions, {ORDERS} AS orders, {percent(CONVERTED, SESSIONS, 2)} AS conversion_rate_pct, "
         f"{dollars(REVENUE)} AS revenue, {per_unit(REVENUE, SESSIONS)} AS revenue_per_session FROM vjoined GROUP BY 1",
         "vjoined",
     ),
@@ -266,7 +267,5 @@ def _(r):
 )
 def _(r):
     """Lay the order table out by month and read it back through its partition columns."""
-    path = layout.scratch_path(r.spark, "orders-by-month")
-    layout.write_by_month(r.orders, path, "created_at", ("created_at", "order_id"))
-    laid_out = r.spark.read.parquet(path)
+    laid_out = load.by_month(r.orders, "created_at", ("created_at", "order_id"))
     return laid_out.groupBy("year_", "month_").agg(exact.rows().alias("orders"), exact.from_cents(exact.sum_cents("price_usd")).alias("revenue"))

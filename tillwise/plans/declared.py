@@ -229,12 +229,12 @@ def _popular(role: str) -> str:
 
 @query("popular_pickups", _popular("pickup"))
 def _(r):
-    return trips.popular_places(trips.place_pairs(r.placed_trips), r.zones, "pickup", 10)
+    return trips.popular_places(r.pickup_counts, r.zones, 10)
 
 
 @query("popular_dropoffs", _popular("dropoff"))
 def _(r):
-    return trips.popular_places(trips.place_pairs(r.placed_trips), r.zones, "dropoff", 10)
+    return trips.popular_places(r.dropoff_counts, r.zones, 10)
 
 
 @query(
@@ -247,7 +247,7 @@ def _(r):
     ),
 )
 def _(r):
-    return trips.popular_pairs(trips.place_pairs(r.placed_trips), r.zones, 20)
+    return trips.popular_pairs(r.pair_counts, r.zones, 20)
 
 
 @query(
@@ -423,27 +423,14 @@ def _(r):
 )
 def _(r):
     values = r.table("events").select("event_type", exact.money(F.col("value")).alias("value"))
-    marked = quantiles.mark_outliers(
-        values, quantiles.iqr_fences(values, ["event_type"], "value", width=10), ["event_type"], "value"
-    )
-    inside = F.col("is_outlier") == 0
-    t = marked.groupBy("event_type").agg(
-        exact.rows().alias("n"),
-        F.sum("is_outlier").alias("outliers"),
-        F.max("low_fence").alias("low_fence"),
-        F.max("high_fence").alias("high_fence"),
-        F.sum("value").alias("total"),
-        F.sum("clipped").alias("clipped_total"),
-        F.sum(F.when(inside, F.col("value"))).alias("kept_total"),
-        F.count_if(inside).alias("kept"),
-    )
+    t = quantiles.outlier_summary(values, ["event_type"], "value")
     return t.select(
         "event_type",
         "n",
         "outliers",
         "low_fence",
         "high_fence",
-        exact.per_unit(F.col("total"), F.col("n")).alias("avg_all"),
+        exact.per_unit(F.col("total").cast("decimal(21,2)"), F.col("n")).alias("avg_all"),
         "clipped_total",
-        exact.per_unit(F.col("kept_total"), F.col("kept")).alias("avg_without"),
+        exact.per_unit(F.col("kept_total").cast("decimal(21,2)"), F.col("kept")).alias("avg_without"),
     )

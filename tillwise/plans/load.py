@@ -38,6 +38,13 @@ def lay_out(tables: Mapping[str, DataFrame], folder: str) -> None:
             df.write.mode("errorifexists").parquet(f"{folder}/{name}")
 
 
+def by_month(df: DataFrame, ts: str, sort_by: tuple[str, ...]) -> DataFrame:
+    """A load step: ``df`` written by month to the shared scratch folder and opened again."""
+    path = layout.scratch_path(df.sparkSession, "by-month")
+    layout.write_by_month(df, path, ts, sort_by)
+    return df.sparkSession.read.parquet(path)
+
+
 def open_shop(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The laid-out tables.  ``year_`` and ``month_`` are partition columns where a table has a time axis."""
     return {name: spark.read.parquet(f"{folder}/{name}") for name in SCHEMAS}

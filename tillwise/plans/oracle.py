@@ -83,7 +83,7 @@ CTES: dict[str, str] = {
         FROM orders""",
     "visit_orders": f"""
         SELECT l_orderkey AS website_session_id, 1 AS order_id, {cents("l_extendedprice")} AS price
-        FROM lineitem WHERE l_linenumber = 1""",
+        FROM lineitem""",
     "vjoined": """
         SELECT v.*, o.order_id, o.price FROM visits v LEFT JOIN visit_orders o USING (website_session_id)""",
     "shop_orders": f"""
@@ -131,3 +131,7 @@ SESSIONS = "count(DISTINCT website_session_id)"
 ORDERS = "count(order_id)"
 CONVERTED = "count(DISTINCT CASE WHEN order_id IS NOT NULL THEN website_session_id END)"
 REVENUE = "sum(price)"
+# The channel rule.
+CHANNEL = (
+    "CASE WHEN utm_source IS NOT NULL THEN 'Paid' WHEN http_referer IS NOT NULL THEN 'Organic Search' ELSE 'Direct' END"
+)

@@ -2,8 +2,8 @@
 
 Two families of sessions exist.  *Web*: one session per user and day of ``events``, which
 covers one month, has three channels, and often several purchases in a session.  *Visits*:
-one session per row of ``orders`` with its first order lines as the purchases, which covers
-seven years.  The shop proper is ``orders`` with ``lineitem`` as its items, of which the
+one session per row of ``orders`` with its order lines as the purchases, which covers
+seven years; an order without lines is a visit that did not convert.  The shop proper is ``orders`` with ``lineitem`` as its items, of which the
 returned ones carry a refund; ``part`` is the product table.
 """
 
@@ -121,7 +121,7 @@ class Roles:
 
     @cached_property
     def visit_orders(self) -> DataFrame:
-        return self.table("lineitem").where(F.col("l_linenumber") == 1).select(
+        return self.table("lineitem").select(
             F.col("l_orderkey").alias("website_session_id"),
             F.col("l_extendedprice").alias("price_usd"),
         )
@@ -251,26 +251,37 @@ class Roles:
             F.col("l_quantity").alias("distance"),
         )
 
-    @cached_property
-    def placed_trips(self) -> DataFrame:
-        """Trips with both zone ids.
-
-        Orders find their customer's zone first, so lines are shuffled once, by order, with
-        two columns.  Both joins have a unique right side: a huge order or a busy supplier
-        is skew on the left only, which the adaptive skew join splits.
-        """
+    def _dropoffs(self) -> DataFrame:
+        """Each order with the zone of its customer."""
         customer = self.table("customer").select("c_custkey", F.col("c_nationkey").alias("dropoff_zone_id"))
-        order = (
-            self.table("orders")
-            .select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("c_custkey"))
-            .join(customer, "c_custkey")
-            .select("order_id", "dropoff_zone_id")
-        )
-        supplier = self.table("supplier").select(
+        orders = self.table("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("c_custkey"))
+        return orders.join(customer, "c_custkey").select("order_id", "dropoff_zone_id")
+
+    def _pickups(self) -> DataFrame:
+        """Each supplier with its zone."""
+        return self.table("supplier").select(
             F.col("s_suppkey").alias("supplier_id"), F.col("s_nationkey").alias("pickup_zone_id")
         )
-        return (
-            self.trips.join(order, "order_id")
-            .join(supplier, "supplier_id")
-            .select("pickup_zone_id", "dropoff_zone_id")
-        )
+
+    @cached_property
+    def pickup_counts(self) -> DataFrame:
+        """Trips per pick-up zone id.  Lines are folded by supplier first, so a busy supplier joins as one row."""
+        folded = self.trips.groupBy("supplier_id").agg(exact.rows().alias("trips"))
+        return folded.join(self._pickups(), "supplier_id").select(F.col("pickup_zone_id").alias("zone_id"), "trips")
+
+    @cached_property
+    def dropoff_counts(self) -> DataFrame:
+        """Trips per drop-off zone id.  Lines are folded by order first, so a huge order joins as one row."""
+        folded = self.trips.groupBy("order_id").agg(exact.rows().alias("trips"))
+        return folded.join(self._dropoffs(), "order_id").select(F.col("dropoff_zone_id").alias("zone_id"), "trips")
+
+    @cached_property
+    def pair_counts(self) -> DataFrame:
+        """Trips per pair of zone ids.
+
+        Lines are shuffled once, folded by order and supplier; the next fold, by supplier and drop-off zone,
+        leaves at most suppliers times zones rows for the join to suppliers.
+        """
+        lines = self.trips.groupBy("order_id", "supplier_id").agg(exact.rows().alias("trips"))
+        placed = lines.join(self._dropoffs(), "order_id").groupBy("supplier_id", "dropoff_zone_id").agg(F.sum("trips").alias("trips"))
+        return placed.join(self._pickups(), "supplier_id").select("pickup_zone_id", "dropoff_zone_id", "trips")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar, exact
 from ..operators import effects, products, returns, series, sessions
-from .oracle import ORDERS, REVENUE, SESSIONS, big, dollars, half_up, label, month, per_unit, percent, sql, year
+from .oracle import CHANNEL, CONVERTED, ORDERS, REVENUE, SESSIONS, big, dollars, half_up, label, month, per_unit, percent, sql, year
 from .registry import query
 from .roles import ITEM_KEY
 
@@ -97,21 +97,23 @@ _WINDOWS = """
     ),
 )
 def _(r):
+    """Launch days are a role: the given tables have none, so they are made from the brand number."""
     return products.launch_windows(r.orders_with_items, products.launches(r.products), 90)
 
 
 @query(
     "launch_overlap",
     sql(
-        "SELECT w.launch, window_, o.launch AS other_launch, "
-        "CAST(abs(date_diff('day', l.launch_day, o.launch_day)) AS INTEGER) AS days_apart "
-        "FROM windows w JOIN launches l ON l.launch = w.launch JOIN launches o ON o.launch <> w.launch "
-        "AND o.launch_day >= lo AND o.launch_day < hi",
+        "SELECT w.launch, window_, count(o.launch) AS other_launches, "
+        "CAST(min(abs(date_diff('day', l.launch_day, o.launch_day))) AS INTEGER) AS nearest_days "
+        "FROM windows w JOIN launches l ON l.launch = w.launch LEFT JOIN launches o ON o.launch <> w.launch "
+        "AND o.launch_day >= lo AND o.launch_day < hi GROUP BY 1, 2",
         "launches",
         windows=_WINDOWS,
     ),
 )
 def _(r):
+    """Launch days are a role: the given tables have none, so they are made from the brand number."""
     return products.launch_overlap(products.launches(r.products), 90)
 
 
@@ -149,7 +151,8 @@ def _(r):
     "refunds_by_refund_date",
     sql(
         f"SELECT {label('refunded_at')} AS refund_month, count(*) AS refunds_issued, "
-        f"{half_up('''sum(date_diff('day', CAST(ordered_at AS DATE), CAST(refunded_at AS DATE)))''', 'count(*)', 1)} AS avg_days_to_refund "
+        f"{half_up('''sum(date_diff('day', CAST(ordered_at AS DATE), CAST(refunded_at AS DATE)))''', 'count(*)', 1)} AS avg_days_to_refund, "
+        "count(*) FILTER (WHERE CAST(refunded_at AS DATE) < CAST(ordered_at AS DATE)) AS dated_before_order "
         "FROM items WHERE refunded = 1 AND product_type = 'PROMO' GROUP BY 1",
         "items",
     ),
@@ -297,8 +300,8 @@ def _yearly(r, *keys):
     return sessions.totals(joined, F.year("created_at").alias("year_"), *keys)
 
 
-_YEARLY = f"SELECT {year('created_at')} AS y, {SESSIONS} AS s, {ORDERS} AS o, {REVENUE} AS v FROM vjoined GROUP BY 1"
-_BY_DEVICE = f"SELECT {year('created_at')} AS y, device_type AS d, {SESSIONS} AS s, {ORDERS} AS o, {REVENUE} AS v FROM vjoined GROUP BY 1, 2"
+_YEARLY = f"SELECT {year('created_at')} AS y, {SESSIONS} AS s, {CONVERTED} AS c, {ORDERS} AS o, {REVENUE} AS v FROM vjoined GROUP BY 1"
+_BY_DEVICE = f"SELECT {year('created_at')} AS y, device_type AS d, {SESSIONS} AS s, {CONVERTED} AS c, {REVENUE} AS v FROM vjoined GROUP BY 1, 2"
 
 
 @query(
@@ -306,7 +309,8 @@ _BY_DEVICE = f"SELECT {year('created_at')} AS y, device_type AS d, {SESSIONS} AS
     sql(
         "SELECT a.y AS first_period, b.y AS last_period, "
         f"{half_up(_prod('b.v', 'a.s'), _prod('a.v', 'b.s'), 2)} AS revenue_per_session_growth, "
-        f"{half_up(_prod('b.o', 'a.s'), _prod('a.o', 'b.s'), 2)} AS conversion_growth, "
+        f"{half_up(_prod('b.c', 'a.s'), _prod('a.c', 'b.s'), 2)} AS conversion_growth, "
+        f"{half_up(_prod('b.o', 'a.c'), _prod('a.o', 'b.c'), 2)} AS orders_per_converted_growth, "
         f"{half_up(_prod('b.v', 'a.o'), _prod('a.v', 'b.o'), 2)} AS order_value_growth "
         "FROM t a, t b WHERE a.y = (SELECT min(y) FROM t) AND b.y = (SELECT max(y) FROM t)",
         "vjoined",
@@ -331,18 +335,13 @@ def _(r):
     return series.same_month_last_year(monthly, [], "sessions")
 
 
-_CHANNEL = (
-    "CASE WHEN utm_source IS NOT NULL THEN 'Paid' WHEN http_referer IS NOT NULL THEN 'Organic Search' ELSE 'Direct' END"
-)
-
-
 @query(
     "channel_share",
     sql(
         f"SELECT c.channel, c.s AS sessions, {percent('c.s', '(SELECT sum(s) FROM t)', 1)} AS pct_of_sessions, "
         f"{half_up(_prod('c.v', 'p.s'), _prod('p.v', 'c.s'), 2)} AS relative_value FROM t c, t p WHERE p.channel = 'Paid'",
         "joined",
-        t=f"SELECT {_CHANNEL} AS channel, {SESSIONS} AS s, {REVENUE} AS v FROM joined GROUP BY 1",
+        t=f"SELECT {CHANNEL} AS channel, {SESSIONS} AS s, {REVENUE} AS v FROM joined GROUP BY 1",
     ),
 )
 def _(r):
@@ -352,8 +351,8 @@ def _(r):
 @query(
     "relative_improvement_by_segment",
     sql(
-        f"SELECT a.d AS device_type, {percent('a.o', 'a.s', 2)} AS first_conv_pct, {percent('b.o', 'b.s', 2)} AS last_conv_pct, "
-        f"{half_up(_prod('b.o', 'a.s'), _prod('a.o', 'b.s'), 2)} AS improvement FROM t a JOIN t b ON a.d = b.d "
+        f"SELECT a.d AS device_type, {percent('a.c', 'a.s', 2)} AS first_conv_pct, {percent('b.c', 'b.s', 2)} AS last_conv_pct, "
+        f"{half_up(_prod('b.c', 'a.s'), _prod('a.c', 'b.s'), 2)} AS improvement FROM t a JOIN t b ON a.d = b.d "
         "WHERE a.y = (SELECT min(y) FROM t) AND b.y = (SELECT max(y) FROM t)",
         "vjoined",
         t=_BY_DEVICE,
@@ -410,11 +409,11 @@ def _(r):
         "100.0::DOUBLE * sum(o) FILTER (WHERE c = 'brand' AND p = 0) / sum(s) FILTER (WHERE c = 'brand' AND p = 0) "
         "- 100.0::DOUBLE * sum(o) FILTER (WHERE c = 'nonbrand' AND p = 0) / sum(s) FILTER (WHERE c = 'nonbrand' AND p = 0) AS i FROM t)",
         "joined",
-        t=f"SELECT utm_campaign AS c, is_repeat_session AS p, {SESSIONS} AS s, {ORDERS} AS o FROM joined GROUP BY 1, 2",
+        t=f"SELECT utm_campaign AS c, is_repeat_session AS p, {SESSIONS} AS s, {CONVERTED} AS o FROM joined GROUP BY 1, 2",
     ),
 )
 def _(r):
-    t = sessions.conversion_by_campaign_repeat(r.web_sessions, r.web_orders)
+    t = sessions.totals(sessions.join_orders(r.web_sessions, r.web_orders), "utm_campaign", "is_repeat_session")
     return effects.composition_vs_performance(t, "utm_campaign", "is_repeat_session", "brand", "nonbrand", 0)
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar
 from ..operators import funnel, sessions, users
-from .oracle import CONVERTED, ORDERS, REVENUE, SESSIONS, big, dollars, label, month, per_unit, percent, sql, text, year
+from . import load
+from .oracle import CHANNEL, CONVERTED, ORDERS, REVENUE, SESSIONS, big, dollars, label, month, per_unit, percent, sql, text, year
 from .registry import query
 
-YEARS = range(1995, 2002)
+PIVOT_YEARS = range(1995, 2002)
 
 
 def _year():
@@ -24,7 +25,7 @@ def _months():
     return calendar.year_month(F.col("created_at"))
 
 
-CONV = percent(ORDERS, SESSIONS, 2)
+CONV = percent(CONVERTED, SESSIONS, 2)
 PER_SESSION = per_unit(REVENUE, SESSIONS)
 PER_ORDER = per_unit(REVENUE, ORDERS)
 YM = f"{year('created_at')} AS year_, {month('created_at')} AS month_"
@@ -53,8 +54,8 @@ def _(r):
 
 _PIVOT = ", ".join(
     f"CAST(sum(CASE WHEN year(created_at) = {y} THEN 1 {'' if y == 2001 else 'ELSE 0 '}END) AS BIGINT) AS sessions_{y}"
-    for y in YEARS
-)
+    for y in PIVOT_YEARS
+) + f", count(*) FILTER (WHERE year(created_at) NOT BETWEEN {min(PIVOT_YEARS)} AND {max(PIVOT_YEARS)}) AS sessions_other_years"
 
 
 @query(
@@ -62,14 +63,14 @@ _PIVOT = ", ".join(
     sql(f"SELECT {month('created_at')} AS month_, {_PIVOT} FROM visits GROUP BY 1", "visits"),
 )
 def _(r):
-    return sessions.sessions_by_year_pivot(r.visits, list(YEARS), blank_years=[2001]).orderBy("month_")
+    return sessions.sessions_by_year_pivot(r.visits, list(PIVOT_YEARS), blank_years=[2001]).orderBy("month_")
 
 
 @query(
     "overall_conversion",
     sql(
         f"SELECT {SESSIONS} AS sessions, {ORDERS} AS orders, {CONVERTED} AS converted, "
-        f"{percent(ORDERS, SESSIONS, 6)} AS conversion_rate_pct FROM joined",
+        f"{percent(CONVERTED, SESSIONS, 6)} AS conversion_rate_pct FROM joined",
         "joined",
     ),
 )
@@ -81,7 +82,7 @@ def _(r):
     "monthly_conversion",
     sql(
         f"SELECT {YM}, {SESSIONS} AS sessions, {ORDERS} AS orders, {CONVERTED} AS converted, "
-        f"{percent(ORDERS, SESSIONS, 5)} AS conversion_rate_pct FROM vjoined GROUP BY 1, 2",
+        f"{percent(CONVERTED, SESSIONS, 5)} AS conversion_rate_pct FROM vjoined GROUP BY 1, 2",
         "vjoined",
     ),
 )
@@ -93,7 +94,7 @@ def _(r):
     "daily_conversion",
     sql(
         f"SELECT strftime(created_at, '%Y-%m-%d') AS day, {SESSIONS} AS sessions, {ORDERS} AS orders, "
-        f"{CONVERTED} AS converted, {percent(ORDERS, SESSIONS, 5)} AS conversion_rate_pct FROM joined GROUP BY 1",
+        f"{CONVERTED} AS converted, {percent(CONVERTED, SESSIONS, 5)} AS conversion_rate_pct FROM joined GROUP BY 1",
         "joined",
     ),
 )
@@ -101,15 +102,10 @@ def _(r):
     return sessions.conversion(r.web_sessions, r.web_orders, [_day()]).orderBy("day")
 
 
-_CHANNEL = (
-    "CASE WHEN utm_source IS NOT NULL THEN 'Paid' WHEN http_referer IS NOT NULL THEN 'Organic Search' ELSE 'Direct' END"
-)
-
-
 @query(
     "channel_performance",
     sql(
-        f"SELECT {_CHANNEL} AS channel, {SESSIONS} AS sessions, {ORDERS} AS orders, {CONV} AS conversion_rate_pct, "
+        f"SELECT {CHANNEL} AS channel, {SESSIONS} AS sessions, {ORDERS} AS orders, {CONV} AS conversion_rate_pct, "
         f"{dollars(REVENUE)} AS revenue, {PER_SESSION} AS revenue_per_session FROM joined GROUP BY 1",
         "joined",
     ),
@@ -158,12 +154,15 @@ def _(r):
     ),
 )
 def _(r):
-    window = r.visits.where(calendar.until_day_of_years(F.col("created_at"), 7, 31, YEARS))
-    return sessions.session_counts(window, [_year()]).orderBy("year_")
+    """Over visits laid out by month: months past the window are not read."""
+    laid_out = load.by_month(r.visits, "created_at", ("created_at", "website_session_id"))
+    window = laid_out.where(calendar.until_day_in_months(F.col("month_"), F.col("created_at"), 7, 31))
+    return sessions.session_counts(window, [F.col("year_")]).orderBy("year_")
 
 
 # --- funnel --------------------------------------------------------------------
 
+# The pages of the checkout.
 _REACHED = {
     "reached_products": "pageview_url = '/products'",
     "reached_product_detail": "pageview_url LIKE '/the-%'",
@@ -253,7 +252,7 @@ def _(r):
 
 _DEVICE_PIVOT = (
     "SELECT k, max(CASE WHEN device_type = 'desktop' THEN s END) AS hs, max(CASE WHEN device_type = 'mobile' THEN s END) AS ls, "
-    "max(CASE WHEN device_type = 'desktop' THEN o END) AS ho, max(CASE WHEN device_type = 'mobile' THEN o END) AS lo "
+    "max(CASE WHEN device_type = 'desktop' THEN c END) AS hc, max(CASE WHEN device_type = 'mobile' THEN c END) AS lc "
     "FROM by_device GROUP BY 1"
 )
 
@@ -261,9 +260,9 @@ _DEVICE_PIVOT = (
 def _device_gap(key: str) -> str:
     h = "CAST({} AS HUGEINT) * {}"
     return (
-        f"SELECT k AS {key}, {percent('ho', 'hs', 2)} AS desktop_conv_pct, {percent('lo', 'ls', 2)} AS mobile_conv_pct, "
-        f"{percent(h.format('ho', 'ls') + ' - ' + h.format('lo', 'hs'), h.format('hs', 'ls'), 2)} AS gap_points, "
-        f"{percent(h.format('ho', 'ls'), '100 * ' + h.format('hs', 'lo'), 2)} AS gap_ratio FROM wide"
+        f"SELECT k AS {key}, {percent('hc', 'hs', 2)} AS desktop_conv_pct, {percent('lc', 'ls', 2)} AS mobile_conv_pct, "
+        f"{percent(h.format('hc', 'ls') + ' - ' + h.format('lc', 'hs'), h.format('hs', 'ls'), 2)} AS gap_points, "
+        f"{percent(h.format('hc', 'ls'), '100 * ' + h.format('hs', 'lc'), 2)} AS gap_ratio FROM wide"
     )
 
 
@@ -272,7 +271,7 @@ def _device_gap(key: str) -> str:
     sql(
         _device_gap("year_"),
         "vjoined",
-        by_device=f"SELECT {year('created_at')} AS k, device_type, {SESSIONS} AS s, {ORDERS} AS o FROM vjoined GROUP BY 1, 2",
+        by_device=f"SELECT {year('created_at')} AS k, device_type, {SESSIONS} AS s, {CONVERTED} AS c FROM vjoined GROUP BY 1, 2",
         wide=_DEVICE_PIVOT,
     ),
 )
@@ -285,7 +284,7 @@ def _(r):
     sql(
         _device_gap("week"),
         "joined",
-        by_device=f"SELECT CAST(CAST(date_trunc('week', created_at) AS DATE) AS VARCHAR) AS k, device_type, {SESSIONS} AS s, {ORDERS} AS o FROM joined GROUP BY 1, 2",
+        by_device=f"SELECT CAST(CAST(date_trunc('week', created_at) AS DATE) AS VARCHAR) AS k, device_type, {SESSIONS} AS s, {CONVERTED} AS c FROM joined GROUP BY 1, 2",
         wide=_DEVICE_PIVOT,
     ),
 )
@@ -485,7 +484,7 @@ def _(r):
     sql(
         f"SELECT {label('c')} AS cohort_month, max(z) AS cohort_size, "
         + ", ".join(f"max(CASE WHEN k = {m} THEN n END) AS month_{m}" for m in range(7))
-        + " FROM cells JOIN size USING (c) GROUP BY 1",
+        + ", CAST(coalesce(sum(CASE WHEN k > 6 THEN n END), 0) AS BIGINT) AS later_months FROM cells JOIN size USING (c) GROUP BY 1",
         **_COHORT,
     ),
 )

@@ -8,7 +8,6 @@ not worth a partition: a columnar scan of half the table is already right.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,12 +52,7 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort_by: t
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Where that is unset a local session gets a folder of its own; a cluster does not, since
-    its executors could not reach it.
+    Where that is unset the session's warehouse serves: Spark itself takes it to be shared.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="tillwise-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -101,13 +101,14 @@ def outlier_summary(df: DataFrame, keys: Sequence[str], value: str, reach: str =
     """
     counts = fold(df, keys, value)
     fences = with_fences(from_fold(counts, keys, value, {"q1": "0.25", "q3": "0.75"}), reach)
-    v, n = F.col(value), F.col("n")
-    joined = null_safe_join(counts.where(v.isNotNull()), fences.select(*keys, "low_fence", "high_fence"), keys)
+    v = F.col(value)
+    n = F.when(v.isNotNull(), F.col("n"))  # a filter here would make a second fold, over a scan of its own
+    joined = null_safe_join(counts, fences.select(*keys, "low_fence", "high_fence"), keys)
     outside = (v < F.col("low_fence")) | (v > F.col("high_fence"))
     clipped = F.greatest(F.least(v, F.col("high_fence")), F.col("low_fence"))
     weighed = lambda c: F.sum((c * n).cast("decimal(38,4)"))
-    return joined.groupBy(*keys).agg(
-        F.sum("n").alias("n"),
+    summary = joined.groupBy(*keys).agg(
+        F.sum(n).alias("n"),
         F.coalesce(F.sum(F.when(outside, n)), F.lit(0)).alias("outliers"),
         F.max("low_fence").alias("low_fence"),
         F.max("high_fence").alias("high_fence"),
@@ -116,6 +117,7 @@ def outlier_summary(df: DataFrame, keys: Sequence[str], value: str, reach: str =
         weighed(F.when(~outside, v)).alias("kept_total"),
         F.coalesce(F.sum(F.when(~outside, n)), F.lit(0)).alias("kept"),
     )
+    return summary.where(F.col("n").isNotNull())
 
 
 def mark_outliers(df: DataFrame, fences: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

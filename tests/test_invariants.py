@@ -52,3 +52,22 @@ def test_items_and_refunds_agree_across_reports(spark, r):
     assert total(everything, "items_sold", "items_refunded") == want
     mix = products.product_mix(r.items, r.products)
     assert total(mix, F.col("sold_as_primary") + F.col("sold_as_addon"))[0] == want[0]
+
+
+def test_no_line_visit_or_cohort_month_is_lost(spark, r):
+    lines = r.table("lineitem")
+    want = sum(Decimal(str(x.l_extendedprice)) for x in lines.select("l_extendedprice").collect())
+    by_month = sessions.totals(sessions.join_orders(r.visits, r.visit_orders), F.year("created_at").alias("y"), F.month("created_at").alias("m"))
+    assert total(by_month, "sessions", "orders", "revenue") == (r.visits.count(), lines.count(), want)
+    pivot = sessions.sessions_by_year_pivot(r.visits, [1996, 1997])
+    assert sum(total(pivot, *pivot.columns[1:])) == r.visits.count()
+    retention = users.cohort_retention(r.orders)
+    matrix = users.cohort_matrix(retention, 6)
+    assert sum(x or 0 for x in total(matrix, *[F.coalesce(c, F.lit(0)) for c in matrix.columns[2:]])) == total(retention, "users")[0]
+
+
+def test_no_conversion_rate_exceeds_one_hundred(spark, r):
+    for t in (sessions.conversion(r.web_sessions, r.web_orders), sessions.channel_performance(r.web_sessions, r.web_orders)):
+        assert all(x.conversion_rate_pct <= 100 for x in t.collect())
+    t = sessions.conversion(r.web_sessions, r.web_orders).first()
+    assert t.converted < t.orders  # the data has sessions with several orders, so the two differ

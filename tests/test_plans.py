@@ -33,7 +33,7 @@ def without_broadcasts(spark):
         spark.conf.unset(k)
 
 
-WRITES = {"csv_exchange", "month_layout", "like_for_like_pushed_down"}
+WRITES = {"csv_exchange", "month_layout", "like_for_like_pushed_down", "csv_files_as_one_table"}
 
 
 @pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITES))

@@ -12,7 +12,10 @@ from . import load
 from .oracle import CONVERTED, ORDERS, REVENUE, SESSIONS, big, cents, dollars, label, per_unit, percent, sql
 from .registry import query
 
-_SIZED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_SIZED = (
+    *("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"),
+    *("documents", "embeddings", "pages", "benchmark", "labels", "conversations"),
+)
 
 
 @query(
@@ -23,6 +26,23 @@ def _(r):
     return quality.table_sizes({t: r.table(t) for t in _SIZED})
 
 
+# Rows that a complete load has, and one that it must not reach.
+_EXPECTED = {"region": 5, "nation": 25, "lineitem": 1}
+
+
+@query(
+    "check_row_counts",
+    " UNION ALL ".join(
+        f"SELECT 'row_count' AS check_name, '{t}' AS subject, CAST({n} AS BIGINT) AS expected, count(*) AS actual, "
+        f"CAST(count(*) = {n} AS INTEGER) AS ok FROM {t}"
+        for t, n in _EXPECTED.items()
+    ),
+)
+def _(r):
+    """Loaded rows against expected rows; the last expectation is wrong on purpose and must be reported."""
+    return quality.row_counts({t: r.table(t) for t in _EXPECTED}, _EXPECTED)
+
+
 @query(
     "check_null_text",
     sql(
@@ -52,6 +72,12 @@ _KEYS = {
     "orders": ["o_orderkey"],
     "lineitem": ["l_orderkey", "l_linenumber"],
     "events": ["event_id"],
+    "documents": ["doc_id"],
+    "embeddings": ["vec_id"],
+    "pages": ["page_id"],
+    "benchmark": ["item_id"],
+    "labels": ["doc_id"],
+    "conversations": ["conv_id", "turn"],
 }
 
 
@@ -136,7 +162,10 @@ def _(r):
         "SELECT 'devices sum to sessions', (SELECT count(*) FROM sessions), "
         "(SELECT CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM sessions WHERE device_type IN ('desktop', 'mobile') GROUP BY device_type)) UNION ALL "
         "SELECT 'visit devices sum to visits', (SELECT count(*) FROM visits), "
-        "(SELECT count(*) FROM visits WHERE device_type IN ('desktop', 'mobile')))",
+        "(SELECT count(*) FROM visits WHERE device_type IN ('desktop', 'mobile')) UNION ALL "
+        f"SELECT 'item prices sum to order prices', (SELECT CAST(sum({cents('o_totalprice')}) AS BIGINT) FROM orders), "
+        f"(SELECT CAST(sum({cents('l_extendedprice')}) AS BIGINT) FROM lineitem) UNION ALL "
+        "SELECT 'orders with items = orders', (SELECT count(*) FROM orders), (SELECT count(DISTINCT l_orderkey) FROM lineitem))",
         "sessions",
         "web_orders",
         "pageviews",
@@ -161,6 +190,17 @@ def _(r):
                 sessions.session_counts(r.visits, [F.col("device_type")]),
                 "sessions",
             ),
+            # these two set one table against another, and say so where the data does not tie
+            quality.tie_out(
+                "item prices sum to order prices",
+                r.orders.agg(exact.sum_cents("price_usd")),
+                r.items.agg(exact.sum_cents("price_usd")),
+            ),
+            quality.tie_out(
+                "orders with items = orders",
+                r.orders.agg(exact.rows()),
+                r.items.select("order_id").distinct().agg(exact.rows()),
+            ),
         ]
     )
 
@@ -217,8 +257,9 @@ def _(r):
         "SELECT 'frequency tiers larger than the tier before', count(*) FILTER (WHERE u > p) FROM "
         "(SELECT u, lag(u) OVER (ORDER BY n) AS p FROM (SELECT n, count(*) AS u FROM "
         "(SELECT user_id, count(*) AS n FROM sessions GROUP BY 1) GROUP BY 1)) UNION ALL "
-        "SELECT 'refunds that differ from the price', CAST(0 AS BIGINT))",
+        "SELECT 'refunds that differ from the price', count(*) FILTER (WHERE refunded = 1 AND refund <> price) FROM items)",
         "sessions",
+        "items",
     ),
 )
 def _(r):
@@ -258,6 +299,42 @@ def _(r):
     return csv.null_text(csv.read(r.spark, path, _CAMPAIGN_CSV), ["utm_campaign"])
 
 
+_ORDERS_CSV = T.StructType(
+    [
+        T.StructField("order_id", T.LongType()),
+        T.StructField("created_at", T.TimestampNTZType()),
+        T.StructField("price_usd", T.DecimalType(18, 2)),
+        T.StructField("priority", T.StringType()),
+    ]
+)
+
+
+@query(
+    "csv_files_as_one_table",
+    sql(
+        "SELECT CAST(year(o_orderdate) AS INTEGER) AS year_, count(*) AS orders, "
+        f"{dollars('sum(' + cents('o_totalprice') + ')')} AS revenue, "
+        "CAST(max(length(o_orderpriority)) AS INTEGER) AS longest_priority FROM orders GROUP BY 1"
+    ),
+)
+def _(r):
+    """Orders written as CSV twice, even years with CRLF and odd years with LF, and read as one typed table.
+
+    The text column is last on the line: a carriage return that stayed would make it longer.
+    """
+    orders = r.orders.select("order_id", "created_at", exact.money(F.col("price_usd")).alias("price_usd"), "priority")
+    paths = []
+    for odd, ending in ((0, "\r\n"), (1, "\n")):
+        paths.append(layout.scratch_path(r.spark, "yearly-csv"))
+        csv.write_result(orders.where(F.year("created_at") % 2 == odd), paths[-1], ending)
+    read = csv.read(r.spark, paths, _ORDERS_CSV)
+    return read.groupBy(F.year("created_at").alias("year_")).agg(
+        exact.rows().alias("orders"),
+        exact.from_cents(exact.sum_cents("price_usd")).alias("revenue"),
+        F.max(F.length("priority")).alias("longest_priority"),
+    )
+
+
 @query(
     "month_layout",
     sql(

@@ -94,7 +94,8 @@ CTES: dict[str, str] = {
     "items": f"""
         SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_linenumber = 1 AS INTEGER) AS is_primary_item,
                p_brand AS product_name, p_type AS product_type, o_orderdate AS ordered_at, l_shipdate AS refunded_at,
-               {cents("l_extendedprice")} AS price, CAST(l_returnflag = 'R' AS INTEGER) AS refunded
+               {cents("l_extendedprice")} AS price, CAST(l_returnflag = 'R' AS INTEGER) AS refunded,
+               CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) * 100 AS BIGINT) AS refund
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey""",
     "launches": """
         SELECT p_brand AS launch, DATE '1995-06-01' + 80 * CAST(split_part(p_brand, '#', 2) AS INTEGER) AS launch_day

@@ -41,6 +41,12 @@ def _device(user: str) -> Column:
     return F.when(F.col(user) % 10 < 7, "desktop").otherwise("mobile").alias("device_type")
 
 
+def _refund_amount() -> Column:
+    """What a return pays back: the price net of its discount, rounded to cents, so it differs from the price at times."""
+    net = F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    return F.round(net, 2).cast("decimal(18,2)")
+
+
 class Roles:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -169,7 +175,7 @@ class Roles:
         return self.table("lineitem").where(F.col("l_returnflag") == "R").select(
             *self._item_key(),
             F.col("l_shipdate").alias("created_at"),
-            F.col("l_extendedprice").alias("refund_amount_usd"),
+            _refund_amount().alias("refund_amount_usd"),
         )
 
     @cached_property
@@ -187,7 +193,7 @@ class Roles:
             (F.col("l_linenumber") == 1).cast("int").alias("is_primary_item"),
             price.alias("price_usd"),
             F.when(returned, 1).alias("refunded"),
-            F.when(returned, price).alias("refund_amount_usd"),
+            F.when(returned, _refund_amount()).alias("refund_amount_usd"),
         )
 
     @cached_property

@@ -120,7 +120,7 @@ def _(r):
 # --- refunds ---------------------------------------------------------------------
 
 _SOLD = f"count(*) AS items_sold, {big('sum(refunded)')} AS items_refunded, {percent('sum(refunded)', 'count(*)', 2)} AS refund_rate_pct"
-_RV = "sum(CASE WHEN refunded = 1 THEN price END)"
+_RV = "sum(CASE WHEN refunded = 1 THEN refund END)"
 
 
 @query(
@@ -278,7 +278,7 @@ def _(r):
     "refund_cost_share",
     sql(
         f"SELECT product_name, {dollars(_RV)} AS refunded_value, "
-        f"{percent(_RV, '(SELECT sum(price) FROM items WHERE refunded = 1)', 1)} AS pct_of_refunded FROM items GROUP BY 1",
+        f"{percent(_RV, '(SELECT sum(refund) FROM items WHERE refunded = 1)', 1)} AS pct_of_refunded FROM items GROUP BY 1",
         "items",
     ),
 )

@@ -48,12 +48,13 @@ def read_table(spark: SparkSession, name: str, paths: str | Sequence[str]) -> Da
     return null_text(read(spark, paths, SCHEMAS[name]), NULL_TEXT_COLUMNS.get(name, ()))
 
 
-def write_result(df: DataFrame, path: str) -> None:
+def write_result(df: DataFrame, path: str, line_end: str = "\n") -> None:
     """Export a query result: header row, NULL written as text."""
     (
         df.write.mode("errorifexists")
         .option("header", True)
         .option("nullValue", NULL_TEXT)
+        .option("lineSep", line_end)
         .option("timestampNTZFormat", TIMESTAMPS)
         .csv(path)
     )

@@ -33,7 +33,7 @@ def without_broadcasts(spark):
         spark.conf.unset(k)
 
 
-WRITES = {"csv_exchange", "month_layout", "like_for_like_pushed_down", "csv_files_as_one_table"}
+WRITES = {"csv_exchange", "month_layout", "like_for_like_pushed_down", "csv_files_as_one_table", "bucketed_session_join"}
 
 
 @pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITES))
@@ -104,6 +104,11 @@ def test_first_purchases_are_found_without_sorting(spark, without_broadcasts):
     assert "SortAggregate" not in initial(entry.queries()["repeat_purchase_reconciliation"](spark, SMALL))
 
 
+def test_bucketed_sessions_and_purchases_join_without_a_shuffle(spark, without_broadcasts):
+    plan = initial(entry.queries()["bucketed_session_join"](spark, SMALL))
+    assert "SortMergeJoin" in plan and "Exchange" not in plan.split("SortMergeJoin")[1]
+
+
 def test_like_for_like_reads_only_the_months_it_needs(spark):
     plan = initial(entry.queries()["like_for_like_pushed_down"](spark, SMALL))
     assert "PartitionFilters: [" in plan and "month_" in plan.split("PartitionFilters: [")[1].split("]")[0]

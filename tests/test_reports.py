@@ -21,9 +21,9 @@ def opened(spark, tmp_path_factory):
             df.coalesce(1).write.option("header", True).option("nullValue", "NULL").option("lineSep", "\r\n")
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(f"{raw}/{name}.csv")
         )
-    read = load.read_shop(spark, raw)
-    assert rows(load.verify(read).where("ok = 0")) == []
-    load.lay_out(read, f"{out}/shop")
+    staged = load.stage(load.read_shop(spark, raw), f"{out}/staged")
+    assert rows(load.verify(staged).where("ok = 0")) == []
+    load.lay_out(staged, f"{out}/shop", buckets=4)
     return load.open_shop(spark, f"{out}/shop")
 
 
@@ -32,6 +32,25 @@ def test_reports_from_files_equal_reports_from_memory(spark, opened, name):
     assert rows(REPORTS[name](opened, S)) == rows(REPORTS[name](tables(spark), S))
 
 
+def test_reports_over_the_layout_join_without_a_shuffle_and_prune(spark, opened):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = REPORTS["annual_revenue_like_for_like"](opened, S)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = plan.split("SortMergeJoin")[1]
+    assert "Exchange" not in join
+    assert "month_" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_files_open_without_the_catalogue(spark, opened, tmp_path):
+    path = {n: df.inputFiles()[0] for n, df in opened.items()}["orders"]
+    folder = path.split("/shop/")[0] + "/shop"
+    again = load.open_shop(spark, folder + "/")
+    assert again["orders"].count() == opened["orders"].count()
+
+
 def test_thirty_reports():
     assert len(REPORTS) == 30
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,13 +11,15 @@ from ..operators import quality
 from ..sources import csv, layout
 from ..sources.schemas import SCHEMAS
 
-# Tables with a time axis, and the columns their files are sorted by inside a month.
-_BY_MONTH: dict[str, tuple[str, ...]] = {
-    "website_sessions": ("created_at", "website_session_id"),
-    "website_pageviews": ("pageview_url", "created_at"),
-    "orders": ("created_at", "order_id"),
-    "order_item_refunds": ("created_at", "order_item_refund_id"),
+# The key of each table's buckets, its time axis, and what its files are sorted by.
+_LAYOUT: dict[str, tuple[str, str | None, tuple[str, ...]]] = {
+    "website_sessions": ("website_session_id", "created_at", ("created_at",)),
+    "website_pageviews": ("website_session_id", "created_at", ("pageview_url",)),
+    "orders": ("website_session_id", "created_at", ("created_at",)),
+    "order_items": ("order_id", "created_at", ("order_item_id",)),
+    "order_item_refunds": ("order_id", "created_at", ("order_item_id",)),
 }
+BUCKETS = 64
 
 
 def read_shop(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -29,11 +32,29 @@ def verify(tables: Mapping[str, DataFrame], expected_counts: Mapping[str, int] |
     return quality.run(tables, expected_counts)
 
 
-def lay_out(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Write the tables once, after verification, in the layout that the reports scan."""
+def stage(tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """The raw tables as typed Parquet, parsed once: checks and layout read these instead of the text."""
+    out = {}
     for name, df in tables.items():
-        if name in _BY_MONTH:
-            layout.write_by_month(df, f"{folder}/{name}", "created_at", _BY_MONTH[name])
+        df.write.mode("errorifexists").parquet(f"{folder}/{name}")
+        out[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+    return out
+
+
+def _entry(folder: str, name: str) -> str:
+    """The catalogue name of a laid-out table: one per folder."""
+    return f"tillwise_{hashlib.md5(folder.rstrip('/').encode()).hexdigest()[:12]}_{name}"
+
+
+def lay_out(tables: Mapping[str, DataFrame], folder: str, buckets: int = BUCKETS) -> None:
+    """Write the tables once, after verification, in the layout that the reports scan.
+
+    Sessions, pageviews and orders share buckets of the session, items and refunds those of the order.
+    """
+    for name, df in tables.items():
+        if name in _LAYOUT:
+            key, ts, sort_by = _LAYOUT[name]
+            layout.write_bucketed_by_month(df, _entry(folder, name), f"{folder}/{name}", key, buckets, ts, sort_by)
         else:
             df.write.mode("errorifexists").parquet(f"{folder}/{name}")
 
@@ -45,6 +66,22 @@ def by_month(df: DataFrame, ts: str, sort_by: tuple[str, ...]) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def by_bucket(tables: Sequence[DataFrame], key: str, buckets: int) -> list[DataFrame]:
+    """A load step: each table written in buckets of ``key`` to the shared scratch folder and opened again."""
+    out = []
+    for df in tables:
+        path = layout.scratch_path(df.sparkSession, "by-bucket")
+        layout.write_bucketed_by_month(df, _entry(path, "t"), path, key, buckets)
+        out.append(df.sparkSession.table(_entry(path, "t")))
+    return out
+
+
 def open_shop(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The laid-out tables.  ``year_`` and ``month_`` are partition columns where a table has a time axis."""
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in SCHEMAS}
+    """The laid-out tables.  ``year_`` and ``month_`` are partition columns where a table has a time axis.
+
+    Buckets are known from the catalogue; where that has no entry, the same files are read without them.
+    """
+    return {
+        name: spark.table(_entry(folder, name)) if spark.catalog.tableExists(_entry(folder, name)) else spark.read.parquet(f"{folder}/{name}")
+        for name in SCHEMAS
+    }

@@ -24,6 +24,7 @@ Tables = Mapping[str, DataFrame]
 class Settings:
     """Literals of the reports.  ``same_until``: month and day up to which every year is covered."""
 
+    # Those of the published reports.
     pivot_years: tuple[int, ...] = (2012, 2013, 2014)
     blank_years: tuple[int, ...] = (2012,)
     same_until: tuple[int, int] = (3, 19)
@@ -42,7 +43,10 @@ def _year():
 
 
 def _same(t: Tables, s: Settings) -> DataFrame:
-    return t["website_sessions"].where(calendar.until_day_of_year(F.col("created_at"), *s.same_until))
+    sessions_ = t["website_sessions"]
+    if "month_" in sessions_.columns:  # laid out by month: later months are not read
+        return sessions_.where(calendar.until_day_in_months(F.col("month_"), F.col("created_at"), *s.same_until))
+    return sessions_.where(calendar.until_day_of_year(F.col("created_at"), *s.same_until))
 
 
 def _later_launches(t: Tables) -> DataFrame:

@@ -160,6 +160,19 @@ def _(r):
     return sessions.session_counts(window, [F.col("year_")]).orderBy("year_")
 
 
+@query(
+    "bucketed_session_join",
+    sql(
+        f"SELECT {year('created_at')} AS year_, {_REVENUE} FROM vjoined GROUP BY 1",
+        "vjoined",
+    ),
+)
+def _(r):
+    """Visits and their purchases laid out in buckets of the session: their join shuffles neither."""
+    visits, purchases = load.by_bucket([r.visits, r.visit_orders], "website_session_id", 16)
+    return sessions.revenue_metrics(visits, purchases, [_year()])
+
+
 # --- funnel --------------------------------------------------------------------
 
 # The pages of the checkout.

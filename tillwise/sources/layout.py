@@ -49,6 +49,21 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort_by: t
     )
 
 
+def write_bucketed_by_month(
+    df: DataFrame, table: str, path: str, key: str, buckets: int, ts: str | None = None, sort_by: tuple[str, ...] = ()
+) -> None:
+    """Save files under ``path``, and a catalogue entry ``table`` for them, in buckets of ``key``.
+
+    With ``ts`` each bucket is also cut by month.  A join or fold on ``key`` then needs no shuffle and a date
+    or calendar filter still prunes.  One task holds one bucket's rows, so ``buckets`` has to grow with the table.
+    """
+    months = ["year_", "month_"] if ts else []
+    keyed = df.withColumn("year_", F.year(ts)).withColumn("month_", F.month(ts)) if ts else df
+    writer = keyed.repartition(buckets, key).write.mode("errorifexists").format("parquet").option("path", path)
+    writer = writer.bucketBy(buckets, key).sortBy(key, *[c for c in sort_by if c != key])
+    (writer.partitionBy(*months) if months else writer).saveAsTable(table)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 

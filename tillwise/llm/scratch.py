@@ -22,11 +22,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Spark's own switch: shuffle files go when the query that made them ends, not at some later garbage collection.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back: what follows starts from these files."""
+    """Write ``df`` once and read it back: what follows starts from these files, and the shuffles that led here are dropped."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out

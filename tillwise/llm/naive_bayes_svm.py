@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import memory
 from .text import encoded, id_remainder
 
 SLOTS = 1 << 18
@@ -36,7 +37,7 @@ class _Shapes(dict):
     """word -> (hash of the word in lower case, hash of its shape); forgets all when it gets large."""
 
     def __missing__(self, word: bytes) -> tuple[int, int]:
-        if len(self) > 300_000:
+        if len(self) > 120_000:
             self.clear()
         text = word.decode("utf-8", "surrogatepass")
         core = text.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
@@ -47,15 +48,12 @@ class _Shapes(dict):
         return out
 
 
-_shapes = _Shapes()
-
-
 def slots(text: str | None) -> np.ndarray:
     """Distinct feature slots of a text; none for a null or empty one."""
     words = encoded(text).split()
     if not words:
         return np.zeros(0, np.int64)
-    both = np.array([_shapes[w] for w in words], np.uint64)
+    both = np.array(list(map(memory.keep("shapes", _Shapes).__getitem__, words)), np.uint64)
     word, shape = both[:, 0], both[:, 1].copy()
     shape[1:][word[1:] == word[:-1]] += np.uint64(1)
     with np.errstate(over="ignore"):

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import memory
+
 TOKENIZER = "byte_bpe_50k.json"
 MEMO = 400_000
 #: Byte-level pre-tokenizers always cut where white space (Unicode's) begins after something else.
@@ -53,20 +55,19 @@ class Offsets(dict):
         return np.frombuffer(b"".join(packed), "<i4").reshape(-1, 2) + np.repeat(starts, n)[:, None]
 
 
-_loaded: dict[str, Offsets] = {}
-
-
 def offsets(name: str) -> Offsets:
     """A worker's tokenizer; ``name`` is a file of the tokenizer package or a path.  Special tokens' strings are ordinary text."""
-    if name not in _loaded:
+
+    def make() -> Offsets:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
         tokenizer.encode_special_tokens = True
-        _loaded[name] = Offsets(tokenizer)
-    return _loaded[name]
+        return Offsets(tokenizer)
+
+    return memory.keep(("offsets", name), make)
 
 
 def attribute(tokens: np.ndarray, sections: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -11,13 +11,19 @@ DATA = "/root/testdata/sf0.01"
 
 
 def test_held_out_labels_are_predicted(spark):
-    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     rows = nb.classify(docs, labels).join(labels, "doc_id").where("held_out").collect()
-    assert len(rows) > 60
+    assert len(rows) > 900
     right = [r["predicted"] == r["quality"] for r in rows]
     good = [r["predicted"] for r in rows if r["quality"] == 1]
     assert np.mean(right) > 0.95 and np.mean(good) > 0.99
-    assert nb.keep_good(docs, labels).count() == nb.classify(docs, labels).where("predicted = 1").count()
+
+
+def test_kept_rows_are_those_predicted_good(spark):
+    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    kept = nb.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    assert kept.count() == nb.classify(docs, labels).where("predicted = 1").count()
 
 
 def test_the_dual_solution_is_the_best():

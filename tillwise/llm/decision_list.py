@@ -124,8 +124,10 @@ def _covers(rule: Rule, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _grow(x: np.ndarray, bad: np.ndarray, max_literals: int) -> Rule:
-    """Adds the literal with the largest information gain until no good row is covered."""
+def _grow(x: np.ndarray, bad: np.ndarray, max_literals: int, banned: frozenset = frozenset()) -> Rule:
+    """Adds the literal with the largest information gain until no good row is covered.
+
+    The first one may not be of a ``banned`` (feature, side)."""
     rule: list[Literal] = []
     inside = np.ones(len(x), bool)
     while len(rule) < max_literals and (inside & ~bad).any() and (inside & bad).any():
@@ -139,6 +141,8 @@ def _grow(x: np.ndarray, bad: np.ndarray, max_literals: int) -> Rule:
             cuts = (values[1:] + values[:-1]) / 2
             cuts = np.unique(cuts[np.linspace(0, len(cuts) - 1, min(200, len(cuts))).astype(int)])
             for at_least in (True, False):
+                if not rule and (name, at_least) in banned:
+                    continue
                 side = np.sort(v[bad[inside] & np.isfinite(v)]), np.sort(v[~bad[inside] & np.isfinite(v)])
                 q = [len(s) - np.searchsorted(s, cuts, "left") if at_least else np.searchsorted(s, cuts, "right") for s in side]
                 with np.errstate(divide="ignore", invalid="ignore"):
@@ -169,8 +173,9 @@ def learn(x: np.ndarray, bad: np.ndarray, min_precision=MIN_PRECISION, max_rules
     part = np.random.default_rng(seed).random(len(x)) < 2 / 3
     left = np.ones(len(x), bool)
     rules: list[Rule] = []
+    banned: frozenset = frozenset()
     while len(rules) < max_rules and (left & part & bad).any():
-        rule = _grow(x[left & part], bad[left & part], max_literals)
+        rule = _grow(x[left & part], bad[left & part], max_literals, banned)
         if not rule:
             break
         held = left & ~part
@@ -178,9 +183,11 @@ def learn(x: np.ndarray, bad: np.ndarray, min_precision=MIN_PRECISION, max_rules
         c = _covers(rule, x)
         p, n = (c & held & bad).sum(), (c & held & ~bad).sum()
         if p == 0 or p / (p + n) < min_precision:
-            break
+            banned |= {(rule[0].feature, rule[0].at_least)}  # too vague: start from another feature
+            continue
         rules.append(rule)
         left &= ~c
+        banned = frozenset()
     return rules
 
 

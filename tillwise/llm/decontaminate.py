@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import materialize
-from .text import lower_ascii
+from .text import lower_ascii, unused
 
 WINDOW = 10
 BROADCAST_WINDOWS = 500_000
@@ -124,8 +124,9 @@ def drop_documents(docs: DataFrame, benchmark: DataFrame, min_hit: int = 1, id_c
     knows how few they are before it plans how to take them out.
     """
     found = find(docs, benchmark, id_col=id_col, text_col=text_col).where(F.col("n_hit") >= min_hit)
-    gone = materialize(found.select(F.col("doc_id").alias("_hit_id")).distinct(), "contaminated")
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_hit_id"]), "left_anti")
+    hit = unused("_hit_id", docs.columns)
+    gone = materialize(found.select(F.col("doc_id").alias(hit)).distinct(), "contaminated")
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col(hit)), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

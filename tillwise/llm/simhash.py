@@ -24,9 +24,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import memory
 from .components import components
 from .scratch import discard, materialize
-from .text import encoded
+from .text import encoded, unused
 
 RADIUS = 2
 SHINGLE = 3
@@ -57,6 +58,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memory.drop()
     for b in batches:
         prints = np.array([fingerprint(t) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(prints)], ["doc_id", "print"])
@@ -240,9 +242,9 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text
     grouped = rows.join(_components_of(rows, radius), "print").select("row", "doc_id", "root")
     order = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "row")
     stays = grouped.groupBy("root").agg(F.min(order)["row"].alias("stays"))
-    gone = materialize(grouped.join(stays, "root").where("row <> stays").select(F.col("row").alias("_gone")), "copies")
-    marked = docs.withColumn("_row", number)
-    return marked.join(gone, marked["_row"] == gone["_gone"], "left_anti").drop("_row")
+    row, gone = unused("_row", docs.columns), unused("_gone", docs.columns)
+    copies = materialize(grouped.join(stays, "root").where("row <> stays").select(F.col("row").alias(gone)), "copies")
+    return docs.withColumn(row, number).join(copies, F.col(row) == F.col(gone), "left_anti").drop(row)
 
 
 def hexadecimal(fingerprint_col: Column) -> Column:

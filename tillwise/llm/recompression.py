@@ -6,9 +6,9 @@ symbol's name is a hash of what it replaces, so a name stands for the same words
 How a stretch is cut depends on its own words and few beside it, so equal stretches get equal symbols inside.
 
 Every window chooses an *anchor*: of the symbols whose cut the window's words alone decide, one of the
-highest early round, then the longest, then by hash.  Equal windows choose equal anchors, and
-neighbouring windows mostly share one, so anchors are few.  Only windows whose anchor occurs in another document
-are named and compared.  Symbols of later rounds that span many words, up to the whole document, are
+highest early round, then the longest, then by hash.  It is named with all the words that decide its cut.
+Equal windows choose equal anchors, and neighbouring windows mostly share one, so anchors are few.
+Only windows whose anchor occurs in another document are named and compared.  Symbols of later rounds that span many words, up to the whole document, are
 themselves verified repeats: windows inside them need no comparison.
 
 Names and window keys are 64-bit hashes.
@@ -115,9 +115,21 @@ def next_level(x: Level, number: int, decide: bool) -> Level:
     return z
 
 
-def choose_anchors(levels: list[Level], starts: np.ndarray, n_words: int, window: int) -> np.ndarray:
+_INVERSE = np.uint64(pow(int(_A), -1, 1 << 64))
+
+
+def stretches(names: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A hash of the words [low, high) that does not depend on where they stand."""
+    powers = np.cumprod(np.full(len(names), _A))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(names) * powers)])
+    back = np.cumprod(np.full(len(names), _INVERSE))
+    return _mix((sums[high] - sums[low]) * back[low] + (high - low).astype(np.uint64))
+
+
+def choose_anchors(levels: list[Level], names: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
     """The anchor's name for each window that begins at ``starts``; levels go from words upwards."""
-    out = np.zeros(len(starts), np.uint64)
+    n_words = len(names)
+    low, high = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
     left = np.arange(len(starts))
     for x in reversed(levels):
         p = starts[left]
@@ -136,11 +148,11 @@ def choose_anchors(levels: list[Level], starts: np.ndarray, n_words: int, window
             best[more[win]], best_rank[more[win]] = c[win], r[win]
             k += 1
             more = more[f[more] + k <= g[more]]
-        out[left[has]] = x.name[best]
+        low[left[has]], high[left[has]] = x.low[best], x.high[best]
         left = np.delete(left, has)
         if not len(left):
             break
-    return out
+    return stretches(names, low, high)
 
 
 @dataclass
@@ -193,7 +205,7 @@ def parse(docs: list[list[bytes]], window: int = WINDOW) -> Parsed:
         if k >= ANCHOR_ROUNDS and whole.any():
             keep = ~whole
             x = Level(x.name[keep], x.doc[keep], x.start[keep], x.end[keep], x.low[keep], x.high[keep])
-    anchors = choose_anchors(levels, starts, n, window)
+    anchors = choose_anchors(levels, names, starts, window)
     even, odd = np.uint64(2**64 - 2), _ONE
     name, d, s, e = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), none, none, none)
     return Parsed(names, sizes, begins, starts, doc[starts], (anchors & even).view(np.int64), (name | odd).view(np.int64), d, s, e)

@@ -11,8 +11,9 @@ whole tasks, so a lost executor leaves no half block, and any store that Spark r
 
 from __future__ import annotations
 
-import heapq
 import os
+import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -21,20 +22,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import memory
 from .scratch import discard, fresh_path, materialize
 from .text import encoded
 
-MAX_BITS = 20
-BLOCK_TOKENS = 1 << 17
+MIN_WIDTH = 16
+BLOCK_TOKENS = 1 << 19
 STEP = 256
 END = 2
-MEMO = 400_000
+MEMO = 1_200_000
 
 
 # ---------------------------------------------------------------- code
 
 
-def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
+def code_lengths(counts: np.ndarray, max_bits: int = 20) -> np.ndarray:
     """Optimal code lengths of at most ``max_bits`` by package-merge; 0 for ids that do not occur."""
     used = np.flatnonzero(counts > 0)
     lengths = np.zeros(len(counts), np.uint8)
@@ -80,17 +82,16 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """For each value of the next ``width`` bits the id and the length of its code."""
+def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, int]:
+    """For each value of the next ``width`` bits an id and, in the low five bits, the length of its code."""
     width = max(1, int(lengths.max(initial=1)))
-    ids, bits = np.zeros(1 << width, np.int32), np.ones(1 << width, np.int64)
+    table = np.ones(1 << width, np.int64)
     used = np.flatnonzero(lengths)
     order = used[np.lexsort((used, lengths[used]))]  # canonical codes in rising order fill the table from its start
     spans = (1 << (width - lengths[order].astype(np.int64))).astype(np.int64)
     n = int(spans.sum())
-    ids[:n] = np.repeat(order, spans)
-    bits[:n] = np.repeat(lengths[order].astype(np.int64), spans)
-    return ids, bits, width
+    table[:n] = np.repeat(order << 5 | lengths[order], spans)
+    return table, width
 
 
 def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -111,94 +112,166 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes
     return words.astype(">u8").tobytes(), offsets
 
 
-def unpack(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.ndarray, np.ndarray, int], step: int = STEP) -> np.ndarray:
+def unpack(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.ndarray, int], step: int = STEP) -> np.ndarray:
     """The ``n`` ids of a block: all checkpoints advance together, one table lookup a token."""
-    ids, bits, width = table
+    entries, width = table
     lanes = len(checkpoints)
     if n == 0:
         return np.zeros(0, np.int32)
     window = np.ndarray(shape=(len(payload) - 7,), dtype=">u4", buffer=payload, strides=(1,))
-    out = np.zeros((step, lanes), np.int32)
+    out = np.zeros((step, lanes), np.int64)
     at = checkpoints.astype(np.int64)
     down, mask = 32 - width, (1 << width) - 1  # up to 7 bits of the first byte are read already, so width is 25 at most
-    last = len(window) - 1
+    bound = 8 * (len(window) - 1)
     for k in range(step):
-        peek = (window[np.minimum(at >> 3, last)].astype(np.int64) >> (down - (at & 7))) & mask
-        out[k] = ids[peek]
-        at += bits[peek]
+        np.minimum(at, bound, out=at)  # the last lane may end early
+        found = entries[(window[at >> 3].astype(np.int64) >> (down - (at & 7))) & mask]
+        out[k] = found
+        at += found & 31
+    out >>= 5
     return out.T.reshape(-1)[:n]
 
 
 # ---------------------------------------------------------------- tokens
 
 
-class WordMemo(dict):
-    """word -> ids.  White space splits what the tokenizer sees, so a text is the sum of its words."""
+class _Known(dict):
+    """What was encoded lately, in two generations: when the younger is full it becomes the older, and what is met again moves back."""
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = MEMO):
+    def __init__(self, encode: Callable[[bytes], bytes], limit: int):
         super().__init__()
-        self.encode, self.limit = encode, limit
-
-    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
-        new = list({w for ws in split for w in ws if w not in self})
-        if len(self) + len(new) > self.limit:
+        self.encode, self.limit, self.old = encode, limit // 2, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        found = self.old.get(key)
+        if found is None:
+            found = self.encode(key)
+        self[key] = found
+        return found
+
+    def turn(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
             self.clear()
-            new = list({w for ws in split for w in ws})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.encode([w.decode("utf-8", "surrogatepass") for w in part]), strict=True):
-                self[w] = np.array(e, np.uint32).tobytes()
-        return [np.frombuffer(b"".join(map(self.__getitem__, ws)), np.uint32) for ws in split]
 
 
-_memos: dict[str, WordMemo] = {}
+def _byte_alphabet() -> list[str]:
+    """The character that byte-level tokenizers put for each byte: itself if it prints, else the next one from 256 on."""
+    prints = [33 <= b <= 126 or 161 <= b <= 172 or b >= 174 for b in range(256)]
+    return [chr(b) if p else chr(256 + b - sum(prints[:b])) for b, p in enumerate(prints)]
+
+
+_BYTES = _byte_alphabet()
+
+
+class _Odd(Exception):
+    """A piece whose limits depend on what stands beside it."""
+
+
+class WordMemo:
+    """Encodes texts from remembered pieces; equal to encoding each whole text.
+
+    A piece is a letter run, a digit or a run of ASCII punctuation: what the tokenizer itself encodes one by one.
+    That holds while all characters above ASCII are letters and there is no apostrophe (contractions) and no
+    special token; a text with anything else is the sum of its words, since white space always separates.
+    """
+
+    _PIECES = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[^a-z0-9\x80-\xff \t\n\r\x0b\x0c]+")
+
+    def __init__(self, tokenizer, limit: int = MEMO):
+        self.tokenizer = tokenizer
+        self.type = "<u2" if max(tokenizer.get_vocab().values(), default=0) < 1 << 16 else "<u4"
+        self.code = "H" if self.type == "<u2" else "I"
+        self.pieces, self.words = _Known(self._piece, limit), _Known(self._word, limit // 8)
+        self.direct = all(self._direct(p) == self._word(p) for p in ("the".encode(), "ungéheuerß".encode(), b"7", b"#~\x01"))
+
+    def _direct(self, piece: bytes) -> bytes:
+        """Of a piece, by the tokenizer's model alone: its normalizer and byte alphabet are applied here."""
+        if not piece.isascii():
+            piece = self.tokenizer.normalizer.normalize_str(piece.decode("utf-8", "surrogatepass")).encode("utf-8", "surrogatepass")
+        text = piece.decode("ascii") if piece.isalnum() else "".join(map(_BYTES.__getitem__, piece))
+        ids = [t.id for t in self.tokenizer.model.tokenize(text)]
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def _word(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def _piece(self, piece: bytes) -> bytes:
+        if not piece.isascii() and not piece.decode("utf-8", "surrogatepass").lower().isalpha():
+            raise _Odd
+        return self._direct(piece) if self.direct else self._word(piece)
+
+    def one(self, text: bytes) -> bytes:
+        """Packed ids (of ``type``) of a text."""
+        low = text.lower()
+        if b"'" not in low and b"<|" not in low:
+            try:
+                return b"".join(map(self.pieces.__getitem__, self._PIECES.findall(low)))
+            except _Odd:
+                pass
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        self.pieces.turn()
+        self.words.turn()
+        return [self.one(t) for t in texts]
 
 
 def word_tokenizer(name: str) -> WordMemo:
-    """A worker's memo over a public tokenizer that drops white space; ``name`` is a file of the tokenizer package or a path."""
-    if name not in _memos:
+    """A worker's memo over a public tokenizer that drops white space and ASCII case; ``name`` is a file of the tokenizer package or a path."""
+
+    def make() -> WordMemo:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
-        _memos[name] = WordMemo(lambda ws: [e.ids for e in tokenizer.encode_batch_fast(ws, add_special_tokens=False)])
-    return _memos[name]
+        return WordMemo(Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name)))
+
+    return memory.keep(("words", name), make)
 
 
 def tokenize(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int | None = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n and ids (little-endian unsigned 32-bit) of every row; a null text is empty, ``end`` closes each document."""
-    tail = b"" if end is None else np.array([end], "<u4").tobytes()
+    """doc_id, n and ids of every row; a null text is empty, ``end`` closes each document.
+
+    Ids are little-endian, of 2 bytes each where the vocabulary allows it and else of 4: len(ids) / n tells.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = word_tokenizer(tokenizer)
+        tail = b"" if end is None else np.array([end], memo.type).tobytes()
+        width = np.dtype(memo.type).itemsize
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                packed = [x.astype("<u4").tobytes() + tail for x in memo.ids([encoded(t) for t in part.column("text").to_pylist()])]
-                n = pa.array([len(p) // 4 for p in packed], pa.int64())
+                packed = [x + tail for x in memo.ids([encoded(t) for t in part.column("text").to_pylist()])]
+                n = pa.array([len(p) // width for p in packed], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), n, pa.array(packed, pa.binary())], ["doc_id", "n", "ids"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, "doc_id long, n long, ids binary")
 
 
+def _unpacked(n: int, ids: pa.Scalar) -> np.ndarray:
+    raw = ids.as_buffer()
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4") if n else np.zeros(0, np.uint16)
+
+
 def count_ids(tokens: DataFrame) -> DataFrame:
     """(id, n) of all tokens: a count array per task, then one row per id and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for b in batches:
-            for x in b.column("ids"):
-                got = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
-                if len(got) > len(total):
-                    total = np.pad(total, (0, len(got) - len(total)))
-                total[: len(got)] += got
+            parts = [_unpacked(n, x) for n, x in zip(b.column("n").to_pylist(), b.column("ids"), strict=True)]
+            got = np.bincount(np.concatenate(parts)) if parts else total[:0]
+            if len(got) > len(total):
+                total = np.pad(total, (0, len(got) - len(total)))
+            total[: len(got)] += got
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("n", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 # ---------------------------------------------------------------- files
@@ -206,14 +279,18 @@ def count_ids(tokens: DataFrame) -> DataFrame:
 BLOCK = "first_doc long, part int, block int, start long, n_tokens long, payload binary, checkpoints binary, docs binary, sizes binary, nulls long"
 
 
-def write(tokens: DataFrame, path: str, max_bits: int = MAX_BITS, block_tokens: int = BLOCK_TOKENS, step: int = STEP) -> None:
-    """Writes ``tokens`` (doc_id, n, ids) as codes and blocks in ascending order of doc_id, nulls first."""
+def write(tokens: DataFrame, path: str, max_bits: int | None = None, block_tokens: int = BLOCK_TOKENS, step: int = STEP) -> None:
+    """Writes ``tokens`` (doc_id, n, ids) as codes and blocks in ascending order of doc_id, nulls first.
+
+    Without ``max_bits`` codes may be one bit longer than equal codes would be, and 16 bits at least: short
+    enough for a table that stays in a processor's cache, for next to no loss in size.
+    """
     spark = tokens.sparkSession
     rows = count_ids(tokens).collect()  # at most one row per id of the vocabulary
     counts = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
     for r in rows:
         counts[r["id"]] = r["n"]
-    lengths = code_lengths(counts, max_bits)
+    lengths = code_lengths(counts, max_bits or max(MIN_WIDTH, int(np.count_nonzero(counts)).bit_length() + 1))
     spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id long, bits int").coalesce(1).write.parquet(f"{path}/codes")
     shared = spark.sparkContext.broadcast((canonical(lengths), lengths))  # the vocabulary's size, not the data's
 
@@ -221,6 +298,7 @@ def write(tokens: DataFrame, path: str, max_bits: int = MAX_BITS, block_tokens:
         codes, bits = shared.value
         from pyspark import TaskContext
 
+        memory.drop()
         part, block, start = TaskContext.get().partitionId(), 0, 0
         docs: list = []
         held: list[np.ndarray] = []
@@ -240,9 +318,9 @@ def write(tokens: DataFrame, path: str, max_bits: int = MAX_BITS, block_tokens:
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names)
 
         for b in batches:
-            for d, x in zip(b.column("doc_id").to_pylist(), b.column("ids"), strict=True):
+            for d, n, x in zip(b.column("doc_id").to_pylist(), b.column("n").to_pylist(), b.column("ids"), strict=True):
                 docs.append(d)
-                held.append(np.frombuffer(x.as_buffer(), "<u4").astype(np.int64))
+                held.append(_unpacked(n, x).astype(np.int64))
                 size += len(held[-1])
                 if size >= block_tokens:
                     yield flush()
@@ -250,7 +328,7 @@ def write(tokens: DataFrame, path: str, max_bits: int = MAX_BITS, block_tokens:
             yield flush()
 
     ranged = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    ranged.select("doc_id", "ids").mapInArrow(run, BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
+    ranged.select("doc_id", "n", "ids").mapInArrow(run, BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -276,6 +354,7 @@ def read(spark: SparkSession, path: str, step: int = STEP) -> DataFrame:
     shared = spark.sparkContext.broadcast(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.drop()
         table = decode_table(shared.value)
         for b in batches:
             for row in b.to_pylist():

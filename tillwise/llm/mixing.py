@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import materialize
-from .text import WORD
+from .text import WORD, unused
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
@@ -127,9 +127,11 @@ def take(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source
     """
     number = F.monotonically_increasing_id()
     sized = materialize(
-        docs.select(number.alias("_row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes"
+        docs.select(number.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes"
     )
-    copies = materialize(systematic(sized, **how).where("copies > 0").select(F.col("_row").alias("_taken"), "copies"), "copies")
-    marked = docs.withColumn("_row", number)
-    drawn = marked.join(copies, marked["_row"] == copies["_taken"]).select(*[marked[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
-    return drawn.drop("_copy")
+    row, taken, times, nth = (unused(n, docs.columns) for n in ("_row", "_taken", "_times", "_nth"))
+    copies = systematic(sized, **how).where("copies > 0").select(F.col("row").alias(taken), F.col("copies").cast("int").alias(times))
+    marked = docs.withColumn(row, number)
+    # a row per document: never a side to broadcast, however small it is today
+    drawn = marked.join(materialize(copies, "copies").hint("merge"), F.col(row) == F.col(taken))
+    return drawn.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(row, taken, times, nth)

@@ -68,6 +68,18 @@ def test_remembered_pieces_equal_whole_texts(limit):
         assert got == WORDS.encode(t, add_special_tokens=False).ids, t
 
 
+DECOMPOSED = [chr(c) for c in range(0x80, 0x110000) if chr(c).isalpha() and not WORDS.normalizer.normalize_str(chr(c)).isalpha()]
+
+
+def test_letters_that_normalise_to_a_letter_and_a_mark():
+    assert {"\u0958", "\u09dc", "\u0a33", "\ufb1d", "\ufb2a"} <= set(DECOMPOSED)
+    memo = h.WordMemo(WORDS)
+    for c in DECOMPOSED:
+        for t in (c, f"{c}\u092e", f"{c}\u05dc", f"a{c}! {c}7 x"):
+            got = np.frombuffer(memo.ids([t.encode()])[0], memo.type).tolist()
+            assert got == WORDS.encode(t, add_special_tokens=False).ids, t
+
+
 def expected(rows):
     """By the library's own encoding of each whole text, in order of id."""
     out, start = [], 0

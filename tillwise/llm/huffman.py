@@ -172,7 +172,7 @@ class WordMemo:
     """Encodes texts from remembered pieces; equal to encoding each whole text.
 
     A piece is a letter run, a digit or a run of ASCII punctuation: what the tokenizer itself encodes one by one.
-    That holds while all characters above ASCII are letters and there is no apostrophe (contractions) and no
+    That holds while all characters above ASCII are letters, also once normalised, and there is no apostrophe (contractions) and no
     special token; a text with anything else is the sum of its words, since white space always separates.
     """
 
@@ -198,8 +198,11 @@ class WordMemo:
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def _piece(self, piece: bytes) -> bytes:
-        if not piece.isascii() and not piece.decode("utf-8", "surrogatepass").lower().isalpha():
-            raise _Odd
+        if not piece.isascii():
+            text = piece.decode("utf-8", "surrogatepass").lower()
+            # some letters are a letter and a mark once normalised, and a mark is cut off
+            if not text.isalpha() or not self.tokenizer.normalizer.normalize_str(text).isalpha():
+                raise _Odd
         return self._direct(piece) if self.direct else self._word(piece)
 
     def one(self, text: bytes) -> bytes:

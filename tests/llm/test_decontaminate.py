@@ -65,3 +65,22 @@ def test_spans_are_cut_out_of_the_text(spark, bench):
 def test_the_main_path_has_no_python(spark, nasty, bench):
     plan = d.find(nasty, bench)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_rows_of_an_id_are_dropped_one_by_one(spark, nasty, bench):
+    rows = [(None, ITEM), (None, "clean"), (None, None), (7, "clean too"), (7, "see " + ITEM), (7, ITEM), (8, ""), (9, ITEM), (9, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [r for r in rows if not brute(r[1])[1]]
+    assert sorted(map(str, map(tuple, d.drop_rows(docs, bench).collect()))) == sorted(map(str, want))
+    assert d.drop_rows(nasty, bench).columns == nasty.columns
+    left = d.drop_rows(nasty, spark.createDataFrame([(1, "text under the same number")], "item_id long, text string"))
+    assert left.where("doc_id = 5").count() == 2 and left.count() == nasty.count() - 1
+
+
+def test_the_stage_keeps_clean_rows_of_a_contaminated_id(spark, bench, tmp_path):
+    import corpus_pipeline
+
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(None, ITEM), (None, "clean"), (7, "clean too"), (7, ITEM)], "doc_id long, text string")
+    got = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted(r["text"] for r in got) == ["clean", "clean too"]

@@ -120,7 +120,7 @@ def _merged(spans: Column) -> Column:
 def drop_documents(docs: DataFrame, benchmark: DataFrame, min_hit: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose id has ``min_hit`` hit words or more.
 
-    Rows that share an id, the null id included, go together.  The ids found are written first, so that Spark
+    Rows that share an id, the null id included, go together; ``drop_rows`` judges each row on its own.  The ids found are written first, so that Spark
     knows how few they are before it plans how to take them out.
     """
     found = find(docs, benchmark, id_col=id_col, text_col=text_col).where(F.col("n_hit") >= min_hit)
@@ -129,6 +129,19 @@ def drop_documents(docs: DataFrame, benchmark: DataFrame, min_hit: int = 1, id_c
     return docs.join(gone, F.col(id_col).eqNullSafe(F.col(hit)), "left_anti")
 
 
+def drop_rows(docs: DataFrame, benchmark: DataFrame, min_hit: int = 1, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that have ``min_hit`` hit words or more, whatever their ids.
+
+    A verdict depends on the text alone, so the SHA-256 of a text tells which rows go.  The keys found are written
+    first, so that Spark knows how few they are before it plans how to take them out.
+    """
+    key, hit = (unused(n, docs.columns) for n in ("_text_key", "_hit_key"))
+    of_text = F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256))
+    found = find(docs.select(of_text.alias("key"), F.col(text_col).alias("text")), benchmark, id_col="key").where(F.col("n_hit") >= min_hit)
+    gone = materialize(found.select(F.col("doc_id").alias(hit)).distinct(), "contaminated")
+    return docs.withColumn(key, of_text).join(gone, F.col(key) == F.col(hit), "left_anti").drop(key)
+
+
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) of unique ids with the hit words cut out; a text without hits is returned as it is."""
     found = find(docs, benchmark, id_col=id_col, text_col=text_col).select("doc_id", "spans")

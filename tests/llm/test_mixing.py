@@ -53,3 +53,17 @@ def test_edges(nasty, stored, empty):
     taken = mixing.take(stored)
     assert taken.columns == stored.columns
     assert mixing.mix(nasty.select("doc_id", F.lit("").alias("text"), "source")).where("target <> 0 OR taken <> 0").count() == 0
+
+
+def test_the_drawn_rows_are_taken_when_later_scans_are_cut_otherwise(spark, tmp_path):
+    rows = [(i, f"word{i} " * (1 + i % 50), "ab"[i % 2]) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(9).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    want = {r["doc_id"]: r["copies"] for r in mixing.mix(docs).collect() if r["copies"]}
+    taken = mixing.take(docs)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")  # as if executors had come or gone since
+    try:
+        got = [r["doc_id"] for r in taken.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert {i: got.count(i) for i in set(got)} == want

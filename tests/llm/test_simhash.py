@@ -89,3 +89,14 @@ def test_edges(spark, nasty, stored, empty):
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(5) == 1 and 1 in ids and 2 not in ids and None not in ids and -3 in ids and 4 in ids
     assert simhash.keep_one(empty).count() == 0
+
+
+def test_one_of_each_group_stays_when_later_scans_are_cut_otherwise(spark, tmp_path):
+    rows = [(i, " ".join(f"w{i % 40}x{j}" for j in range(30)), i) for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(9).write.parquet(f"{tmp_path}/docs")
+    kept = simhash.keep_one(spark.read.parquet(f"{tmp_path}/docs"))
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")  # as if executors had come or gone since
+    try:
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")

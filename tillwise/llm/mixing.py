@@ -123,15 +123,14 @@ def mix(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_
 def take(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
     """The mixed rows, with the columns of ``docs``: each row as often as the sample takes it.
 
-    ``docs`` has to be a table: its rows are numbered in two passes over the same files.
+    Row numbers are written with the rows once, since numbers made in two scans agree only while both are cut alike.
     """
-    number = F.monotonically_increasing_id()
+    row, taken, times, nth = (unused(n, docs.columns) for n in ("_row", "_taken", "_times", "_nth"))
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     sized = materialize(
-        docs.select(number.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes"
+        numbered.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes"
     )
-    row, taken, times, nth = (unused(n, docs.columns) for n in ("_row", "_taken", "_times", "_nth"))
     copies = systematic(sized, **how).where("copies > 0").select(F.col("row").alias(taken), F.col("copies").cast("int").alias(times))
-    marked = docs.withColumn(row, number)
     # a row per document: never a side to broadcast, however small it is today
-    drawn = marked.join(materialize(copies, "copies").hint("merge"), F.col(row) == F.col(taken))
+    drawn = numbered.join(materialize(copies, "copies").hint("merge"), F.col(row) == F.col(taken))
     return drawn.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(row, taken, times, nth)

@@ -227,11 +227,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
 def keep_one(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without near duplicates: of each component the row of the smallest id stays.
 
-    Null ids come last, and among equal ids one row stays.  ``docs`` has to be a table: its rows are numbered
-    in two passes over the same files.
+    Null ids come last, and among equal ids one row stays.  Row numbers are written with the rows once, since
+    numbers made in two scans agree only while both are cut alike.
     """
-    number = F.monotonically_increasing_id()
-    numbered = docs.select(number.alias("doc_id"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    row, gone = unused("_row", docs.columns), unused("_gone", docs.columns)
+    table = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = table.select(F.col(row).alias("doc_id"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -242,9 +243,8 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text
     grouped = rows.join(_components_of(rows, radius), "print").select("row", "doc_id", "root")
     order = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "row")
     stays = grouped.groupBy("root").agg(F.min(order)["row"].alias("stays"))
-    row, gone = unused("_row", docs.columns), unused("_gone", docs.columns)
     copies = materialize(grouped.join(stays, "root").where("row <> stays").select(F.col("row").alias(gone)), "copies")
-    return docs.withColumn(row, number).join(copies, F.col(row) == F.col(gone), "left_anti").drop(row)
+    return table.join(copies, F.col(row) == F.col(gone), "left_anti").drop(row)
 
 
 def hexadecimal(fingerprint_col: Column) -> Column:

@@ -84,3 +84,16 @@ def test_the_stage_keeps_clean_rows_of_a_contaminated_id(spark, bench, tmp_path)
     docs = spark.createDataFrame([(None, ITEM), (None, "clean"), (7, "clean too"), (7, ITEM)], "doc_id long, text string")
     got = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
     assert sorted(r["text"] for r in got) == ["clean", "clean too"]
+
+
+def test_shuffled_windows_do_not_carry_their_document(spark, bench, monkeypatch):
+    monkeypatch.setattr(d, "BROADCAST_WINDOWS", 0)
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = d.find(docs, bench)
+        plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert any("said#" in x for x in shuffled) and not any(re.search(r"\bw#", x) for x in shuffled)

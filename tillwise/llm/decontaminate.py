@@ -72,7 +72,8 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
         F.coalesce(F.sum(F.length("phrase") + 24 * (1 + F.size("items"))), F.lit(0)).alias("bytes"),
     ).first()
     lengths = sorted(stats["lengths"])  # at most ``window`` different numbers
-    if stats["n"] <= BROADCAST_WINDOWS and stats["bytes"] <= BROADCAST_BYTES:
+    small = stats["n"] <= BROADCAST_WINDOWS and stats["bytes"] <= BROADCAST_BYTES
+    if small:
         grams = F.broadcast(grams)
     row = F.monotonically_increasing_id()
     base = docs.select(row.alias("row"), F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("w"))
@@ -80,7 +81,10 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
     every = F.concat(none, *[F.coalesce(_windows(F.col("w"), n), F.slice(none, 1, 0)) for n in lengths])
     at = base.select("row", "doc_id", "w", F.size("w").alias("n_words"), F.explode(every).alias("at"))
     at = at.select("row", "doc_id", "w", "n_words", F.col("at.pos").alias("pos"), F.col("at.length").alias("len"), F.col("at.hash").alias("h"))
-    hit = (F.col("h") == F.col("hash")) & (F.col("len") == F.col("length")) & (F.array_join(F.slice("w", F.greatest("pos", F.lit(1)), F.col("len")), " ") == F.col("phrase"))
+    said = F.array_join(F.slice("w", F.greatest("pos", F.lit(1)), F.col("len")), " ")
+    if not small:  # a shuffled row holds its own window, not all words of its document
+        at, said = at.withColumn("said", said).drop("w"), F.col("said")
+    hit = (F.col("h") == F.col("hash")) & (F.col("len") == F.col("length")) & (said == F.col("phrase"))
     found = at.join(grams, hit, "left").where("pos = 0 OR hash IS NOT NULL")
     per_doc = found.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),

@@ -24,7 +24,7 @@ def test_query_equals_oracle(spark, con, name):
     assert ok, note
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op8_section_tokens"}))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op8_section_tokens", "op12_ranked_search", "op13_spelling_variants"}))
 def test_one_row_per_document(spark, name):
     got = [r["doc_id"] for r in queries.QUERIES[name](spark, SMALL).select("doc_id").collect()]
     assert sorted(got) == list(range(200))

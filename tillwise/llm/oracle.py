@@ -83,3 +83,39 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS
        sha256(coalesce(array_to_string([w[i] FOR i IN range(1, len(w) + 1) IF gone IS NULL OR NOT list_contains(gone, i)], ' '), '')) AS kept_sha256
 FROM doc LEFT JOIN gone USING (r)
 """
+
+EXACT_DUPLICATES = r"""
+WITH sorted AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM sorted WINDOW same AS (PARTITION BY t)
+"""
+
+RANKED_SEARCH = f"""
+WITH item AS (
+    SELECT row_number() OVER () AS q, item_id, {_ALNUM} AS w FROM benchmark
+), asked AS (
+    SELECT q, term, CAST(count(*) AS BIGINT) AS qtf FROM (SELECT q, unnest(w) AS term FROM item) GROUP BY ALL
+), doc AS (
+    SELECT row_number() OVER () AS r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM (SELECT doc_id, {_ALNUM} AS w FROM documents) WHERE len(w) > 0
+), total AS (
+    SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS length FROM doc
+), held AS (
+    SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS term FROM doc)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weight AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS heft
+    FROM (SELECT term, count(*) AS df FROM held GROUP BY term), total
+), part AS (
+    SELECT r, term, heft * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // length))) AS share
+    FROM held JOIN doc USING (r) JOIN weight USING (term), total
+), scored AS (
+    SELECT q, r, CAST(sum(qtf * share) AS BIGINT) AS score FROM asked JOIN part USING (term) GROUP BY ALL
+), ranked AS (
+    SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scored JOIN item USING (q) JOIN doc USING (r) WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

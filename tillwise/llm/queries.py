@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontaminate, huffman, mixing, naive_bayes_svm, oracle, pii, recompression, simhash, suffix_tree, token_counts, workers
+from . import content_sort, decision_list, decontaminate, huffman, mixing, naive_bayes_svm, oracle, pii, recompression, shared_search, simhash, spelling, suffix_tree, token_counts, workers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,8 +77,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document that stays of each group of equal texts."""
+    return content_sort.duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return shared_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, the form each is a variant of, and where forms end."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_token_files, op3_decontamination, op4_quality_classifier, op5_suffix_tree_scores, op6_personal_data, op7_source_mix, op8_section_tokens, op9_repeated_passages, op10_quality_rules)
+    f.__name__: f for f in (op1_simhash, op2_token_files, op3_decontamination, op4_quality_classifier, op5_suffix_tree_scores, op6_personal_data, op7_source_mix, op8_section_tokens, op9_repeated_passages, op10_quality_rules, op11_exact_duplicates, op12_ranked_search, op13_spelling_variants)
 }
 
-ORACLES: dict[str, str] = {"op3_decontamination": oracle.DECONTAMINATION, "op7_source_mix": oracle.SOURCE_MIX, "op9_repeated_passages": oracle.REPEATS}
+ORACLES: dict[str, str] = {"op3_decontamination": oracle.DECONTAMINATION, "op7_source_mix": oracle.SOURCE_MIX, "op9_repeated_passages": oracle.REPEATS, "op11_exact_duplicates": oracle.EXACT_DUPLICATES, "op12_ranked_search": oracle.RANKED_SEARCH}

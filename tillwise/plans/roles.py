@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exact
+from ..operators import asof
 from ..sources import tables
 
 # An item row has no single-column id: these columns identify it.
@@ -219,6 +220,19 @@ class Roles:
         rows = ", ".join(f"('{c}', {rate}BD, DATE '{day}')" for c, rate, day in RATES)
         return self.spark.sql(f"SELECT * FROM VALUES {rows} AS rates(currency, rate, taken_on)")
 
+    @cached_property
+    def rate_history(self) -> DataFrame:
+        """A rate of each currency for every quarter from July 1995, the first year of orders being half over, to 2000."""
+        first = [f"('{c}', {rate}BD)" for c, rate in {c: rate for c, rate, _ in reversed(RATES)}.items()]
+        base = self.spark.sql(f"SELECT * FROM VALUES {', '.join(first)} AS rates(currency, rate)")
+        return asof.drifting_rates(base, "1995-07-01", "2000-10-01")
+
+    @cached_property
+    def dated_orders(self) -> DataFrame:
+        """Orders in the currency of their customer's region, with their day."""
+        places = self.listings.select(F.col("listing_id").alias("user_id"), "currency")
+        return self.orders.join(places, "user_id").select("order_id", "currency", F.col("created_at").cast("date").alias("day"), "price_usd")
+
     @cached_property
     def listings(self) -> DataFrame:
         """A customer is a listing: its nation the city, its region the currency area.
@@ -291,3 +305,23 @@ class Roles:
         lines = self.trips.groupBy("order_id", "supplier_id").agg(exact.rows().alias("trips"))
         placed = lines.join(self._dropoffs(), "order_id").groupBy("supplier_id", "dropoff_zone_id").agg(F.sum("trips").alias("trips"))
         return placed.join(self._pickups(), "supplier_id").select("pickup_zone_id", "dropoff_zone_id", "trips")
+
+    # --- other spellings -----------------------------------------------------
+
+    @staticmethod
+    def _respelled(text: Column, n: Column) -> Column:
+        """The same word in capitals, with an accent, or as it is, by turns."""
+        return F.when(n % 4 == 1, F.upper(text)).when(n % 4 == 2, F.translate(text, "ao", "\u00e1\u00f6")).otherwise(text)
+
+    @cached_property
+    def mixed_visits(self) -> DataFrame:
+        """Visits whose campaign is spelled in three ways."""
+        return self.visits.withColumn("utm_campaign", self._respelled(F.lower("utm_campaign"), F.col("website_session_id")))
+
+    @cached_property
+    def mixed_pageviews(self) -> DataFrame:
+        return self.web_pageviews.withColumn("pageview_url", self._respelled(F.col("pageview_url"), F.col("website_pageview_id")))
+
+    @cached_property
+    def mixed_products(self) -> DataFrame:
+        return self.products.withColumn("product_name", self._respelled(F.lower("product_name"), F.col("product_id")))

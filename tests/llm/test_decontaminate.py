@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise.llm import decontaminate as d
 
@@ -86,6 +87,28 @@ def test_the_stage_keeps_clean_rows_of_a_contaminated_id(spark, bench, tmp_path)
     assert sorted(r["text"] for r in got) == ["clean", "clean too"]
 
 
+@pytest.mark.parametrize("chunk", [1, 2, 9, 10, 32])
+def test_windows_across_chunks_are_found_once(spark, bench, monkeypatch, chunk):
+    monkeypatch.setattr(d, "CHUNK", chunk)
+    texts = [*TEXTS, "x " * 21 + ITEM + " y" * 11 + " short item " + ITEM, ITEM + " " + ITEM, " ".join(["alpha"] * 65)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in d.find(docs, bench).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(texts)}
+
+
+def test_a_window_of_another_text_under_the_same_hash_is_no_hit(spark, bench, monkeypatch):
+    docs = spark.createDataFrame([(1, "before " + ITEM), (2, "short item")], "doc_id long, text string")
+    other = d.benchmark_windows(bench).withColumn("phrase", F.concat("phrase", F.lit("!")))
+    monkeypatch.setattr(d, "benchmark_windows", lambda *a, **k: other)
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"]) for r in d.find(docs, bench).collect()) == [(1, 13, 0), (2, 2, 0)]
+
+
+def test_a_text_of_a_million_words_ends(spark, bench):
+    docs = spark.createDataFrame([(1, "w " * 1_000_000 + ITEM)], "doc_id long, text string")
+    r = d.find(docs, bench).first()
+    assert (r["n_words"], r["n_hit"]) == (1_000_012, 12)
+
+
 def test_shuffled_windows_do_not_carry_their_document(spark, bench, monkeypatch):
     monkeypatch.setattr(d, "BROADCAST_WINDOWS", 0)
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
@@ -96,4 +119,4 @@ def test_shuffled_windows_do_not_carry_their_document(spark, bench, monkeypatch)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
-    assert any("said#" in x for x in shuffled) and not any(re.search(r"\bw#", x) for x in shuffled)
+    assert any("said#" in x for x in shuffled) and not any(re.search(r"\b(w|part)#", x) for x in shuffled)

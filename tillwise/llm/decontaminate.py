@@ -20,6 +20,8 @@ from .text import lower_ascii, unused
 WINDOW = 10
 BROADCAST_WINDOWS = 500_000
 BROADCAST_BYTES = 64 * 2**20
+#: Windows that start in one chunk of a document.
+CHUNK = 32
 #: Everything but letters and digits of ASCII and all that lies above ASCII, after A-Z became a-z.
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _EITHER_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -31,16 +33,10 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def _windows(ws: Column, length) -> Column:
-    """(pos, length, hash) of all windows of ``length`` words; pos counts from 1."""
-    last = F.size(ws) - length + 1
-    return F.when(
-        last > 0,
-        F.transform(
-            F.sequence(F.lit(1), last),
-            lambda i: F.struct(i.alias("pos"), F.lit(length).alias("length"), F.xxhash64(F.slice(ws, i, length)).alias("hash")),
-        ),
-    )
+def _starts(part: Column, length: int) -> Column:
+    """(pos, length) of the windows of ``length`` words that start in a chunk; pos counts from 1."""
+    last = F.least(F.lit(CHUNK), F.size(part) - length + 1)
+    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.struct(i.alias("pos"), F.lit(length).alias("length"))))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -63,7 +59,8 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
     A word is hit if it lies inside an occurrence of a benchmark window.  ``spans`` are the hit
     words as disjoint (start, end) pairs, from 0, end exclusive.  Null texts have no words; items
     with a null id are matched but not listed; rows that repeat an id are judged on their own;
-    an empty benchmark hits nothing.
+    an empty benchmark hits nothing.  Equal items are all listed, in the order of their texts.  Very long texts are
+    looked up chunk by chunk, in time in proportion to their length.
     """
     grams = benchmark_windows(benchmark, window)
     stats = grams.agg(
@@ -77,15 +74,24 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
         grams = F.broadcast(grams)
     row = F.monotonically_increasing_id()
     base = docs.select(row.alias("row"), F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("w"))
-    none = F.array(F.struct(F.lit(0).alias("pos"), F.lit(0).alias("length"), F.lit(None).cast("long").alias("hash")))
-    every = F.concat(none, *[F.coalesce(_windows(F.col("w"), n), F.slice(none, 1, 0)) for n in lengths])
-    at = base.select("row", "doc_id", "w", F.size("w").alias("n_words"), F.explode(every).alias("at"))
-    at = at.select("row", "doc_id", "w", "n_words", F.col("at.pos").alias("pos"), F.col("at.length").alias("len"), F.col("at.hash").alias("h"))
-    said = F.array_join(F.slice("w", F.greatest("pos", F.lit(1)), F.col("len")), " ")
-    if not small:  # a shuffled row holds its own window, not all words of its document
-        at, said = at.withColumn("said", said).drop("w"), F.col("said")
-    hit = (F.col("h") == F.col("hash")) & (F.col("len") == F.col("length")) & (said == F.col("phrase"))
-    found = at.join(grams, hit, "left").where("pos = 0 OR hash IS NOT NULL")
+    # a window's row carries the few words of its chunk, however long the document is
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)), F.lit(CHUNK)),
+        lambda i: F.struct(i.alias("before"), F.slice("w", i + 1, F.lit(CHUNK + window - 1)).alias("part")),
+    )
+    at = base.select("row", "doc_id", F.size("w").alias("n_words"), F.explode(chunks).alias("chunk")).select("row", "doc_id", "n_words", "chunk.before", "chunk.part")
+    none = F.array(F.struct(F.lit(0).alias("pos"), F.lit(0).alias("length")))
+    every = F.concat(F.when(F.col("before") == 0, none).otherwise(F.slice(none, 1, 0)), *[F.coalesce(_starts(F.col("part"), n), F.slice(none, 1, 0)) for n in lengths])
+    at = at.select("*", F.explode(every).alias("at")).select("row", "doc_id", "n_words", "before", "part", F.col("at.pos").alias("pos"), F.col("at.length").alias("len"))
+    gram = F.slice("part", F.greatest("pos", F.lit(1)), F.col("len"))
+    at = at.withColumn("h", F.xxhash64(gram))
+    said = F.array_join(gram, " ")
+    if not small:  # a shuffled row holds its own window, not its chunk
+        at, said = at.withColumn("said", said).drop("part"), F.col("said")
+    # hits by hash are compared as text; as a join key the text would be built for every window
+    found = at.join(grams, (F.col("h") == F.col("hash")) & (F.col("len") == F.col("length")), "left")
+    found = found.where((F.col("pos") == 0) | (F.col("phrase").isNotNull() & (said == F.col("phrase"))))
+    found = found.withColumn("pos", F.when(F.col("pos") > 0, F.col("before") + F.col("pos")).otherwise(F.lit(0)))
     per_doc = found.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
         F.first("n_words").alias("n_words"),

@@ -29,11 +29,11 @@ RATIO = 10
 #: Words that a subtree holds at most, as long as there are groups left to divide it by.
 SUBTREE = 20_000
 #: Letter groups: the most widespread letters are groups of their own, the others share the rest.
-GROUPS = 18
+GROUPS = 12
 #: Distinct words that a task counts before it passes them on.
 HELD_WORDS = 200_000
 #: Candidate pairs compared at a time.
-PAIRS = 500_000
+PAIRS = 1_000_000
 
 #: Counts above this are cut to it, which brings no two of them further apart.
 _TOP = 60_000
@@ -221,32 +221,53 @@ def near(a: bytes, b: bytes) -> bool:
     return a[i:] == b[i + 1 :]
 
 
+def _halves(words: list[bytes], shorter: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of both halves of each word, as a word of ``shorter`` letters fewer would have them.
+
+    Of two words one edit apart the halves before or those behind the edit are equal.
+    """
+    first = np.fromiter((hash(w[: (len(w) - shorter) // 2]) for w in words), np.int64, len(words))
+    last = np.fromiter((hash(w[(len(w) - shorter) // 2 + shorter :]) for w in words), np.int64, len(words))
+    return first, last
+
+
 def _pairs(group: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     groups = np.array(group, np.int64)
 
-    def answer(trie: Trie, words: list[bytes], n: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def answer(trie: Trie, members: tuple, words: list[bytes], n: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
         ask, leaf, spent = trie.leaves(_vectors(words, groups), keys)
         sizes = trie.last[leaf] - trie.first[leaf]
         ends = np.cumsum(sizes)
+        first, last = _halves(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
         start = 0
         while start < len(ask):  # leaves of any size are compared in blocks
-            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PAIRS, "right")))
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+            here = slice(start, stop)
+            which = np.repeat(np.arange(start, stop), sizes[here])
+            member = np.arange(len(which)) - np.repeat(ends[here] - sizes[here] - done, sizes[here]) + np.repeat(trie.first[leaf[here]], sizes[here])
+            a = ask[which]
+            longer = members[0][member] - lengths[a]
+            close = np.zeros(len(a), bool)
+            for more, half in ((0, members[1]), (1, members[2])):
+                at = np.flatnonzero(longer == more)
+                close[at] = (first[a[at]] == half[0][member[at]]) | (last[a[at]] == half[1][member[at]])
+            close = np.flatnonzero(close)
             out: tuple[list, list, list, list] = ([], [], [], [])
-            for i in range(start, stop):
-                word, count, equal = words[ask[i]], int(n[ask[i]]), spent[i] == 0
-                for j in range(trie.first[leaf[i]], trie.last[leaf[i]]):
-                    other = trie.words[j]
-                    # words of equal counts ask each other, and one of them is heard
-                    if near(word, other) and (not equal or (len(word), word) < (len(other), other)):
-                        for x, y in zip(out, (word, count, other, int(trie.n[j]))):
-                            x.append(y)
+            for i, j, k in zip(a[close].tolist(), member[close].tolist(), spent[which[close]].tolist()):
+                word, other = words[i], trie.words[j]
+                # words of equal counts ask each other, and one of them is heard
+                if near(word, other) and (k or len(word) < len(other) or word < other):
+                    for x, y in zip(out, (word, n[i], other, trie.n[j])):
+                        x.append(y)
             start = stop
             text = lambda x: pa.array([w.decode("latin-1") for w in x], pa.string())
             yield pa.RecordBatch.from_arrays([text(out[0]), pa.array(out[1], pa.int64()), text(out[2]), pa.array(out[3], pa.int64())], ["a", "a_n", "b", "b_n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members: list[pa.RecordBatch] = []
-        trie = None
+        trie, known = None, ()
 
         def columns(b):
             return [w.encode("latin-1") for w in b.column("word").to_pylist()], b.column("n").to_numpy(), b.column("key").to_numpy().view(np.uint64)
@@ -260,7 +281,8 @@ def _pairs(group: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                 if trie is None:
                     held = pa.Table.from_batches(members).combine_chunks().to_batches() if members else []
                     trie = Trie(*columns(held[0]), groups) if held else Trie([], np.zeros(0, np.int64), np.zeros(0, np.uint64), groups)
-                yield from answer(trie, *columns(b.slice(cut)))
+                    known = (np.fromiter(map(len, trie.words), np.int64, len(trie.words)), _halves(trie.words), _halves(trie.words, 1))
+                yield from answer(trie, known, *columns(b.slice(cut)))
 
     return run
 

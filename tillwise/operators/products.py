@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exact
+from ..functions.recursion import follow
 
 
 def items_per_order(orders: DataFrame, period: Sequence[Column]) -> DataFrame:
@@ -133,3 +134,17 @@ def launch_overlap(launched: DataFrame, days: int = 90) -> DataFrame:
     ]
     others = around.select("launch_day", F.inline(F.array(*sides)))
     return launched.join(others, "launch_day").select("launch", "window_", "other_launches", "nearest_days")
+
+
+def launch_chains(launched: DataFrame, days: int = 90) -> DataFrame:
+    """(launch, launch_day, first_launch): launches less than ``days`` apart belong to one chain, and so on along it.
+
+    A chain is named by its first launch, ties by name.  ``launched`` has distinct (launch, launch_day).  Launches are folded to days; a day is linked to the
+    launch day before it if that is near enough, and following the links to their end takes as many rounds as the logarithm of the longest chain.
+    """
+    daily = launched.groupBy("launch_day").agg(F.min("launch").alias("first_launch"))
+    before = F.lag("launch_day").over(Window.orderBy("launch_day"))  # a row per day of the calendar at most
+    near = F.datediff("launch_day", before) < days
+    ends = follow(daily.select("launch_day", F.when(near, before).alias("before")), "launch_day", "before")
+    named = ends.join(daily.withColumnRenamed("launch_day", "end"), "end").select(F.col("node").alias("launch_day"), "first_launch")
+    return launched.join(named, "launch_day").select("launch", "launch_day", "first_launch")

@@ -77,6 +77,19 @@ def sessions_by_year_pivot(
     return sessions.groupBy(F.month(ts).alias("month_")).agg(*columns, other.alias("sessions_other_years"))
 
 
+def sessions_by_every_year_pivot(sessions: DataFrame, ts: str = "created_at", most: int = 200) -> DataFrame:
+    """Month rows and a column for each year that occurs: the years are looked up first, and more than ``most`` of them are an error.
+
+    Sessions without a time have no month and no year; they are left out.
+    """
+    timed = sessions.where(F.col(ts).isNotNull())
+    found = timed.select(F.year(ts).alias("y")).distinct().limit(most + 1).collect()  # bounded by ``most``
+    if len(found) > most:
+        raise ValueError(f"more than {most} years in {ts}: columns for these would be no table")
+    years = sorted(r["y"] for r in found)
+    return sessions_by_year_pivot(timed, years, ts=ts).drop("sessions_other_years")
+
+
 # --- conversion and revenue --------------------------------------------------
 
 

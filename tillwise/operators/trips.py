@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar, exact
-from . import series
+from . import quantiles, series
 
 
 def trips_per_day(trips: DataFrame, ts: str = "picked_up_at") -> DataFrame:
@@ -29,12 +29,20 @@ def average_trips_per_week(trips: DataFrame, ts: str = "picked_up_at") -> DataFr
 
 
 def average_distance(trips: DataFrame, period: Column, distance: str = "distance") -> DataFrame:
-    """Mean distance per trip and period; distances are recorded to a hundredth."""
-    t = trips.groupBy(period).agg(
-        exact.rows().alias("trips"), exact.from_cents(exact.sum_cents(distance)).alias("total")
-    )
-    return t.select(
-        t.columns[0], "trips", exact.per_unit(F.col("total"), F.col("trips")).alias("avg_distance")
+    """Mean distance per trip and period, outliers left out and counted beside it; distances are recorded to a hundredth.
+
+    An outlier lies more than one and a half quartile ranges outside its period's quartiles.  Trips without a
+    distance are not counted.  Everything comes from one fold of the trips to distinct distances.
+    """
+    t = trips.select(period, exact.money(F.col(distance)).alias(distance))
+    key = t.columns[0]
+    s = quantiles.outlier_summary(t, [key], distance)
+    return s.select(
+        key,
+        F.col("n").alias("trips"),
+        "outliers",
+        exact.per_unit(F.col("kept_total").cast("decimal(21,2)"), F.col("kept")).alias("avg_distance"),
+        exact.per_unit(F.col("total").cast("decimal(21,2)"), F.col("n")).alias("avg_with_outliers"),
     )
 
 

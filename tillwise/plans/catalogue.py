@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import checks, dated, declared, loading, shop, sketched, web  # noqa: F401
+from . import checks, dated, declared, loading, modelled, shop, sketched, web  # noqa: F401
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY"]

@@ -184,12 +184,17 @@ def _(r):
     return trips.average_trips_per_week(r.trips)
 
 
+_KEPT = "FILTER (WHERE 2 * d >= lo AND 2 * d <= hi)"
+
+
 @query(
     "avg_distance",
     sql(
-        f"SELECT {year('picked_up_at')} AS year_, count(*) AS trips, {per_unit('sum(distance)', 'count(*)')} AS avg_distance "
-        "FROM trips GROUP BY 1",
+        f"SELECT year_, count(*) AS trips, {big('sum(CAST(2 * d < lo OR 2 * d > hi AS INTEGER))')} AS outliers, "
+        f"{per_unit('sum(d) ' + _KEPT, 'count(*) ' + _KEPT)} AS avg_distance, {per_unit('sum(d)', 'count(*)')} AS avg_with_outliers FROM v JOIN f USING (year_) GROUP BY 1",
         "trips",
+        v=f"SELECT {year('picked_up_at')} AS year_, distance AS d FROM trips",
+        f="SELECT year_, 2 * q1 - 3 * (q3 - q1) AS lo, 2 * q3 + 3 * (q3 - q1) AS hi FROM (SELECT year_, quantile_disc(d, 0.25) AS q1, quantile_disc(d, 0.75) AS q3 FROM v GROUP BY 1)",
     ),
 )
 def _(r):

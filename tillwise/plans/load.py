@@ -19,6 +19,7 @@ _LAYOUT: dict[str, tuple[str, str | None, tuple[str, ...]]] = {
     "order_items": ("order_id", "created_at", ("order_item_id",)),
     "order_item_refunds": ("order_id", "created_at", ("order_item_id",)),
 }
+#: Buckets of tables that were not staged, whose size is not known.
 BUCKETS = 64
 
 
@@ -46,15 +47,23 @@ def _entry(folder: str, name: str) -> str:
     return f"tillwise_{hashlib.md5(folder.rstrip('/').encode()).hexdigest()[:12]}_{name}"
 
 
-def lay_out(tables: Mapping[str, DataFrame], folder: str, buckets: int = BUCKETS) -> None:
+def bucket_counts(spark: SparkSession, staged: str) -> tuple[int, int]:
+    """(buckets, files per bucket) for tables staged under that folder: as the largest of them needs, since tables that join share buckets."""
+    largest = max(layout.staged_bytes(spark, f"{staged}/{name}") for name in _LAYOUT)
+    buckets = layout.buckets_for(largest)
+    return buckets, max(1, -(-largest // (buckets * layout.TASK_BYTES)))
+
+
+def lay_out(tables: Mapping[str, DataFrame], folder: str, buckets: int = BUCKETS, files: int = 1) -> None:
     """Write the tables once, after verification, in the layout that the reports scan.
 
-    Sessions, pageviews and orders share buckets of the session, items and refunds those of the order.
+    Sessions, pageviews and orders share buckets of the session, items and refunds those of the order.  ``bucket_counts`` says how
+    many buckets, and files in each, staged tables need.
     """
     for name, df in tables.items():
         if name in _LAYOUT:
             key, ts, sort_by = _LAYOUT[name]
-            layout.write_bucketed_by_month(df, _entry(folder, name), f"{folder}/{name}", key, buckets, ts, sort_by)
+            layout.write_bucketed_by_month(df, _entry(folder, name), f"{folder}/{name}", key, buckets, ts, sort_by, files)
         else:
             df.write.mode("errorifexists").parquet(f"{folder}/{name}")
 

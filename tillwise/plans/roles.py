@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import exact
 from ..operators import asof
 from ..sources import tables
+from ..sources.schemas import SCHEMAS
 
 # An item row has no single-column id: these columns identify it.
 ITEM_KEY = ("order_id", "line_no", "product_id", "supplier_id", "shipped_at")
@@ -306,6 +307,25 @@ class Roles:
         placed = lines.join(self._dropoffs(), "order_id").groupBy("supplier_id", "dropoff_zone_id").agg(F.sum("trips").alias("trips"))
         return placed.join(self._pickups(), "supplier_id").select("pickup_zone_id", "dropoff_zone_id", "trips")
 
+    # --- the declared shop -----------------------------------------------------
+
+    @cached_property
+    def declared_tables(self) -> dict[str, DataFrame]:
+        """The six tables of the shop, column for column as ``sources.schemas`` declares them."""
+        item = F.col("order_id") * 10 + F.col("line_no")
+        primary = self.items.where("is_primary_item = 1").groupBy("order_id").agg(F.min("product_id").alias("primary_product_id"))
+        ordered = self.orders_with_items.join(primary, "order_id", "left")
+        items = self.items.join(self.orders.select("order_id", "created_at"), "order_id")
+        given = {
+            "products": self.products,
+            "website_sessions": self.web_sessions.withColumn("utm_content", F.col("utm_campaign")),
+            "website_pageviews": self.web_pageviews,
+            "orders": ordered.withColumn("website_session_id", F.col("order_id")).withColumn("cogs_usd", F.col("price_usd") / 2),
+            "order_items": items.withColumn("order_item_id", item).withColumn("cogs_usd", F.col("price_usd") / 2),
+            "order_item_refunds": self.refunds.withColumn("order_item_id", item).withColumn("order_item_refund_id", item),
+        }
+        return {name: df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields]) for name, df in given.items()}
+
     # --- other spellings -----------------------------------------------------
 
     @staticmethod

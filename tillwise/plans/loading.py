@@ -9,7 +9,7 @@ from ..functions import exact
 from ..functions.collation import collated, one_spelling
 from ..functions.rules import CHECKOUT_STEPS
 from ..operators import funnel, sessions
-from ..sources import csv, layout, months, quarantine
+from ..sources import layout, lookup, months, quarantine
 from .oracle import CONVERTED, ORDERS, REVENUE, SESSIONS, big, cents, dollars, half_up, per_unit, percent, sql
 from .registry import query
 
@@ -182,3 +182,31 @@ def _(r):
     loaded = good.agg(F.lit(None).cast("string").alias("reason"), exact.rows().alias("lines"), exact.from_cents(exact.sum_cents("price_usd")).alias("revenue"), F.countDistinct("priority").alias("priorities"))
     aside = bad.groupBy("reason").agg(exact.rows().alias("lines"), F.lit(None).cast("decimal(21,2)").alias("revenue"), F.lit(0).cast("long").alias("priorities"))
     return loaded.union(aside)
+
+
+# --- point lookups -----------------------------------------------------------
+
+
+@query(
+    "point_lookups",
+    sql(
+        "SELECT 'user' AS lookup, count(*) AS pageviews FROM events WHERE user_id = 17 UNION ALL "
+        "SELECT 'url', count(*) FROM pageviews WHERE pageview_url = '/cart' UNION ALL "
+        "SELECT 'day', count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11' UNION ALL "
+        "SELECT 'url and day', count(*) FROM pageviews WHERE pageview_url = '/cart' AND created_at >= TIMESTAMP '2024-01-10' AND created_at < TIMESTAMP '2024-01-11'",
+        "pageviews",
+    ),
+)
+def _(r):
+    """Pageviews in Morton order of url and day, with a bloom filter on the user: each filter alone skips most of the files."""
+    views = r.web_pageviews.withColumn("user_id", F.call_function("div", F.col("website_session_id"), F.lit(1000000))).withColumn("day", F.col("created_at").cast("date"))
+    path = layout.scratch_path(r.spark, "lookups")
+    lookup.write_for_lookups(views, path, ["pageview_url", "day"], {"user_id": 100_000})
+    t = r.spark.read.schema(views.schema).parquet(path)
+    day = F.col("day") == F.lit("2024-01-10").cast("date")
+    url = F.col("pageview_url") == "/cart"
+    out = None
+    for name, test in (("user", F.col("user_id") == 17), ("url", url), ("day", day), ("url and day", url & day)):
+        one = t.where(test).agg(exact.rows().alias("pageviews")).select(F.lit(name).alias("lookup"), "pageviews")
+        out = one if out is None else out.union(one)
+    return out

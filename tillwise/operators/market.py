@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar, exact
-from ..functions.joins import null_safe_join
 from . import quantiles
 
 
@@ -97,15 +96,14 @@ def reviews_by_market(reviews: DataFrame, listings: DataFrame, by: str, ts: str
 def best_value(listings: DataFrame, reviews: DataFrame, by: str, price: str) -> DataFrame:
     """Markets ranked by reviews per listing for each 1,000 of median price.
 
-    Reviews are folded to one row per listing before they meet the listings, and listings to one row per
-    market and price: the median and the number of listings come from that.
+    Reviews are folded to one row per listing before they meet the listings, and these to one row per
+    market and price: the median and the numbers of listings and reviews come from that one fold.
     """
     per_listing = reviews.groupBy("listing_id").agg(exact.rows().alias("reviews"))
-    seen = listings.select("listing_id", by).join(per_listing, "listing_id").groupBy(by).agg(F.sum("reviews").alias("reviews"))
-    q = quantiles.from_fold(quantiles.fold(listings, [by], price), [by], price, {"median_price": "0.5"})
-    t = null_safe_join(q, seen, [by], "left").select(
-        by, F.col("rows").alias("listings"), "median_price", F.coalesce("reviews", F.lit(0)).alias("reviews")
-    )
+    known = listings.select("listing_id", by, price).join(per_listing, "listing_id", "left")
+    counts = known.groupBy(by, price).agg(exact.rows().alias("n"), F.coalesce(F.sum("reviews"), F.lit(0)).alias("reviews"))
+    q = quantiles.from_fold(counts, [by], price, {"median_price": "0.5"}, carry=["reviews"])
+    t = q.select(by, F.col("rows").alias("listings"), "median_price", "reviews")
     scored = t.select(
         by,
         "listings",

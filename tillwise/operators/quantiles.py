@@ -35,25 +35,27 @@ def _bucket(value: Column, scale: int) -> Column:
     return F.sign(units).cast("int") * F.call_function("div", F.abs(units), step) * step
 
 
-def from_fold(counts: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, str]) -> DataFrame:
+def from_fold(counts: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, str], carry: Sequence[str] = ()) -> DataFrame:
     """Per group, for each probability p, the smallest value with at least p of the rows at or below it.
 
     ``probs`` maps an output column to a probability written as a decimal, e.g. {"median": "0.5"}.
     ``value`` is a decimal column.  Beside the quantiles stand ``rows`` (all rows of the group), ``valued`` (those
     with a value) and ``total`` (the sum of values), from the same fold; a group without values has NULL quantiles.
+    ``carry`` names further sums of the fold, which come out added up per group.
     """
     kind = counts.schema[value].dataType
-    counts = counts.select(*keys, value, "n").withColumn("bucket", _bucket(F.col(value), kind.scale))
+    counts = counts.select(*keys, value, "n", *carry).withColumn("bucket", _bucket(F.col(value), kind.scale))
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     has = F.col("bucket").isNotNull()
     placed = (
         counts.groupBy(*keys, "bucket")
-        .agg(F.sum("n").alias("bucket_n"), F.sum((F.col(value) * F.col("n")).cast(f"decimal(38,{kind.scale})")).alias("bucket_total"))
+        .agg(F.sum("n").alias("bucket_n"), F.sum((F.col(value) * F.col("n")).cast(f"decimal(38,{kind.scale})")).alias("bucket_total"), *[F.sum(c).alias(f"bucket_{c}") for c in carry])
         .withColumn("rows_before", F.coalesce(F.sum(F.when(has, F.col("bucket_n"))).over(earlier), F.lit(0)))
         .withColumn("rows", F.sum("bucket_n").over(group))
         .withColumn("valued", F.coalesce(F.sum(F.when(has, F.col("bucket_n"))).over(group), F.lit(0)))
         .withColumn("total", F.sum("bucket_total").over(group))
+        .withColumns({c: F.sum(f"bucket_{c}").over(group) for c in carry})
     )
 
     def needed(p: str) -> Column:
@@ -62,18 +64,18 @@ def from_fold(counts: DataFrame, keys: Sequence[str], value: str, probs: Mapping
     hit = F.col("valued") == 0
     for p in probs.values():
         hit = hit | (has & needed(p).between(F.col("rows_before") + 1, F.col("rows_before") + F.col("bucket_n")))
-    wanted = placed.where(hit).select(*keys, "bucket", "rows_before", "rows", "valued", "total")
+    wanted = placed.where(hit).select(*keys, "bucket", "rows_before", "rows", "valued", "total", *carry)
     so_far = (
         Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = null_safe_join(counts, wanted, [*keys, "bucket"]).withColumn(
+    ranked = null_safe_join(counts.drop(*carry), wanted, [*keys, "bucket"]).withColumn(
         "at_or_below", F.col("rows_before") + F.sum("n").over(so_far)
     )
 
     def pick(p: str) -> Column:
         return F.min(F.when(F.col("at_or_below") >= needed(p), F.col(value)))
 
-    once = [F.max(c).alias(c) for c in ("rows", "valued", "total")]
+    once = [F.max(c).alias(c) for c in ("rows", "valued", "total", *carry)]
     return ranked.groupBy(*keys).agg(*[pick(p).alias(name) for name, p in probs.items()], *once)
 
 

@@ -1,4 +1,8 @@
-"""A training-data pipeline over ``documents``: filter, deduplicate, decontaminate, mix, write tokens."""
+"""A training-data pipeline over ``documents``: filter, deduplicate, decontaminate, mix, write tokens.
+
+Every stage takes rows as they are: ids may be null or repeat, a text may be null (it counts as empty), empty or very long and is used
+whole, and columns of any name come through unchanged.  All but the last return the columns they were given, and an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -9,27 +13,46 @@ from tillwise.llm.queries import table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts.
+
+    Each row is judged by its own text, so rows of one text stay or go together whatever their ids; null and empty texts have no
+    features and get the score of the bias.
+    """
     return naive_bayes_svm.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
+    """One document of each SimHash component.
+
+    The row of the smallest id stays, null ids come last, and among rows of one id one stays.  Null, empty and blank texts have
+    fingerprint zero and are near each other: one of them stays.
+    """
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of the benchmark."""
+    """Documents without a window of the benchmark.
+
+    Rows are judged one by one: a hit takes its own row, and rows of the same text, but no other row of its id.  Texts without a
+    word stay; benchmark items without a word, null ones included, match nothing.
+    """
     return decontaminate.drop_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A mix of 150 % of all words, shared 3 : 1 : 2 among sources; a document may come twice."""
+    """A mix of 150 % of all words, shared 3 : 1 : 2 among sources; a document may come twice.
+
+    A null source is a source of its own, the last in order.  A text without a word has size 0 and may be taken like any other; rows
+    that repeat an id are drawn each for itself.  Reruns draw the same copies, among rows equal in id and size any may be the one.
+    """
     return mixing.take(docs)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids written as Huffman blocks; what reading them back gives, one row per document."""
+    """Token ids written as Huffman blocks; what reading them back gives, one row per document.
+
+    A null or empty text is its end id alone.  Rows follow each other by id, null ids first, and rows of one id in any order.
+    """
     return huffman.round_trip(docs)
 
 

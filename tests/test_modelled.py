@@ -53,6 +53,8 @@ def test_columns_that_others_determine_are_named(table, spark):
 def test_no_rows_give_no_model_and_too_many_levels_an_error(table, spark, monkeypatch):
     m = regression.least_squares(table.where("false"), "price", ["size"], ["city"])
     assert (m.n, m.coefficients, m.r_squared) == (0, {}, None)
+    nothing = regression.Model({}, {}, [], 0, None)
+    assert regression.as_rows(nothing, table.sparkSession).count() == 0
     with pytest.raises(ValueError, match="levels"):
         regression.levels(table, ["city", "kind"], most=4)
     monkeypatch.setattr(regression, "MAX_COLUMNS", 4)

@@ -105,5 +105,6 @@ def _solved(g: np.ndarray, names: list[tuple[str, str | None]], base: dict[str,
 def as_rows(model: Model, spark) -> DataFrame:
     """(attribute, level, effect, n, r_squared): a row per column of the model; bases have effect 0, columns left out NULL."""
     data = [(a, v, e) for (a, v), e in model.coefficients.items()] + [(a, v, 0.0) for a, v in model.bases.items()] + [(a, v, None) for a, v in model.left_out]
-    rows = [(a, v, None if e is None else float(e), model.n, model.r_squared) for a, v, e in data]
-    return spark.createDataFrame(rows, "attribute string, level string, effect double, n long, r_squared double")
+    told = [F.struct(F.lit(a).alias("attribute"), F.lit(v).cast("string").alias("level"), F.lit(e).cast("double").alias("effect")) for a, v, e in data]
+    fit = (F.lit(model.n).cast("long").alias("n"), F.lit(model.r_squared).cast("double").alias("r_squared"))
+    return spark.range(1).select(F.inline(F.array(*told)), *fit) if told else spark.range(0).select(*[F.lit(None).cast(k).alias(c) for c, k in (("attribute", "string"), ("level", "string"), ("effect", "double"))], *fit)

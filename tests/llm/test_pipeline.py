@@ -31,7 +31,7 @@ def test_names_and_columns(steps):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "decontamination", "source_mix", "token_files"]
     for name, (docs, result) in list(steps.items())[:-1]:
         assert result.columns == docs.columns, name
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in entry.queries() if k.startswith("op")} and "pipeline" in entry.queries()
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in entry.queries() if k.startswith("op")} and "pipeline" in entry.queries()
 
 
 def test_quality(spark, steps):

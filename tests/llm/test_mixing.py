@@ -67,3 +67,19 @@ def test_the_drawn_rows_are_taken_when_later_scans_are_cut_otherwise(spark, tmp_
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
     assert {i: got.count(i) for i in set(got)} == want
+
+
+def test_one_id_holds_a_third_of_the_rows(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "ab"[i % 2], 5 + i % 4, i) for i in range(6000)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, size long, row long")
+    dealt = mixing.systematic(table, row_col="row")
+    got = dealt.collect()
+    assert sorted(r["row"] for r in got) == list(range(6000))
+    # rows equal in id and size may change places: what they take together may not
+    together = lambda rs: sorted(((r["source"], r["size"], r["doc_id"] or -1, r["copies"]) for r in rs))
+    assert together(got) == together(mixing.systematic(table).collect())
+    for s in "ab":
+        mine = [r for r in got if r["source"] == s]
+        assert abs(sum(r["copies"] * r["size"] for r in mine) - mine[0]["target"]) <= 3 * 8
+    again = mixing.systematic(table.repartition(5), row_col="row").collect()
+    assert {(r["row"], r["copies"]) for r in got} == {(r["row"], r["copies"]) for r in again}

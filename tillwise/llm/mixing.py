@@ -6,9 +6,10 @@ emitted once for each integer it covers.  Documents lie in order of size class,
 the sample takes of a source in words stays within about one large document of its target.
 
 No task sees a whole source: a document's place is the number of documents in smaller size
-classes, plus those of its class in earlier hash buckets, plus its rank in its own bucket.
-The first two come from counts, and with about sqrt(n) buckets neither the counts of a class
-nor a bucket exceed about sqrt(n) rows, whatever one source or one group of copies holds.
+classes, plus those of its class in earlier hash buckets of ids, plus those before its id in its
+bucket, plus, among rows of one id and size, those in earlier hash buckets of row numbers and its rank in
+its own.  All but the last come from counts, and with about sqrt(n) buckets of either sort a window
+sees about sqrt(n) rows, whatever one source, one id or the null id holds.
 """
 
 from __future__ import annotations
@@ -68,10 +69,11 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCE
     )
 
 
-def systematic(sized: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size", **how) -> DataFrame:
+def systematic(sized: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size", row_col: str | None = None, **how) -> DataFrame:
     """Adds ``source_size``, ``target`` and ``copies`` to rows that have an id, a source and a size.
 
-    The rows are read several times: give a table, not a long plan.  A null source is a source
+    The rows are read several times: give a table, not a long plan.  ``row_col`` names a number written with each row,
+    by which rows that share an id and a size are dealt to tasks; without it they meet in one.  A null source is a source
     of its own, a null size counts as 0 and a row of size 0 may be taken like any other.  Rows
     that repeat an id are rows of their own.  An empty table gives an empty result.  Reruns
     give the same copies for the same rows (among rows equal in id and size any may be the one).
@@ -88,23 +90,30 @@ def systematic(sized: DataFrame, id_col: str = "doc_id", source_col: str = "sour
         size.alias("size"),
         F.call_function("shiftleft", F.call_function("shiftright", size, low_bits), low_bits).alias("klass"),
         (_hash(ids) % buckets).alias("bucket"),
-        F.md5(ids).alias("rank_key"),
         ids.alias("id_text"),
+        (F.pmod(F.xxhash64(F.col(f"`{row_col}`")), F.lit(buckets)) if row_col else F.lit(0)).cast("long").alias("part"),
+        (F.col(f"`{row_col}`") if row_col else F.lit(0)).cast("long").alias("nth"),
     )
     source = ["src", "src_null"]
     block = [*source, "klass", "bucket"]
-    blocks = rows.groupBy(*block).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
+    same = [*block, "id_text", "size"]
+    parts = rows.groupBy(*same, "part").agg(F.count(F.lit(1)).alias("n"))
+    groups = parts.groupBy(*same).agg(F.sum("n").alias("n"))
+    blocks = groups.groupBy(*block).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("words"))
     classes = blocks.groupBy(*source, "klass").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
     totals = classes.groupBy(*source).agg(F.sum("words").alias("source_size"))
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     classes = classes.select(*source, "klass", before(Window.partitionBy(*source).orderBy("klass")).alias("class_before"))
     blocks = blocks.select(*block, before(Window.partitionBy(*source, "klass").orderBy("bucket")).alias("bucket_before"))
-    places = blocks.join(classes, [*source, "klass"]).join(source_targets(totals, **how), source)
-    place = F.col("class_before") + F.col("bucket_before") + F.row_number().over(Window.partitionBy(*block).orderBy("rank_key", "id_text", "size"))
+    groups = groups.select(*same, before(Window.partitionBy(*block).orderBy(F.md5("id_text"), "id_text", "size")).alias("group_before"))
+    parts = parts.select(*same, "part", before(Window.partitionBy(*same).orderBy("part")).alias("part_before"))
+    places = parts.join(groups, same).join(blocks.join(classes, [*source, "klass"]).join(source_targets(totals, **how), source), block)
+    rank = F.row_number().over(Window.partitionBy(*same, "part").orderBy("nth"))
+    place = F.col("class_before") + F.col("bucket_before") + F.col("group_before") + F.col("part_before") + rank
     rate = F.coalesce(F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size")), F.lit(0.0))
     copies = F.floor(F.col("offset") + rate * place) - F.floor(F.col("offset") + rate * (place - 1))
     return (
-        rows.join(places, block)
+        rows.join(places, [*same, "part"])
         .withColumn("copies", copies.cast("long"))
         .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(sized.columns) if c not in ("source_size", "target", "copies")], "source_size", "target", "copies")
     )
@@ -113,9 +122,9 @@ def systematic(sized: DataFrame, id_col: str = "doc_id", source_col: str = "sour
 def mix(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
     """doc_id, size, source_size, target, copies, taken for every row of ``docs``; sizes are words, null has none."""
     sized = materialize(
-        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes"
+        docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes"
     )
-    return systematic(sized, **how).select(
+    return systematic(sized, row_col="row", **how).select(
         "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
@@ -130,7 +139,7 @@ def take(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source
     sized = materialize(
         numbered.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes"
     )
-    copies = systematic(sized, **how).where("copies > 0").select(F.col("row").alias(taken), F.col("copies").cast("int").alias(times))
+    copies = systematic(sized, row_col="row", **how).where("copies > 0").select(F.col("row").alias(taken), F.col("copies").cast("int").alias(times))
     # a row per document: never a side to broadcast, however small it is today
     drawn = numbered.join(materialize(copies, "copies").hint("merge"), F.col(row) == F.col(taken))
     return drawn.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(row, taken, times, nth)

@@ -112,3 +112,21 @@ def test_blocks_decode_alone_and_empty_tables_write_none(spark, empty):
     got = {r["doc_id"]: (r["start"], np.frombuffer(r["ids"], "<u4").tolist()) for r in h.read(spark, path).collect()}
     assert got == {i: (300 * i, [i] * 300) for i in range(40)}
     assert h.round_trip(empty).collect() == []
+
+
+def test_rows_of_one_id_are_dealt_to_several_tasks(spark, tmp_path):
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text {i} of many") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tokens = scratch.materialize(h.tokenize(docs), "tokens")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would join tasks as small as these
+    try:
+        h.write(tokens, f"{tmp_path}/file", block_tokens=500)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    parts = {r["part"]: r["null"] for r in spark.read.parquet(f"{tmp_path}/file/blocks").groupBy("part").sum("nulls").withColumnRenamed("sum(nulls)", "null").collect()}
+    assert sum(parts.values()) == 1000 and max(parts.values()) < 900
+    got = sorted(h.read(spark, f"{tmp_path}/file").select("start", "doc_id", "n").collect())
+    ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in got]
+    assert ids == sorted(ids) and len(ids) == 3000
+    assert all(a["start"] + a["n"] == b["start"] for a, b in zip(got, got[1:]))

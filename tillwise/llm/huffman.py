@@ -330,7 +330,9 @@ def write(tokens: DataFrame, path: str, max_bits: int | None = None, block_token
         if docs:
             yield flush()
 
-    ranged = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    # a row number as second key: an id that many rows share, or the null id, does not go to one task
+    numbered = tokens.select("doc_id", "n", "ids", F.monotonically_increasing_id().alias("nth"))
+    ranged = numbered.repartitionByRange(F.col("doc_id").asc_nulls_first(), "nth").sortWithinPartitions(F.col("doc_id").asc_nulls_first())
     ranged.select("doc_id", "n", "ids").mapInArrow(run, BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
 
 

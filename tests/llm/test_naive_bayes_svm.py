@@ -61,3 +61,14 @@ def test_held_out_labels_are_not_read(spark):
     docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
     turned = labels.withColumn("quality", F.when(nb.id_remainder(F.col("doc_id"), 4) == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
     assert set(nb.classify(docs, labels).collect()) == set(nb.classify(docs, turned).collect())
+
+
+def test_a_sampled_id_that_many_rows_share_is_learned_from_once(spark):
+    rows = [(i if i % 3 else 3, f"word{i % 11} and more of text {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id").distinct().select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    sample = nb.labelled_sample(docs, labels, per_class=200).collect()
+    ids = [r["doc_id"] for r in sample]
+    assert len(ids) == len(set(ids)) <= 400
+    again = nb.labelled_sample(docs.repartition(7), labels, per_class=200).collect()
+    assert sorted(map(tuple, sample)) == sorted(map(tuple, again))

@@ -153,9 +153,10 @@ def fit(rows: list[np.ndarray], y: np.ndarray) -> Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, held_out: int = 2) -> DataFrame:
-    """(quality, slots) of at most ``per_class`` ids of each class, chosen by a hash of the id.
+    """(doc_id, quality, slots) of at most ``per_class`` ids of each class, chosen by a hash of the id; one row per id.
 
-    The bounded list of ids is broadcast, so documents are read once and not shuffled.
+    The bounded list of ids is broadcast, so documents are read once and not shuffled.  Of rows that repeat an id the one
+    with the least features counts, folded per task first.
     """
     marks = (
         labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
@@ -166,7 +167,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_
     key = [F.md5(F.col("doc_id").cast("string")), F.col("doc_id")]
     picked = marks.where("quality = 0").orderBy(*key).limit(per_class).union(marks.where("quality = 1").orderBy(*key).limit(per_class))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).join(F.broadcast(picked), "doc_id")
-    return texts.select("doc_id", "quality", "text").mapInArrow(_featurize, "doc_id long, quality int, slots binary")
+    featured = texts.select("doc_id", "quality", "text").mapInArrow(_featurize, "doc_id long, quality int, slots binary")
+    return featured.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("slots").alias("slots"))
 
 
 def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

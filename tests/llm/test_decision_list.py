@@ -74,3 +74,12 @@ def test_edges(spark, nasty, empty):
     alone = dl.judge(nasty, labels.where("false"))
     assert alone.where("kept = base_failed").count() == 0
     assert dl.judge(empty, labels).count() == 0
+
+
+def test_rules_do_not_depend_on_which_rows_of_a_repeated_id_come_first(spark):
+    rows = [(i if i % 3 else 3, " ".join(["word"] * (5 + i % 40)) + "#" * (i % 7) + f" {i}") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stats = docs.select("doc_id", "text")
+    labels = docs.select("doc_id").distinct().select("doc_id", F.when(F.col("doc_id") % 2 == 0, 0).otherwise(1).alias("quality"))
+    verdicts = [{tuple(r) for r in dl.judge(d, labels, held_out=None).collect()} for d in (stats, stats.repartition(7), stats.orderBy(F.desc("text")))]
+    assert verdicts[0] == verdicts[1] == verdicts[2]

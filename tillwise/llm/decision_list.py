@@ -205,12 +205,14 @@ def verdict(rules: list[Rule]) -> Column:
 def fit(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Rules from at most ``sample_rows`` labelled rows, picked by a hash of the id.
 
-    A label counts if its id and quality are not null; of several for one id the lowest counts.
+    A label counts if its id and quality are not null; of several for one id the lowest counts.  Of rows
+    that repeat an id the one with the least features, taken in order, counts.
     """
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     picked = marks.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample_rows)
-    rows = stats.join(picked, "doc_id").select("quality", *[F.coalesce(F.expr(e), F.lit(float("nan"))).alias(n) for n, e in FEATURES.items()])
-    sample = rows.limit(sample_rows * 2).toPandas()  # a bounded sample: ids repeat rarely
+    measured = F.struct(*[F.coalesce(F.expr(e), F.lit(float("nan"))).cast("double").alias(n) for n, e in FEATURES.items()])
+    rows = stats.join(picked, "doc_id").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min(measured).alias("f"))
+    sample = rows.select("quality", "f.*").toPandas()  # at most sample_rows
     if sample.empty:
         return []
     sample = sample.sort_values(list(sample.columns), kind="stable")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -74,3 +75,45 @@ def test_edges(spark, nasty, empty):
     want = "email:2:8,ip:9:17,card:36:52,phone:19:34"
     assert row["spans"] == want and row["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
     assert row["redacted"] == "x [email] [ip], [phone], [card]\n"
+
+
+class _AnyTrees:
+    """A stand-in for trained trees: a probability from the features, some of them equal."""
+
+    def probability(self, x):
+        return (x.sum(axis=1).astype(int) % 7 + 1) / 8
+
+
+_ANY = pii.Model(_AnyTrees(), (0.2, 0.3, 0.4, 0.5))
+
+
+def _every_pair(text, model):
+    """Added spans by comparing each with all others."""
+    every = [(k, s, e) for k, spans in enumerate(pii.base_spans(text)) for s, e in spans]
+    free = [c for c in pii.propose(text) if not any(c[1] < b and a < c[2] for _, a, b in every)]
+    p = model.trees.probability(np.array([pii.features(k, *pii._context(text, s, e)) for k, s, e in free], float)) if free else []
+    for j in sorted(range(len(free)), key=lambda j: (-p[j], j)):
+        k, s, e = free[j]
+        if p[j] >= model.thresholds[k] and not any(s < b and a < e for _, a, b in every):
+            every.append((k, s, e))
+    return every
+
+
+@settings(max_examples=150, deadline=None)
+@given(some.lists(some.sampled_from(["a@b.co", "jo at site", "+1 415 555 2671", "4111 1111 1111 1111", "1.2.3.4", "1.2.3.999", "2019-11-25", "4155552671", "555-26", " ", ", ", "x", "(", "@", "."]), max_size=40))
+def test_added_spans_equal_those_of_comparing_all_pairs(parts):
+    text = "".join(parts)
+    assert pii.find_in([text], _ANY)[0][1] == _every_pair(text, _ANY)
+
+
+def test_a_text_with_many_items_takes_time_in_proportion():
+    def seconds(n):
+        text = " ".join(f"u{i}@site{i % 97}.org (415) 555-{i % 9000 + 1000}; +1 212 555 {i % 9000 + 1000} mail jo{i} (at) there" for i in range(n))
+        begin = time.perf_counter()
+        found = pii.find_in([text], _ANY)[0][1]
+        assert len(found) >= 2 * n
+        return time.perf_counter() - begin
+
+    seconds(100)
+    small, large = seconds(2_500), seconds(25_000)
+    assert large < 30 * small and large < 60

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -257,24 +258,49 @@ def _text_of(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(spans))
 
 
+class _Cover:
+    """The stretches of a text that spans cover, disjoint and in order, so that an overlap is found by bisection."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for s, e in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def meets(self, s: int, e: int) -> bool:
+        at = bisect_left(self.starts, e)
+        return at > 0 and self.ends[at - 1] > s
+
+    def add(self, s: int, e: int) -> None:
+        """A span that meets none."""
+        at = bisect_left(self.starts, s)
+        self.starts.insert(at, s)
+        self.ends.insert(at, e)
+
+
 def find_in(texts: list[str], model: Model) -> list[tuple[list[list[Span]], list[tuple[int, int, int]]]]:
     """For each text the base spans by kind, and all spans (kind, start, end): added ones overlap no other span."""
-    out, rows, where = [], [], []
+    out, covers, rows, where = [], [], [], []
     for i, text in enumerate(texts):
         base = base_spans(text)
-        every = [(k, s, e) for k, spans in enumerate(base) for s, e in spans]
-        out.append((base, every))
+        cover = _Cover([s for spans in base for s in spans])
+        out.append((base, [(k, s, e) for k, spans in enumerate(base) for s, e in spans]))
+        covers.append(cover)
         for k, s, e in propose(text):
-            if model.thresholds[k] <= 1 and not any(s < b and a < e for _, a, b in every):
+            if model.thresholds[k] <= 1 and not cover.meets(s, e):
                 rows.append(features(k, *_context(text, s, e)))
                 where.append((i, k, s, e))
     if rows:
         p = model.trees.probability(np.array(rows, float))
         for j in np.argsort(-p, kind="stable"):
             i, k, s, e = where[j]
-            every = out[i][1]
-            if p[j] >= model.thresholds[k] and not any(s < b and a < e for _, a, b in every):
-                every.append((k, s, e))
+            if p[j] >= model.thresholds[k] and not covers[i].meets(s, e):
+                covers[i].add(s, e)
+                out[i][1].append((k, s, e))
     return out
 
 
@@ -286,7 +312,8 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (by the fixed patterns), base_sha256, spans, redacted for every row.
 
     Offsets are code points, ends exclusive.  Null texts are empty; rows without spans have the hash of the empty
-    text; null and repeated ids are rows like others.  In ``redacted`` every span is replaced by its kind in brackets.
+    text; null and repeated ids are rows like others.  A very long text costs time in proportion to its items; of equally
+    likely spans that overlap, the one proposed first stays.  In ``redacted`` every span is replaced by its kind in brackets.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the number of trees
 

@@ -1,27 +1,32 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Symbols are the frequent words (at least ``RARE`` of all tokens, so at most 1 / RARE of them), one
-symbol for every other word, and the end of a text.  A context is a candidate if it makes up
-``CONTEXT`` of all tokens; next symbols are stated where the pair makes up ``RARE``.  Both bounds are
-shares, so the tree has at most DEPTH / RARE entries at any input size, and it alone is broadcast.
-A candidate is retained if its next symbols diverge from those of its suffix by more than a
-code-length penalty, or if a longer context that ends in it is retained.
-
-A token's probability comes from the longest context in the tree that ends before it; mass that a
-context leaves over goes to its suffix, and at the root to additively smoothed word frequencies.  A rare word
-costs its symbol in context and then its share of all rare words.  The counts of rare words are
-a table as large as the vocabulary; they meet the documents' rare words in a join.
+Symbols are all words, by 64-bit hash, and the end of a text.  A node of the tree is a context, the last 1 to
+``DEPTH`` words.  It is a candidate if training texts hold it ``LEAST`` times or more, and states the next symbols it
+was followed by ``LEAST`` times or more.  A candidate is retained if these diverge from what its longest retained suffix
+expects: the code length they save, the count times the Kullback-Leibler divergence, must exceed half a logarithm of
+the training size per stated symbol.  All bounds are fixed counts, so the tree grows with the text.
+
+A retained context of count N gives a stated symbol of count n the probability (n - D) / N plus the mass that is
+left times what the suffix gives; other symbols get the second part alone.  These add up to one at every
+context.  A context that is not retained passes its suffix's probabilities on; the root has additively smoothed word counts.
+
+The tree is never in one place.  Tokens are kept in chunks of some documents.  At depth k every chunk sends its distinct
+(context, next symbol) pairs with their counts to the bucket of the context; there the pairs are counted over the corpus and the
+context is tested; the answer goes back to the chunk, whose tokens then know their probability at depth k and
+whether they can be the end of a longer context.  A context with more than ``HOT`` of all tokens (at most 1 / HOT of a depth)
+is spread over several buckets by its next symbol, and its sums meet afterwards.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from functools import reduce
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,339 +34,378 @@ from .scratch import discard, materialize, release
 from .text import encoded, id_remainder
 
 DEPTH = 3
-RARE = 3e-6
-CONTEXT = 1e-4
+LEAST = 2
 DISCOUNT = 0.5
-FLUSH = 1 << 21
+HOT = 1e-3
+CHUNK = 1 << 18  # tokens of a chunk; one longer text is a chunk of its own
+BUCKET = 1 << 20  # tokens of the corpus for each bucket
+SPREAD = np.uint64(64)
+END = np.uint64(0x656E64206F662061)
+
+ROWS = "chunk long, doc_ids array<long>, train array<boolean>, sizes array<long>, words binary, places binary"
+ASKED = "bucket long, chunk long, contexts binary, runs binary, hot binary, symbols binary, below binary, times binary"
+ANSWERS = "chunk long, bucket long, n binary, left binary, context long, times long, stated long, n_log_n double, n_log_p double, stated_n long, below double"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words of a text, A-Z in lower case."""
     words = encoded(text).lower().split()
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-class _Counter:
-    """Counts of 64-bit keys, handed out whenever many have come together."""
+def pack(a: np.ndarray) -> bytes:
+    """Numbers as bytes: all first bytes, all second ones, and so on, compressed."""
+    raw = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T).tobytes()
+    return len(a).to_bytes(8, "little") + (pa.Codec("zstd", 1).compress(raw, asbytes=True) if raw else b"")
 
-    def __init__(self, key: str):
-        self.key, self.held, self.size = key, [], 0
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append(keys)
-        self.size += len(keys)
-        if self.size >= FLUSH:
-            yield from self.flush()
+def unpack(blob: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(blob[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    raw = pa.Codec("zstd").decompress(blob[8:], n * size, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).ravel()
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.size:
-            got = pc.value_counts(pa.array(np.concatenate(self.held)))
-            self.held, self.size = [], 0
-            keys, n = got.field(0), got.field(1)
-            for at in range(0, len(keys), 100_000):
-                yield pa.RecordBatch.from_arrays([keys.slice(at, 100_000), n.slice(at, 100_000)], [self.key, "n"])
 
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of pairs."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
-def count_words(texts: DataFrame) -> DataFrame:
-    """(h, n) over all words of column text: counted per task, then added up."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter("h")
-        for b in batches:
-            for t in b.column("text").to_pylist():
-                yield from counter.add(word_hashes(t))
-        yield from counter.flush()
-
-    return texts.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Tree:
-    """Symbols 0..K-1 are frequent words by hash, K the rare words, K+1 the end.  Node 0 is the root."""
-
-    hashes: np.ndarray
-    counts: np.ndarray
-    total: int
-    vocabulary: int
-    children: list[np.ndarray] = field(default_factory=list)  # per depth: sorted codes node * width + older symbol
-    nodes: list[np.ndarray] = field(default_factory=list)  # per depth: node of each code
-    parent: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    leftover: np.ndarray = field(default_factory=lambda: np.zeros(1))  # log10 of the factor on the suffix's probability
-    entries: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # sorted codes node * width + next symbol
-    logs: np.ndarray = field(default_factory=lambda: np.zeros(0))
-
-    @property
-    def rare(self) -> int:
-        return len(self.hashes)
-
-    @property
-    def width(self) -> int:
-        return len(self.hashes) + 2
-
-    @property
-    def mass(self) -> float:
-        return self.total + 0.1 * (self.vocabulary + 1)
-
-    def root(self) -> np.ndarray:
-        """log10 of the symbols' probabilities without context; rare words get what is left."""
-        p = (self.counts + 0.1) / self.mass
-        p[self.rare] = max(1e-12, 1.0 - p[: self.rare].sum() - p[self.rare + 1])
-        return np.log10(p)
-
-    def symbols(self, h: np.ndarray) -> np.ndarray:
-        if not self.rare:
-            return np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, h), self.rare - 1)
-        return np.where(self.hashes[at] == h, at, self.rare)
-
-    def states(self, a: np.ndarray, pos: np.ndarray, depth: int | None = None) -> list[np.ndarray]:
-        """For each token the nodes of its context at depth 1, 2, ...; -1 where the tree has none."""
-        out = []
-        node = np.zeros(len(a), np.int64)
-        for k, (codes, nodes) in enumerate(zip(self.children[:depth], self.nodes[:depth], strict=True), 1):
-            here = np.flatnonzero((node >= 0) & (pos >= k))
-            nxt = np.full(len(a), -1, np.int64)
-            if len(codes) and len(here):
-                want = node[here] * self.width + a[here - k]
-                at = np.minimum(np.searchsorted(codes, want), len(codes) - 1)
-                nxt[here] = np.where(codes[at] == want, nodes[at], -1)
-            out.append(nxt)
-            node = nxt
-        return out
-
-    def token_logs(self, a: np.ndarray, pos: np.ndarray, root: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol after its longest context in the tree."""
-        node = np.zeros(len(a), np.int64)
-        for deeper in self.states(a, pos):
-            node = np.where(deeper >= 0, deeper, node)
-        out = np.zeros(len(a))
-        open_ = np.flatnonzero(node > 0)
-        out[node == 0] = root[a[node == 0]]
-        while len(open_):
-            want = node[open_] * self.width + a[open_]
-            at = np.minimum(np.searchsorted(self.entries, want), len(self.entries) - 1)
-            hit = self.entries[at] == want
-            out[open_[hit]] += self.logs[at[hit]]
-            open_ = open_[~hit]
-            out[open_] += self.leftover[node[open_]]
-            node[open_] = self.parent[node[open_]]
-            done = node[open_] == 0
-            out[open_[done]] += root[a[open_[done]]]
-            open_ = open_[~done]
-        return out
-
-
-def encode(docs: DataFrame, tree: Tree) -> DataFrame:
-    """row, doc_id, train, n, ids (symbols with the end), tail (hashes of rare words), tail_n: once per row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+def _table(schema: str, rows: list[tuple]) -> pa.Table:
+    kinds = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
+    return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], [name for name, _ in fields])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = shared.value
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                ids, tail, tail_n, n = [], [], [], []
-                for text in part.column("text").to_pylist():
-                    h = word_hashes(text)
-                    a = t.symbols(h)
-                    got, times = np.unique(h[a == t.rare], return_counts=True)
-                    ids.append(np.append(a, t.rare + 1).astype("<u4").tobytes())
-                    tail.append(got.astype("<i8").tobytes())
-                    tail_n.append(times.astype("<u4").tobytes())
-                    n.append(len(h) + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("doc_id"), part.column("train"), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (ids, tail, tail_n))],
-                    ["row", "doc_id", "train", "n", "ids", "tail", "tail_n"],
-                )
-
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "train", "text")
-    return rows.mapInArrow(run, "row long, doc_id long, train boolean, n long, ids binary, tail binary, tail_n binary")
-
-
-def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of some documents in a row, each token's place in its document, and where documents start."""
-    parts = [np.frombuffer(x.as_buffer(), "<u4") for x in column]
-    sizes = np.array([len(p) for p in parts], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    a = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
-    return a, np.arange(len(a)) - np.repeat(starts, sizes), starts
-
-
-def count_next(encoded_docs: DataFrame, tree: Tree, depth: int, least: int) -> list:
-    """(code, n): next symbols after each candidate context of ``depth``, met ``least`` times or more in training rows."""
-    shared = encoded_docs.sparkSession.sparkContext.broadcast(tree)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, counter = shared.value, _Counter("code")
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                a, pos, _ = _joined(b.column("ids").slice(at, 512))
-                node = t.states(a, pos, depth)[-1]
-                here = node >= 0
-                yield from counter.add(node[here] * t.width + a[here])
-        yield from counter.flush()
-
-    counted = encoded_docs.where("train").select("ids").mapInArrow(run, "code long, n long")
-    return counted.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()  # at most 1 / RARE rows
-
-
-def grow(encoded_docs: DataFrame, tree: Tree, depth: int = DEPTH, rare: float = RARE, context: float = CONTEXT, discount: float = DISCOUNT) -> Tree:
-    """Finds candidates depth by depth, then keeps those that pass the divergence test."""
-    width, root = tree.width, tree.root()
-    least, common = max(2, int(np.ceil(rare * tree.total))), max(4, int(np.ceil(context * tree.total)))
-    found: list[tuple[tuple[int, ...], int]] = [((x,), int(n)) for x, n in enumerate(tree.counts) if n >= common and x != tree.rare + 1]
-    index: dict[tuple[int, ...], int] = {(): 0}
-    size = [0]
-    nexts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for k in range(1, depth + 1):
-        found = [(s, n) for s, n in found if s[1:] in index]
-        if not found:
-            break
-        codes = np.array([index[s[1:]] * width + s[0] for s, _ in found], np.int64)
-        order = np.argsort(codes)
-        first = len(size)
-        for j, (s, n) in enumerate(found):
-            index[s] = first + j
-            size.append(n)
-        tree.children.append(codes[order])
-        tree.nodes.append(first + order)
-        rows = np.array([(r["code"], r["n"]) for r in count_next(encoded_docs, tree, k, least)], np.int64).reshape(-1, 2)
-        rows = rows[np.argsort(rows[:, 0])]
-        node, symbol = rows[:, 0] // width, rows[:, 0] % width
-        names = {i: s for s, i in index.items()}
-        for i in np.unique(node):
-            at = node == i if len(node) < 1000 else slice(np.searchsorted(node, i), np.searchsorted(node, i, "right"))
-            nexts[int(i)] = (symbol[at], rows[:, 1][at])
-        found = [((*names[int(i)], int(y)), int(n)) for (i, y), n in zip(np.stack([node, symbol], 1), rows[:, 1], strict=True) if n >= common and y != tree.rare + 1]
-    # distributions from short to long contexts, each against that of its suffix
-    parent, left = np.zeros(len(size), np.int64), np.zeros(len(size))
-    keep = np.zeros(len(size), bool)
-    keep[0] = True
-    stated: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def probability(i: int, ys: np.ndarray) -> np.ndarray:
-        """Of symbols after node i."""
-        if i == 0:
-            return 10.0 ** root[ys]
-        out = 10.0 ** left[i] * probability(int(parent[i]), ys)
-        own, p = stated[i]
-        if len(own):
-            at = np.minimum(np.searchsorted(own, ys), len(own) - 1)
-            out = np.where(own[at] == ys, p[at], out)
-        return out
-
-    for s, i in sorted(index.items(), key=lambda x: len(x[0])):
-        if i == 0:
-            continue
-        parent[i] = index[s[1:]]
-        ys, n = nexts.get(i, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-        p = (n - discount) / size[i]
-        below = probability(int(parent[i]), ys)
-        rest, rest_below = max(1e-9, 1.0 - p.sum()), max(1e-9, 1.0 - below.sum())
-        stated[i], left[i] = (ys, p), float(np.log10(rest / rest_below))
-        gain = (n * np.log(np.maximum(p, 1e-12) / below)).sum() + max(0, size[i] - n.sum()) * np.log(rest / rest_below)
-        keep[i] = len(ys) > 0 and gain > 0.5 * len(ys) * np.log(max(2, tree.total))
-    for s, i in sorted(index.items(), key=lambda x: -len(x[0])):
-        if keep[i] and i:
-            keep[parent[i]] = True
-    for k in range(len(tree.children)):
-        good = keep[tree.nodes[k]]
-        tree.children[k], tree.nodes[k] = tree.children[k][good], tree.nodes[k][good]
-    tree.parent, tree.leftover = parent, left
-    codes = [i * width + ys for i, (ys, _) in stated.items() if keep[i]]
-    tree.entries = np.concatenate([*codes, np.zeros(0, np.int64)]).astype(np.int64)
-    tree.logs = np.log10(np.concatenate([*(p for i, (_, p) in stated.items() if keep[i]), np.zeros(0)]))
-    order = np.argsort(tree.entries)
-    tree.entries, tree.logs = tree.entries[order], tree.logs[order]
-    if not len(tree.entries):
-        tree.children, tree.nodes = [], []
-    return tree
-
-
-def tail_sums(encoded_docs: DataFrame, counts: DataFrame, mass: float) -> DataFrame:
-    """row, tail_log (sum of log10 probabilities of a row's rare words) and tail_known (those seen in training)."""
+def chunks(texts: DataFrame) -> DataFrame:
+    """Documents in chunks: their ids, sizes and words, the words as places in the chunk's own list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 32
+        held: list[tuple] = []
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            words, places, n = np.unique(np.concatenate([h[2] for h in held]), return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")  # frequent words first: small numbers pack well
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
+            row = (at, [h[0] for h in held], [h[1] for h in held], [len(h[2]) for h in held], pack(words[order]), pack(rank[places]))
+            yield from _table(ROWS, [row]).to_batches()
+
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                h = [np.frombuffer(x.as_buffer(), "<i8") for x in part.column("tail")]
-                n = [np.frombuffer(x.as_buffer(), "<u4") for x in part.column("tail_n")]
-                rows = np.repeat(part.column("row").to_numpy(), [len(x) for x in h])
-                if len(rows):
-                    yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.concatenate(h)), pa.array(np.concatenate(n).astype(np.int32))], ["row", "h", "times"])
-
-    tail = encoded_docs.select("row", "tail", "tail_n").mapInArrow(run, "row long, h long, times int")
-    c = F.coalesce("n", F.lit(0))
-    return (
-        tail.join(counts, "h", "left")
-        .select("row", "times", c.alias("c"))
-        .groupBy("row")
-        .agg(F.sum(F.col("times") * F.log10((F.col("c") + 0.1) / mass)).alias("tail_log"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("tail_known"))
-    )
-
-
-def _score(encoded_docs: DataFrame, tree: Tree) -> DataFrame:
-    shared = encoded_docs.sparkSession.sparkContext.broadcast(tree)
-    end_known = int(tree.counts[tree.rare + 1] > 0)
+            for i, train, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "train", "text")), strict=True):
+                held.append((i, train, np.append(word_hashes(text), END)))
+                size += len(held[-1][2])
+                if size >= CHUNK:
+                    yield from out()
+                    held, size, at = [], 0, at + 1
+        if held:
+            yield from out()
+
+    return texts.select("doc_id", "train", "text").mapInArrow(run, ROWS)
+
+
+class Model:
+    """What every task knows of the corpus: totals and, per depth, the hot contexts with the mass that each leaves over."""
+
+    def __init__(self, tokens: int, total: int, buckets: int, depth: int = DEPTH, least: int = LEAST, hot: float = HOT):
+        self.tokens, self.total, self.buckets, self.depth, self.least = tokens, total, buckets, depth, least
+        self.hot_n = max(64, ceil(hot * total))
+        self.vocabulary = 0
+        self.hot: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # depth: sorted contexts, mass left (NaN: not retained)
+
+    def left(self, n: np.ndarray, stated: np.ndarray, stated_n: np.ndarray, n_log_n: np.ndarray, n_log_p: np.ndarray, below: np.ndarray) -> np.ndarray:
+        """Mass that contexts leave to their suffixes; NaN for those that do not diverge from them."""
+        n = np.maximum(n, 1).astype(float)
+        rest = n - stated_n
+        with np.errstate(divide="ignore", invalid="ignore"):
+            saved = n_log_n - stated_n * np.log(n) - n_log_p
+            saved += np.where(rest > 0, rest * (np.log(np.maximum(rest, 1) / n) - np.log(np.maximum(1 - below, 1e-9))), 0)
+        keep = (stated > 0) & (saved > 0.5 * stated * np.log(max(2, self.total)))
+        return np.where(keep, 1 - (stated_n - DISCOUNT * stated) / n, np.nan)
+
+
+class Chunk:
+    """The tokens of a chunk, and the distinct (context, next symbol) pairs of the depth reached so far.
+
+    Per token: ``p`` its probability, ``pair`` its pair at this depth (-1: none).  Per pair, in the order of buckets:
+    context, symbol, hash of the whole sequence and its count in the corpus.
+    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = shared.value
-        root = t.root()
-        known_log = root.copy()
-        known_log[t.rare] = 0.0
+    def __init__(self, row: dict, model: Model):
+        self.model, self.row = model, row
+        self.sizes = np.array(row["sizes"], np.int64)
+        self.words, self.places = unpack(row["words"], np.uint64), unpack(row["places"], np.uint32).astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.pos = np.arange(len(self.places)) - np.repeat(self.starts, self.sizes)
+        self.train = np.repeat(np.array(row["train"], np.int64), self.sizes)
+        self.p = np.ones(len(self.places))
+
+    def sort(self, k: int) -> None:
+        """Finds the distinct pairs of depth ``k``.  At the root the words themselves are counted."""
+        if k == 0:
+            order = np.argsort(self.words)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            self.here, self.at = slice(None), None
+            self.pair = self.pair_here = rank[self.places]
+            self.context, self.symbol = self.words[order], np.zeros(len(order), np.uint64)
+            self.size, self.hot = np.zeros(len(order), np.int64), np.zeros(len(order), bool)
+            self.run, route = np.arange(len(order)), self.context
+        else:
+            before = self.pair[:-1]
+            self.here = here = np.flatnonzero((self.pos[1:] >= k) & (np.append(self.n, 0)[before] >= self.model.least)) + 1
+            ctx, place = self.pair[here - 1], self.places[here]
+            hot = np.flatnonzero(self.n >= self.model.hot_n)
+            parts = mixed(np.repeat(self.gram[hot], int(SPREAD)), np.tile(np.arange(SPREAD, dtype=np.uint64), len(hot)))
+            routes, of = np.concatenate([self.gram, parts]), np.concatenate([np.arange(len(self.gram)), np.repeat(hot, int(SPREAD))])
+            way = ctx
+            if len(hot):
+                nth = np.full(len(self.gram), -1, np.int64)
+                nth[hot] = np.arange(len(hot))
+                part = (self.words[place] % SPREAD).astype(np.int64)
+                way = np.where(nth[ctx] >= 0, len(self.gram) + nth[ctx] * int(SPREAD) + part, ctx)
+            by_route = np.argsort(routes)
+            rank = np.empty(len(routes), np.int64)
+            rank[by_route] = np.arange(len(routes))
+            key = rank[way] * len(self.words) + place
+            order = np.argsort(key)
+            key = key[order]
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            self.pair_here = np.empty(len(key), np.int64)
+            self.pair_here[order] = np.cumsum(new) - 1
+            key = key[new]
+            way = by_route[key // len(self.words)]
+            self.at = here[order[new]]  # a token of each pair
+            self.context, self.symbol = self.gram[of[way]], self.words[key % len(self.words)]
+            self.size, self.hot = self.n[of[way]], way >= len(self.gram)
+            self.run, route = np.cumsum(np.diff(key // len(self.words), prepend=-1) != 0) - 1, routes[way]
+            self.pair = np.full(len(self.places), -1, np.int64)
+            self.pair[here] = self.pair_here
+        self.bucket = (((route >> np.uint64(32)) * np.uint64(self.model.buckets)) >> np.uint64(32)).astype(np.int64)
+
+    def ask(self) -> list[tuple]:
+        """For each bucket its pairs with their counts and with what the suffix gives the symbol."""
+        n = len(self.context)
+        if not n:
+            return []
+        times = np.bincount(self.pair_here, self.train[self.here], n).astype(np.uint32)
+        below = np.ones(n, np.float32) if self.at is None else self.p[self.at].astype(np.float32)
+        edges = np.flatnonzero(np.diff(self.bucket, prepend=-1, append=-1))
+        rows = []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            lead = a + np.flatnonzero(np.diff(self.run[a:b], prepend=-1))
+            lengths = np.diff(np.append(lead, b)).astype(np.uint32)
+            rows.append((int(self.bucket[a]), self.row["chunk"], pack(self.context[lead]), pack(lengths), pack(self.hot[lead].astype(np.uint8)), pack(self.symbol[a:b]), pack(below[a:b]), pack(times[a:b])))
+        return rows
+
+    def hear(self, k: int, answers: dict[int, tuple[bytes, bytes]]) -> None:
+        """Takes the answers of all buckets to the pairs of depth ``k``."""
+        self.sort(k)
+        self.n = np.concatenate([unpack(answers[b][0], np.uint32) for b in sorted(answers)] or [np.zeros(0, np.uint32)]).astype(np.int64)
+        if k == 0:
+            p = (self.n + 0.1) / (self.model.total + 0.1 * (self.model.vocabulary + 1))
+            self.p, self.base, self.known = p[self.pair], np.log10(p)[self.pair], (self.n > 0)[self.pair]
+            self.gram = self.context
+            return
+        self.gram = mixed(self.context, self.symbol)
+        if not len(self.n):
+            return
+        left = np.concatenate([unpack(answers[b][1], np.float32) for b in sorted(answers)]).astype(float)[self.run]
+        if self.hot.any():
+            contexts, masses = self.model.hot[k]
+            left[self.hot] = masses[np.searchsorted(contexts, self.context[self.hot])]
+        self.retained = ~np.isnan(left)
+        own = np.where(self.n >= self.model.least, (self.n - DISCOUNT) / np.maximum(self.size, 1), 0)
+        p = self.p[self.at]
+        self.p[self.here] = np.where(self.retained, own + left * p, p)[self.pair_here]
+
+    def scores(self) -> list[tuple]:
+        add = lambda x: np.add.reduceat(x, self.starts)
+        held = [not t for t in self.row["train"]]
+        columns = (self.row["doc_ids"], held, self.sizes.tolist(), add(self.known.astype(np.int64)).tolist(), add(self.base).tolist(), add(np.log10(self.p)).tolist())
+        return list(zip(*columns, strict=True))
+
+
+def _answer(table: pa.Table, k: int, model: Model) -> pa.Table:
+    """Counts the pairs of a bucket, tests its contexts, and answers each chunk in the order it asked."""
+    rows = table.to_pylist()
+    cols = {name: [unpack(r[name], kind) for r in rows] for name, kind in (("contexts", np.uint64), ("runs", np.uint32), ("hot", np.uint8), ("symbols", np.uint64), ("below", np.float32), ("times", np.uint32))}
+    lengths = np.concatenate(cols["runs"])
+    context, hot = np.repeat(np.concatenate(cols["contexts"]), lengths), np.repeat(np.concatenate(cols["hot"]), lengths)
+    symbol, below, times = np.concatenate(cols["symbols"]), np.concatenate(cols["below"]).astype(float), np.concatenate(cols["times"]).astype(np.int64)
+    order = np.lexsort((symbol, context))
+    c, s = context[order], symbol[order]
+    new_context = np.ones(len(c), bool)
+    new_context[1:] = c[1:] != c[:-1]
+    new = new_context.copy()
+    new[1:] |= s[1:] != s[:-1]
+    first = np.flatnonzero(new)
+    n = np.add.reduceat(times[order], first)
+    n_of = np.empty(len(c), np.int64)
+    n_of[order] = n[np.cumsum(new) - 1]
+    start = np.flatnonzero(new_context[first])
+    extra: list[tuple] = []
+    left_of = np.full(len(c), np.nan)
+    blank = (None, None)
+    if k == 0:
+        extra.append((None, None, *blank, None, int((n > 0).sum()), None, None, None, None, None))
+    else:
+        told = n >= model.least
+        m = np.where(told, n, 0)
+        q = np.maximum(below[order[first]], 1e-30)
+        add = lambda x: np.add.reduceat(x, start)
+        sums = add(n), add(told.astype(np.int64)), add(m), add(m * np.log(np.maximum(m, 1))), add(m * np.log(q)), add(np.where(told, q, 0))
+        left_of[order] = model.left(*sums)[np.cumsum(new_context) - 1]
+        for j in np.flatnonzero(hot[order[first[start]]]):
+            total, stated, stated_n, n_log_n, n_log_p, mass = (float(x[j]) for x in sums)
+            extra.append((None, None, *blank, int(c[first[start[j]]].view(np.int64)), int(total), int(stated), n_log_n, n_log_p, int(stated_n), mass))
+    ends = np.cumsum([len(x) for x in cols["symbols"]])
+    out = []
+    for r, runs, a, b in zip(rows, cols["runs"], np.append(0, ends[:-1]), ends, strict=True):
+        heads = np.cumsum(runs.astype(np.int64)) - runs
+        rest = left_of[a:b][heads].astype(np.float32) if k else np.zeros(0, np.float32)
+        out.append((r["chunk"], r["bucket"], pack(n_of[a:b].astype(np.uint32)), pack(rest), *[None] * 7))
+    return _table(ANSWERS, out + extra)
+
+
+def _heard(left: pa.Table, right: pa.Table, model: Model, levels: int) -> list[Chunk]:
+    """The chunk after the answers of its first ``levels`` depths."""
+    by: list[dict] = [{} for _ in range(levels)]
+    for r in right.to_pylist():
+        by[r["level"]][r["bucket"]] = (r["n"], r["left"])
+    out = []
+    for row in left.to_pylist():
+        chunk = Chunk(row, model)
+        for k in range(levels):
+            chunk.hear(k, by[k])
+        out.append(chunk)
+    return out
+
+
+def _first_asker(shared: Broadcast):
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                a, pos, starts = _joined(part.column("ids"))
-                add = lambda x: pa.array(np.add.reduceat(x, starts) if len(x) else np.zeros(0, x.dtype))  # noqa: E731, B023
-                is_rare = (a == t.rare).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("doc_id"), part.column("train"), part.column("n"), add(is_rare), add(known_log[a]), add(t.token_logs(a, pos, root))],
-                    ["row", "doc_id", "train", "n_tokens", "n_rare", "head_log", "tree_log"],
-                )
-
-    scored = encoded_docs.select("row", "doc_id", "train", "n", "ids").mapInArrow(
-        run, "row long, doc_id long, train boolean, n_tokens long, n_rare long, head_log double, tree_log double"
-    )
-    return scored.withColumn("head_known", F.col("n_tokens") - F.col("n_rare") - (1 - end_known))
-
-
-def score(docs: DataFrame, held_out: int = 0, modulus: int = 10, depth: int = DEPTH, rare: float = RARE, context: float = CONTEXT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            for row in b.to_pylist():
+                chunk = Chunk(row, shared.value)
+                chunk.sort(0)
+                yield from _table(ASKED, chunk.ask()).to_batches()
+
+    return first
+
+
+def _asker(shared: Broadcast, k: int):
+    def later(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for chunk in _heard(left, right, shared.value, k):
+            chunk.sort(k)
+            out += chunk.ask()
+        return _table(ASKED, out)
+
+    return later
+
+
+def _answerer(shared: Broadcast, k: int):
+    def answer(table: pa.Table) -> pa.Table:
+        return _answer(table, k, shared.value)
+
+    return answer
+
+
+def grow(rows: DataFrame, model: Model) -> list[DataFrame]:
+    """The answers of each depth, written: what chunks need to know of the tree."""
+    tasks = max(3 * rows.sparkSession.sparkContext.defaultParallelism, model.buckets)
+    answers: list[DataFrame] = []
+    for k in range(model.depth + 1):
+        shared = rows.sparkSession.sparkContext.broadcast(model)  # totals and at most depth / HOT hot contexts
+        asked = rows.mapInArrow(_first_asker(shared), ASKED) if k == 0 else _with_answers(rows, answers, tasks).applyInArrow(_asker(shared, k), ASKED)
+        found = materialize(asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_answerer(shared, k), ANSWERS), f"depth{k}")
+        answers.append(found)
+        release(rows.sparkSession)
+        if k == 0:
+            model.vocabulary = int(found.where("chunk IS NULL").agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0])
+        else:
+            model.hot[k] = _hot(found, model)
+    return answers
+
+
+def _hot(found: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Hot contexts of a depth, of which there are at most 1 / HOT, from the sums of their buckets."""
+    names = ["times", "stated", "stated_n", "n_log_n", "n_log_p", "below"]
+    got = found.where("context IS NOT NULL").groupBy("context").agg(*(F.sum(x).alias(x) for x in names)).toArrow()
+    contexts = got.column("context").to_numpy().astype(np.int64).view(np.uint64)
+    left = model.left(*(got.column(x).to_numpy() for x in names))
+    order = np.argsort(contexts)
+    return contexts[order], left[order]
+
+
+def _with_answers(rows: DataFrame, answers: list[DataFrame], tasks: int):
+    levels = [a.where("chunk IS NOT NULL").select("chunk", "bucket", "n", "left", F.lit(k).cast("long").alias("level")) for k, a in enumerate(answers)]
+    told = reduce(DataFrame.unionAll, levels).repartition(tasks, "chunk")
+    return rows.repartition(tasks, "chunk").groupBy("chunk").cogroup(told.groupBy("chunk"))
+
+
+def contexts_kept(rows: DataFrame, answers: list[DataFrame], model: Model) -> list[int]:
+    """Retained contexts per depth, counted by the hashes that chunks hold: for reports on how the tree grows."""
+    tasks = max(3 * rows.sparkSession.sparkContext.defaultParallelism, model.buckets)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        by: list[dict] = [{} for _ in range(shared.value.depth + 1)]
+        for r in right.to_pylist():
+            by[r["level"]][r["bucket"]] = (r["n"], r["left"])
+        for row in left.to_pylist():
+            chunk = Chunk(row, shared.value)
+            for k in range(shared.value.depth + 1):
+                chunk.hear(k, by[k])
+                if k and len(chunk.context):
+                    out += [(k, int(x)) for x in np.unique(chunk.context[chunk.retained]).view(np.int64)]
+        return _table("depth long, context long", out)
+
+    got = {r["depth"]: r["n"] for r in _with_answers(rows, answers, tasks).applyInArrow(run, "depth long, context long").distinct().groupBy("depth").agg(F.count("*").alias("n")).collect()}
+    return [got.get(k, 0) for k in range(1, model.depth + 1)]
+
+
+def prepared(docs: DataFrame, held_out: int, modulus: int, depth: int, least: int, hot: float, id_col: str, text_col: str, bucket: int = BUCKET) -> tuple[DataFrame, Model]:
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = materialize(chunks(texts.withColumn("train", id_remainder(F.col("doc_id"), modulus) != held_out)), "chunks")
+    each = F.explode(F.arrays_zip("sizes", "train")).alias("d")
+    sums = rows.select(each).agg(F.sum("d.sizes").alias("all"), F.sum(F.when(F.col("d.train"), F.col("d.sizes"))).alias("train")).first()
+    tokens = int(sums["all"] or 0)
+    return rows, Model(tokens, int(sums["train"] or 0), max(1, ceil(tokens / bucket)), depth, least, hot)
+
+
+def score(
+    docs: DataFrame, held_out: int = 0, modulus: int = 10, depth: int = DEPTH, least: int = LEAST, hot: float = HOT, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``.
 
     Rows whose id leaves ``held_out`` (crc32 modulo ``modulus``) are scored but not learned from.  A null text is
     empty and consists of its end; a null id counts as the empty text in the remainder; rows that repeat an id
-    are rows of their own.  With no training rows nothing is known and every word has the same probability.
+    are rows of their own; other columns, whatever their names, are not read.  A text of any length is
+    read whole.  With no training rows nothing is known and every word has the same probability.
     """
-    spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = texts.withColumn("train", id_remainder(F.col("doc_id"), modulus) != held_out)
-    counts = materialize(count_words(texts.where("train")), "words")
-    n_docs = texts.where("train").count()
-    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    total, vocabulary = int(sums["n"]) + n_docs, int(sums["v"]) + (n_docs > 0)
-    least = max(2, int(np.ceil(rare * total)))
-    head = counts.where(F.col("n") >= least).toArrow()  # at most 1 / rare words
-    h, n = head.column("h").to_numpy(), head.column("n").to_numpy()
-    order = np.argsort(h)
-    symbol_counts = np.concatenate([n[order], [total - n_docs - n.sum(), n_docs]]).astype(float)
-    tree = Tree(h[order].astype(np.int64), symbol_counts, total, vocabulary)
-    release(spark)
-    rows = materialize(encode(texts, tree), "symbols")
-    tree = grow(rows, tree, depth, rare, context)
-    tails = materialize(tail_sums(rows, counts.where(F.col("n") < least), tree.mass), "tails")
-    discard(counts)
-    release(spark)
-    rare_log = float(tree.root()[tree.rare])
-    both = _score(rows, tree).join(tails, "row", "left")
-    tail_log, tail_known = F.coalesce("tail_log", F.lit(0.0)), F.coalesce("tail_known", F.lit(0))
-    return both.select(
-        "doc_id",
-        (~F.col("train")).alias("held_out"),
-        "n_tokens",
-        (F.col("head_known") + tail_known).cast("long").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("head_log") + tail_log).alias("base_score"),
-        (F.col("tree_log") + tail_log - F.col("n_rare") * rare_log).alias("score"),
-    )
+    rows, model = prepared(docs, held_out, modulus, depth, least, hot, id_col, text_col, bucket)
+    if not model.tokens:
+        discard(rows)
+        return docs.sparkSession.createDataFrame([], "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    answers = grow(rows, model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    levels = model.depth + 1
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _table(SCORES, [r for chunk in _heard(left, right, shared.value, levels) for r in chunk.scores()])
+
+    tasks = max(3 * docs.sparkSession.sparkContext.defaultParallelism, model.buckets)
+    scored = materialize(_with_answers(rows, answers, tasks).applyInArrow(run, SCORES), "scores")
+    discard(rows, *answers)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -4,7 +4,7 @@ Symbols are all words, by 64-bit hash, and the end of a text.  A node of the tre
 ``DEPTH`` words.  It is a candidate if training texts hold it ``LEAST`` times or more, and states the next symbols it
 was followed by ``LEAST`` times or more.  A candidate is retained if these diverge from what its longest retained suffix
 expects: the code length they save, the count times the Kullback-Leibler divergence, must exceed half a logarithm of
-the training size per stated symbol.  All bounds are fixed counts, so the tree grows with the text.
+the training size per stated symbol.  The test takes the suffix's probabilities in steps of 1 / 1024 bit.  All bounds are fixed counts, so the tree grows with the text.
 
 A retained context of count N gives a stated symbol of count n the probability (n - D) / N plus the mass that is
 left times what the suffix gives; other symbols get the second part alone.  These add up to one at every
@@ -37,14 +37,16 @@ DEPTH = 3
 LEAST = 2
 DISCOUNT = 0.5
 HOT = 1e-3
-CHUNK = 1 << 18  # tokens of a chunk; one longer text is a chunk of its own
-BUCKET = 1 << 20  # tokens of the corpus for each bucket
+CHUNK = 1 << 19  # tokens of a chunk; one longer text is a chunk of its own
+BUCKET = 1 << 21  # tokens of the corpus for each bucket
 SPREAD = np.uint64(64)
 END = np.uint64(0x656E64206F662061)
 
-ROWS = "chunk long, doc_ids array<long>, train array<boolean>, sizes array<long>, words binary, places binary"
-ASKED = "bucket long, chunk long, contexts binary, runs binary, hot binary, symbols binary, below binary, times binary"
-ANSWERS = "chunk long, bucket long, n binary, left binary, context long, times long, stated long, n_log_n double, n_log_p double, stated_n long, below double"
+ROWS = "chunk long, doc_ids array<long>, train array<boolean>, sizes array<long>, words binary"
+ASKED = "bucket long, chunk long, pairs binary"
+#: contexts, their counts, if they are hot, how many of the pairs each has; symbols, what the suffix gives them, counts
+PAIRS = (np.uint64, np.uint32, np.uint8, np.uint32, np.uint64, np.uint16, np.uint32)
+ANSWERS = "chunk long, bucket long, counts binary, context long, times long, stated long, n_log_n double, n_log_p double, stated_n long, below double"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -54,18 +56,34 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-def pack(a: np.ndarray) -> bytes:
-    """Numbers as bytes: all first bytes, all second ones, and so on, compressed."""
-    raw = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T).tobytes()
-    return len(a).to_bytes(8, "little") + (pa.Codec("zstd", 1).compress(raw, asbytes=True) if raw else b"")
+_ZSTD = pa.Codec("zstd", 1)
 
 
-def unpack(blob: bytes, kind: type) -> np.ndarray:
-    n, size = int.from_bytes(blob[:8], "little"), np.dtype(kind).itemsize
-    if not n:
-        return np.zeros(0, kind)
-    raw = pa.Codec("zstd").decompress(blob[8:], n * size, asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).ravel()
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as bytes: of each all first bytes, all second ones, and so on, compressed together."""
+    raw = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays)
+    return np.array([len(a) for a in arrays], "<u4").tobytes() + (_ZSTD.compress(raw, asbytes=True) if raw else b"")
+
+
+def unpack(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    sizes = np.frombuffer(blob, "<u4", len(kinds)).tolist()
+    widths = [np.dtype(k).itemsize for k in kinds]
+    total = sum(n * w for n, w in zip(sizes, widths, strict=True))
+    raw = np.frombuffer(_ZSTD.decompress(blob[4 * len(kinds) :], total, asbytes=True) if total else b"", np.uint8)
+    out, at = [], 0
+    for n, w, k in zip(sizes, widths, kinds, strict=True):
+        out.append(np.ascontiguousarray(raw[at : at + n * w].reshape(w, n).T).view(k).ravel() if n else np.zeros(0, k))
+        at += n * w
+    return out
+
+
+def coded(p: np.ndarray) -> np.ndarray:
+    """Probabilities in two bytes, in steps of a thousandth of a bit: what the divergence test compares with."""
+    return np.minimum(np.round(-1024 * np.log2(np.maximum(p, 1e-19))), 65535).astype(np.uint16)
+
+
+def decoded(code: np.ndarray) -> np.ndarray:
+    return np.exp2(code / -1024.0)
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -96,7 +114,7 @@ def chunks(texts: DataFrame) -> DataFrame:
             order = np.argsort(-n, kind="stable")  # frequent words first: small numbers pack well
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
-            row = (at, [h[0] for h in held], [h[1] for h in held], [len(h[2]) for h in held], pack(words[order]), pack(rank[places]))
+            row = (at, [h[0] for h in held], [h[1] for h in held], [len(h[2]) for h in held], pack(words[order], rank[places]))
             yield from _table(ROWS, [row]).to_batches()
 
         for b in batches:
@@ -142,7 +160,8 @@ class Chunk:
     def __init__(self, row: dict, model: Model):
         self.model, self.row = model, row
         self.sizes = np.array(row["sizes"], np.int64)
-        self.words, self.places = unpack(row["words"], np.uint64), unpack(row["places"], np.uint32).astype(np.int64)
+        self.words, places = unpack(row["words"], np.uint64, np.uint32)
+        self.places = places.astype(np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.pos = np.arange(len(self.places)) - np.repeat(self.starts, self.sizes)
         self.train = np.repeat(np.array(row["train"], np.int64), self.sizes)
@@ -155,7 +174,8 @@ class Chunk:
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             self.here, self.at = slice(None), None
-            self.pair = self.pair_here = rank[self.places]
+            self.rank, self.pair = rank, rank[self.places]
+            self.told = slice(None)
             self.context, self.symbol = self.words[order], np.zeros(len(order), np.uint64)
             self.size, self.hot = np.zeros(len(order), np.int64), np.zeros(len(order), bool)
             self.run, route = np.arange(len(order)), self.context
@@ -170,7 +190,7 @@ class Chunk:
             if len(hot):
                 nth = np.full(len(self.gram), -1, np.int64)
                 nth[hot] = np.arange(len(hot))
-                part = (self.words[place] % SPREAD).astype(np.int64)
+                part = (mixed(self.symbols, self.symbols)[place] % SPREAD).astype(np.int64)
                 way = np.where(nth[ctx] >= 0, len(self.gram) + nth[ctx] * int(SPREAD) + part, ctx)
             by_route = np.argsort(routes)
             rank = np.empty(len(routes), np.int64)
@@ -185,7 +205,8 @@ class Chunk:
             key = key[new]
             way = by_route[key // len(self.words)]
             self.at = here[order[new]]  # a token of each pair
-            self.context, self.symbol = self.gram[of[way]], self.words[key % len(self.words)]
+            self.told = self.n[self.pair[self.at]] >= self.model.least  # a sequence is at most as frequent as what it ends in
+            self.context, self.symbol = self.gram[of[way]], self.symbols[key % len(self.words)]
             self.size, self.hot = self.n[of[way]], way >= len(self.gram)
             self.run, route = np.cumsum(np.diff(key // len(self.words), prepend=-1) != 0) - 1, routes[way]
             self.pair = np.full(len(self.places), -1, np.int64)
@@ -193,33 +214,40 @@ class Chunk:
         self.bucket = (((route >> np.uint64(32)) * np.uint64(self.model.buckets)) >> np.uint64(32)).astype(np.int64)
 
     def ask(self) -> list[tuple]:
-        """For each bucket its pairs with their counts and with what the suffix gives the symbol."""
+        """For each bucket its contexts, and those pairs that can be frequent with their counts and what the suffix gives the symbol."""
         n = len(self.context)
         if not n:
             return []
-        times = np.bincount(self.pair_here, self.train[self.here], n).astype(np.uint32)
-        below = np.ones(n, np.float32) if self.at is None else self.p[self.at].astype(np.float32)
+        if self.at is None:
+            times, below, told = np.bincount(self.pair, self.train, n), np.ones(n), np.ones(n, bool)
+        else:
+            times, below, told = np.bincount(self.pair_here, self.train[self.here], n), self.p[self.at], self.told
+        times, below = times.astype(np.uint32), coded(below)
         edges = np.flatnonzero(np.diff(self.bucket, prepend=-1, append=-1))
         rows = []
         for a, b in zip(edges[:-1], edges[1:], strict=True):
-            lead = a + np.flatnonzero(np.diff(self.run[a:b], prepend=-1))
-            lengths = np.diff(np.append(lead, b)).astype(np.uint32)
-            rows.append((int(self.bucket[a]), self.row["chunk"], pack(self.context[lead]), pack(lengths), pack(self.hot[lead].astype(np.uint8)), pack(self.symbol[a:b]), pack(below[a:b]), pack(times[a:b])))
+            lead, t = a + np.flatnonzero(np.diff(self.run[a:b], prepend=-1)), told[a:b]
+            lengths = np.add.reduceat(t, lead - a, dtype=np.uint32)
+            pairs = pack(self.context[lead], self.size[lead].astype(np.uint32), self.hot[lead].astype(np.uint8), lengths, self.symbol[a:b][t], below[a:b][t], times[a:b][t])
+            rows.append((int(self.bucket[a]), self.row["chunk"], pairs))
         return rows
 
-    def hear(self, k: int, answers: dict[int, tuple[bytes, bytes]]) -> None:
+    def hear(self, k: int, answers: dict[int, bytes]) -> None:
         """Takes the answers of all buckets to the pairs of depth ``k``."""
         self.sort(k)
-        self.n = np.concatenate([unpack(answers[b][0], np.uint32) for b in sorted(answers)] or [np.zeros(0, np.uint32)]).astype(np.int64)
+        got = [unpack(answers[b], np.uint32, np.float32 if k else np.uint64) for b in sorted(answers)]
+        self.n = np.zeros(len(self.context), np.int64)
+        if got:
+            self.n[self.told] = np.concatenate([g[0] for g in got])
         if k == 0:
             p = (self.n + 0.1) / (self.model.total + 0.1 * (self.model.vocabulary + 1))
             self.p, self.base, self.known = p[self.pair], np.log10(p)[self.pair], (self.n > 0)[self.pair]
-            self.gram = self.context
+            self.gram, self.symbols = self.context, np.concatenate([g[1] for g in got])[self.rank]
             return
         self.gram = mixed(self.context, self.symbol)
-        if not len(self.n):
+        if not got:
             return
-        left = np.concatenate([unpack(answers[b][1], np.float32) for b in sorted(answers)]).astype(float)[self.run]
+        left = np.concatenate([g[1] for g in got]).astype(float)[self.run]
         if self.hot.any():
             contexts, masses = self.model.hot[k]
             left[self.hot] = masses[np.searchsorted(contexts, self.context[self.hot])]
@@ -237,43 +265,39 @@ class Chunk:
 
 def _answer(table: pa.Table, k: int, model: Model) -> pa.Table:
     """Counts the pairs of a bucket, tests its contexts, and answers each chunk in the order it asked."""
-    rows = table.to_pylist()
-    cols = {name: [unpack(r[name], kind) for r in rows] for name, kind in (("contexts", np.uint64), ("runs", np.uint32), ("hot", np.uint8), ("symbols", np.uint64), ("below", np.float32), ("times", np.uint32))}
-    lengths = np.concatenate(cols["runs"])
-    context, hot = np.repeat(np.concatenate(cols["contexts"]), lengths), np.repeat(np.concatenate(cols["hot"]), lengths)
-    symbol, below, times = np.concatenate(cols["symbols"]), np.concatenate(cols["below"]).astype(float), np.concatenate(cols["times"]).astype(np.int64)
-    order = np.lexsort((symbol, context))
-    c, s = context[order], symbol[order]
-    new_context = np.ones(len(c), bool)
-    new_context[1:] = c[1:] != c[:-1]
-    new = new_context.copy()
-    new[1:] |= s[1:] != s[:-1]
+    chunk, bucket = table.column("chunk").to_pylist(), table.column("bucket")[0].as_py()
+    parts = [unpack(x, *PAIRS) for x in table.column("pairs").to_pylist()]
+    context, size, hot, lengths, symbol, below, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+    known, at, number = np.unique(context, return_index=True, return_inverse=True)
+    width = int(symbol.max(initial=0)) + 1
+    key = np.repeat(number, lengths) * width + symbol.astype(np.int64)
+    order = np.argsort(key)
+    key = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
     first = np.flatnonzero(new)
-    n = np.add.reduceat(times[order], first)
-    n_of = np.empty(len(c), np.int64)
+    n = np.add.reduceat(times[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    n_of = np.empty(len(key), np.uint32)
     n_of[order] = n[np.cumsum(new) - 1]
-    start = np.flatnonzero(new_context[first])
     extra: list[tuple] = []
-    left_of = np.full(len(c), np.nan)
-    blank = (None, None)
     if k == 0:
-        extra.append((None, None, *blank, None, int((n > 0).sum()), None, None, None, None, None))
+        # words by frequency within their bucket: numbers that no two words share, small for frequent ones
+        rank = np.empty(len(n), np.int64)
+        rank[np.argsort(-n, kind="stable")] = np.arange(len(n))
+        told = (rank * model.buckets + bucket).astype(np.uint64)[number]
+        extra.append((None, None, None, None, int((n > 0).sum()), None, None, None, None, None))
     else:
-        told = n >= model.least
-        m = np.where(told, n, 0)
-        q = np.maximum(below[order[first]], 1e-30)
-        add = lambda x: np.add.reduceat(x, start)
-        sums = add(n), add(told.astype(np.int64)), add(m), add(m * np.log(np.maximum(m, 1))), add(m * np.log(q)), add(np.where(told, q, 0))
-        left_of[order] = model.left(*sums)[np.cumsum(new_context) - 1]
-        for j in np.flatnonzero(hot[order[first[start]]]):
-            total, stated, stated_n, n_log_n, n_log_p, mass = (float(x[j]) for x in sums)
-            extra.append((None, None, *blank, int(c[first[start[j]]].view(np.int64)), int(total), int(stated), n_log_n, n_log_p, int(stated_n), mass))
-    ends = np.cumsum([len(x) for x in cols["symbols"]])
-    out = []
-    for r, runs, a, b in zip(rows, cols["runs"], np.append(0, ends[:-1]), ends, strict=True):
-        heads = np.cumsum(runs.astype(np.int64)) - runs
-        rest = left_of[a:b][heads].astype(np.float32) if k else np.zeros(0, np.float32)
-        out.append((r["chunk"], r["bucket"], pack(n_of[a:b].astype(np.uint32)), pack(rest), *[None] * 7))
+        of = key[first] // width
+        stated = n >= model.least
+        m, q = np.where(stated, n, 0), decoded(below[order[first]])
+        add = lambda x: np.bincount(of, x, len(known))
+        sums = size[at].astype(float), add(stated), add(m), add(m * np.log(np.maximum(m, 1))), add(m * np.log(q)), add(np.where(stated, q, 0))
+        told = model.left(*sums).astype(np.float32)[number]
+        for j in np.flatnonzero(hot[at]):
+            total, some, stated_n, n_log_n, n_log_p, mass = (float(x[j]) for x in sums)
+            extra.append((None, None, None, int(known[j].view(np.int64)), int(total), int(some), n_log_n, n_log_p, int(stated_n), mass))
+    ends, heads = np.cumsum([len(x[4]) for x in parts]), np.cumsum([len(x[0]) for x in parts])
+    out = [(c, bucket, pack(n_of[b - len(x[4]) : b], told[h - len(x[0]) : h]), *[None] * 7) for c, x, b, h in zip(chunk, parts, ends, heads, strict=True)]
     return _table(ANSWERS, out + extra)
 
 
@@ -281,7 +305,7 @@ def _heard(left: pa.Table, right: pa.Table, model: Model, levels: int) -> list[C
     """The chunk after the answers of its first ``levels`` depths."""
     by: list[dict] = [{} for _ in range(levels)]
     for r in right.to_pylist():
-        by[r["level"]][r["bucket"]] = (r["n"], r["left"])
+        by[r["level"]][r["bucket"]] = r["counts"]
     out = []
     for row in left.to_pylist():
         chunk = Chunk(row, model)
@@ -340,7 +364,8 @@ def grow(rows: DataFrame, model: Model) -> list[DataFrame]:
 def _hot(found: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Hot contexts of a depth, of which there are at most 1 / HOT, from the sums of their buckets."""
     names = ["times", "stated", "stated_n", "n_log_n", "n_log_p", "below"]
-    got = found.where("context IS NOT NULL").groupBy("context").agg(*(F.sum(x).alias(x) for x in names)).toArrow()
+    # every part of a hot context knows its whole count
+    got = found.where("context IS NOT NULL").groupBy("context").agg(F.max("times").alias("times"), *(F.sum(x).alias(x) for x in names[1:])).toArrow()
     contexts = got.column("context").to_numpy().astype(np.int64).view(np.uint64)
     left = model.left(*(got.column(x).to_numpy() for x in names))
     order = np.argsort(contexts)
@@ -348,7 +373,7 @@ def _hot(found: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _with_answers(rows: DataFrame, answers: list[DataFrame], tasks: int):
-    levels = [a.where("chunk IS NOT NULL").select("chunk", "bucket", "n", "left", F.lit(k).cast("long").alias("level")) for k, a in enumerate(answers)]
+    levels = [a.where("chunk IS NOT NULL").select("chunk", "bucket", "counts", F.lit(k).cast("long").alias("level")) for k, a in enumerate(answers)]
     told = reduce(DataFrame.unionAll, levels).repartition(tasks, "chunk")
     return rows.repartition(tasks, "chunk").groupBy("chunk").cogroup(told.groupBy("chunk"))
 
@@ -362,7 +387,7 @@ def contexts_kept(rows: DataFrame, answers: list[DataFrame], model: Model) -> li
         out = []
         by: list[dict] = [{} for _ in range(shared.value.depth + 1)]
         for r in right.to_pylist():
-            by[r["level"]][r["bucket"]] = (r["n"], r["left"])
+            by[r["level"]][r["bucket"]] = r["counts"]
         for row in left.to_pylist():
             chunk = Chunk(row, shared.value)
             for k in range(shared.value.depth + 1):

@@ -67,6 +67,32 @@ def test_query_equals_oracle_under_skew(spark, skewed, name):
     assert ok, note
 
 
+CHANGE_POINTS = {
+    # lines of the orders of each month; None: orders without a date
+    "none above the floor": {"2001-01-05": [4, 4], "2001-02-05": [1, 0]},
+    "the floor itself": {"2001-01-05": [4] * 9 + [5], "2001-02-05": [4]},
+    "no orders": {},
+    "undated and dated above": {None: [6, 6], "2001-01-05": [4], "2001-03-05": [5, 4], "2001-02-05": [7]},
+    "undated alone above": {None: [6, 6], "2001-01-05": [4]},
+}
+
+
+@pytest.mark.parametrize("case", CHANGE_POINTS)
+def test_first_change_point_equals_its_sql(spark, tmp_path, case):
+    con = connect(SMALL)
+    orders = [(day, n) for day, sizes in CHANGE_POINTS[case].items() for n in sizes]
+    dated = "".join(f", ({i}, {f'TIMESTAMP {day!r}' if day else 'NULL'})" for i, (day, _) in enumerate(orders))
+    lines = "".join(f", ({i})" for i, (_, n) in enumerate(orders) for _ in range(n))
+    made = {
+        "orders": f"SELECT o.* REPLACE (m.k AS o_orderkey, m.t AS o_orderdate) FROM (VALUES (-1, NULL::TIMESTAMP){dated}) m(k, t), (FROM orders LIMIT 1) o WHERE k >= 0",
+        "lineitem": f"SELECT l.* REPLACE (m.k AS l_orderkey) FROM (VALUES (-1){lines}) m(k), (FROM lineitem LIMIT 1) l WHERE k >= 0",
+    }
+    for t in TABLES.split():
+        con.execute(f"COPY ({made.get(t, f'FROM {t}')}) TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+    ok, note, _ = compare(spark, connect(str(tmp_path)), str(tmp_path), "first_change_point", QUERIES["first_change_point"], ORACLES["first_change_point"])
+    assert ok, note
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 

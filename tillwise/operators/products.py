@@ -38,9 +38,13 @@ def attach_rate(orders: DataFrame, period: Sequence[Column]) -> DataFrame:
 
 
 def first_change_point(series: DataFrame, order: Sequence[str], metric: str, floor: Column) -> DataFrame:
-    """The first period in which a bounded metric leaves its floor (one row; NULL if it never does)."""
-    first = F.min(F.struct(*[F.col(c) for c in order], F.col(metric))).alias("first")
-    return series.where(F.col(metric) > floor).agg(first).select("first.*")
+    """The first period in which a bounded metric leaves its floor (one row; NULL if it never does).
+
+    A period of unknown time comes after all others.
+    """
+    key = [c for name in order for c in (F.col(name).isNull().alias(f"no_{name}"), F.col(name))]
+    first = F.min(F.struct(*key, F.col(metric))).alias("first")
+    return series.where(F.col(metric) > floor).agg(first).select(*[f"first.{c}" for c in (*order, metric)])
 
 
 def product_mix(items: DataFrame, products: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -119,6 +120,33 @@ def test_the_tree_grows_with_the_text(spark):
     assert all(b > 2 * a > 0 for a, b in zip(*kept, strict=True))
 
 
+def test_chunks_are_sent_in_parts_and_never_to_ask(spark, monkeypatch):
+    """What bounds the disk: to ask, a depth shuffles pairs alone; a chunk goes through a shuffle once a depth, a part of them at a time; nothing but the scores stays."""
+    written, write = [], st.materialize
+
+    def spy(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        out = write(df, label)
+        written.append((label, plan, Path(out._scratch_path.removeprefix("file:"))))
+        return out
+
+    monkeypatch.setattr(st, "materialize", spy)
+    rows = texts()
+    got = st.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(24)).collect()
+    same(got, base(rows))
+    close(got, Plain(rows))
+    asking = [plan for label, plan, _ in written if label.startswith("depth")]
+    assert len(asking) == st.DEPTH + 1 and not any("hashpartitioning(chunk" in plan for plan in asking)
+    assert [sum(label == f"chunks{k}" for label, _, _ in written) for k in range(st.DEPTH + 1)] == [st.PARTS] * (st.DEPTH + 1)
+    assert [label for label, _, path in written if path.exists()] == ["scores"]
+
+
+def test_whole_numbers_in_order():
+    for key in (np.zeros(0, np.int64), np.array([5, 0, 5, 2]), np.random.default_rng(2).integers(0, 1 << 40, 1000), np.array([1 << 61, 7, 1 << 61, 0])):
+        ordered, order = st.in_order(key)
+        assert np.array_equal(order, np.argsort(key, kind="stable")) and np.array_equal(ordered, key[order])
+
+
 def test_numbers_pack_and_unpack():
     a = (np.zeros(0, np.uint64), np.arange(1000, dtype=np.uint32), np.random.default_rng(1).random(99).astype(np.float32))
     assert all(np.array_equal(x, y) for x, y in zip(st.unpack(st.pack(*a), *(x.dtype.type for x in a)), a, strict=True))

@@ -13,7 +13,9 @@ context.  A context that is not retained passes its suffix's probabilities on; t
 The tree is never in one place.  Tokens are kept in chunks of some documents.  At depth k every chunk sends its distinct
 (context, next symbol) pairs with their counts to the bucket of the context; there the pairs are counted over the corpus and the
 context is tested; the answer goes back to the chunk, whose tokens then know their probability at depth k and
-whether they can be the end of a longer context.  A context with more than ``HOT`` of all tokens (at most 1 / HOT of a depth)
+whether they can be the end of a longer context.  Chunks keep what they heard beside their tokens, in ``PARTS`` tables that
+are written again one after the other at each depth, so that little lies on disk twice; the answers to the words
+themselves are their numbers, which take the place of the hashes.  A context with more than ``HOT`` of all tokens (at most 1 / HOT of a depth)
 is spread over several buckets by its next symbol, and its sums meet afterwards.
 """
 
@@ -39,10 +41,13 @@ DISCOUNT = 0.5
 HOT = 1e-3
 CHUNK = 1 << 19  # tokens of a chunk; one longer text is a chunk of its own
 BUCKET = 1 << 21  # tokens of the corpus for each bucket
+PARTS = 4  # tables that hold the chunks
 SPREAD = np.uint64(64)
 END = np.uint64(0x656E64206F662061)
 
-ROWS = "chunk long, doc_ids array<long>, train array<boolean>, sizes array<long>, words binary"
+#: words: the hashes of the chunk's words, until they have numbers, and the place of each token's word among them;
+#: heard: per depth, counts of the pairs that were asked for, and numbers of the words or mass that the contexts leave
+ROWS = "chunk long, doc_ids array<long>, train array<boolean>, sizes array<long>, words binary, heard array<binary>"
 ASKED = "bucket long, chunk long, pairs binary"
 #: contexts, their counts, if they are hot, how many of the pairs each has; symbols, what the suffix gives them, counts
 PAIRS = (np.uint64, np.uint32, np.uint8, np.uint32, np.uint64, np.uint16, np.uint32)
@@ -94,8 +99,18 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def in_order(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers from 0 in order, and where each stood: one plain sort where 64 bits hold both."""
+    bits = len(key).bit_length()
+    if len(key) and int(key.max()) >> (63 - bits):
+        order = np.argsort(key, kind="stable")
+        return key[order], order
+    both = np.sort((key << bits) | np.arange(len(key)))
+    return both >> bits, both & ((1 << bits) - 1)
+
+
 def _table(schema: str, rows: list[tuple]) -> pa.Table:
-    kinds = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+    kinds = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_()), "array<binary>": pa.list_(pa.binary())}
     fields = [f.split() for f in schema.split(", ")]
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
     return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], [name for name, _ in fields])
@@ -114,7 +129,7 @@ def chunks(texts: DataFrame) -> DataFrame:
             order = np.argsort(-n, kind="stable")  # frequent words first: small numbers pack well
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
-            row = (at, [h[0] for h in held], [h[1] for h in held], [len(h[2]) for h in held], pack(words[order], rank[places]))
+            row = (at, [h[0] for h in held], [h[1] for h in held], [len(h[2]) for h in held], pack(words[order], rank[places]), [])
             yield from _table(ROWS, [row]).to_batches()
 
         for b in batches:
@@ -166,6 +181,8 @@ class Chunk:
         self.pos = np.arange(len(self.places)) - np.repeat(self.starts, self.sizes)
         self.train = np.repeat(np.array(row["train"], np.int64), self.sizes)
         self.p = np.ones(len(self.places))
+        for k, told in enumerate(row["heard"]):
+            self.hear(k, told)
 
     def sort(self, k: int) -> None:
         """Finds the distinct pairs of depth ``k``.  At the root the words themselves are counted."""
@@ -174,41 +191,41 @@ class Chunk:
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             self.here, self.at = slice(None), None
-            self.rank, self.pair = rank, rank[self.places]
-            self.told = slice(None)
+            self.pair = rank[self.places]
             self.context, self.symbol = self.words[order], np.zeros(len(order), np.uint64)
             self.size, self.hot = np.zeros(len(order), np.int64), np.zeros(len(order), bool)
             self.run, route = np.arange(len(order)), self.context
         else:
             before = self.pair[:-1]
-            self.here = here = np.flatnonzero((self.pos[1:] >= k) & (np.append(self.n, 0)[before] >= self.model.least)) + 1
+            frequent = np.append(self.n >= self.model.least, False)  # -1: none
+            self.here = here = np.flatnonzero((self.pos[1:] >= k) & frequent[before]) + 1
             ctx, place = self.pair[here - 1], self.places[here]
-            hot = np.flatnonzero(self.n >= self.model.hot_n)
+            grams, hot = np.flatnonzero(frequent), np.flatnonzero(frequent[:-1] & (self.n >= self.model.hot_n))
             parts = mixed(np.repeat(self.gram[hot], int(SPREAD)), np.tile(np.arange(SPREAD, dtype=np.uint64), len(hot)))
-            routes, of = np.concatenate([self.gram, parts]), np.concatenate([np.arange(len(self.gram)), np.repeat(hot, int(SPREAD))])
-            way = ctx
+            routes, of = np.concatenate([self.gram[grams], parts]), np.concatenate([grams, np.repeat(hot, int(SPREAD))])
+            nth = np.full(len(self.gram), -1, np.int64)
+            nth[grams] = np.arange(len(grams))
+            way = nth[ctx]
             if len(hot):
-                nth = np.full(len(self.gram), -1, np.int64)
+                nth[:] = -1
                 nth[hot] = np.arange(len(hot))
                 part = (mixed(self.symbols, self.symbols)[place] % SPREAD).astype(np.int64)
-                way = np.where(nth[ctx] >= 0, len(self.gram) + nth[ctx] * int(SPREAD) + part, ctx)
+                way = np.where(nth[ctx] >= 0, len(grams) + nth[ctx] * int(SPREAD) + part, way)
             by_route = np.argsort(routes)
             rank = np.empty(len(routes), np.int64)
             rank[by_route] = np.arange(len(routes))
-            key = rank[way] * len(self.words) + place
-            order = np.argsort(key)
-            key = key[order]
+            key, order = in_order(rank[way] * len(self.symbols) + place)
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
             self.pair_here = np.empty(len(key), np.int64)
             self.pair_here[order] = np.cumsum(new) - 1
             key = key[new]
-            way = by_route[key // len(self.words)]
+            way = by_route[key // len(self.symbols)]
             self.at = here[order[new]]  # a token of each pair
             self.told = self.n[self.pair[self.at]] >= self.model.least  # a sequence is at most as frequent as what it ends in
-            self.context, self.symbol = self.gram[of[way]], self.symbols[key % len(self.words)]
-            self.size, self.hot = self.n[of[way]], way >= len(self.gram)
-            self.run, route = np.cumsum(np.diff(key // len(self.words), prepend=-1) != 0) - 1, routes[way]
+            self.context, self.symbol = self.gram[of[way]], self.symbols[key % len(self.symbols)]
+            self.size, self.hot = self.n[of[way]], way >= len(grams)
+            self.run, route = np.cumsum(np.diff(key // len(self.symbols), prepend=-1) != 0) - 1, routes[way]
             self.pair = np.full(len(self.places), -1, np.int64)
             self.pair[here] = self.pair_here
         self.bucket = (((route >> np.uint64(32)) * np.uint64(self.model.buckets)) >> np.uint64(32)).astype(np.int64)
@@ -232,22 +249,20 @@ class Chunk:
             rows.append((int(self.bucket[a]), self.row["chunk"], pairs))
         return rows
 
-    def hear(self, k: int, answers: dict[int, bytes]) -> None:
-        """Takes the answers of all buckets to the pairs of depth ``k``."""
-        self.sort(k)
-        got = [unpack(answers[b], np.uint32, np.float32 if k else np.uint64) for b in sorted(answers)]
-        self.n = np.zeros(len(self.context), np.int64)
-        if got:
-            self.n[self.told] = np.concatenate([g[0] for g in got])
+    def hear(self, k: int, told: bytes) -> None:
+        """Takes the answers to the pairs of depth ``k``."""
+        n, told = unpack(told, np.uint32, np.float32 if k else np.uint64)
         if k == 0:
+            self.n, self.pair, self.symbols = n.astype(np.int64), self.places, told
             p = (self.n + 0.1) / (self.model.total + 0.1 * (self.model.vocabulary + 1))
             self.p, self.base, self.known = p[self.pair], np.log10(p)[self.pair], (self.n > 0)[self.pair]
-            self.gram, self.symbols = self.context, np.concatenate([g[1] for g in got])[self.rank]
+            self.gram = mixed(self.symbols, END)  # no two numbers share one
             return
+        self.sort(k)
+        self.n = np.zeros(len(self.context), np.int64)
+        self.n[self.told] = n
         self.gram = mixed(self.context, self.symbol)
-        if not got:
-            return
-        left = np.concatenate([g[1] for g in got]).astype(float)[self.run]
+        left = told.astype(float)[self.run]
         if self.hot.any():
             contexts, masses = self.model.hot[k]
             left[self.hot] = masses[np.searchsorted(contexts, self.context[self.hot])]
@@ -271,8 +286,7 @@ def _answer(table: pa.Table, k: int, model: Model) -> pa.Table:
     known, at, number = np.unique(context, return_index=True, return_inverse=True)
     width = int(symbol.max(initial=0)) + 1
     key = np.repeat(number, lengths) * width + symbol.astype(np.int64)
-    order = np.argsort(key)
-    key = key[order]
+    key, order = in_order(key)
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     first = np.flatnonzero(new)
@@ -301,40 +315,20 @@ def _answer(table: pa.Table, k: int, model: Model) -> pa.Table:
     return _table(ANSWERS, out + extra)
 
 
-def _heard(left: pa.Table, right: pa.Table, model: Model, levels: int) -> list[Chunk]:
-    """The chunk after the answers of its first ``levels`` depths."""
-    by: list[dict] = [{} for _ in range(levels)]
-    for r in right.to_pylist():
-        by[r["level"]][r["bucket"]] = r["counts"]
-    out = []
-    for row in left.to_pylist():
-        chunk = Chunk(row, model)
-        for k in range(levels):
-            chunk.hear(k, by[k])
-        out.append(chunk)
-    return out
-
-
-def _first_asker(shared: Broadcast):
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                chunk = Chunk(row, shared.value)
-                chunk.sort(0)
-                yield from _table(ASKED, chunk.ask()).to_batches()
-
-    return first
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
 
 
 def _asker(shared: Broadcast, k: int):
-    def later(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for chunk in _heard(left, right, shared.value, k):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            chunk = Chunk(row, shared.value)
             chunk.sort(k)
-            out += chunk.ask()
-        return _table(ASKED, out)
+            yield from _table(ASKED, chunk.ask()).to_batches()
 
-    return later
+    return ask
 
 
 def _answerer(shared: Broadcast, k: int):
@@ -344,21 +338,58 @@ def _answerer(shared: Broadcast, k: int):
     return answer
 
 
+def _taker(k: int):
+    def take(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Chunks with the answers of all buckets to depth ``k``, which come in the order of buckets, in one piece."""
+        kinds = np.uint32, np.float32 if k else np.uint64
+        told = [unpack(x, *kinds) for x in right.sort_by("bucket").column("counts").to_pylist()]
+        n, other = (np.concatenate(x) for x in zip(*told, strict=True)) if told else (np.zeros(0, kind) for kind in kinds)
+        out = []
+        for row in left.to_pylist():
+            if k == 0:  # from the order of hashes to the chunk's own, which needs no hashes
+                words, places = unpack(row["words"], np.uint64, np.uint32)
+                rank = np.empty(len(words), np.int64)
+                rank[np.argsort(words)] = np.arange(len(words))
+                n, other, row["words"] = n[rank], other[rank], pack(words[:0], places)
+            row["heard"].append(pack(n, other))
+            out.append(tuple(row.values()))
+        return _table(ROWS, out)
+
+    return take
+
+
+def _taken(held: list[DataFrame], found: DataFrame, k: int, tasks: int) -> list[DataFrame]:
+    """The chunks with the answers to depth ``k``; each table goes when its successor is written."""
+    part, tasks = F.pmod(F.xxhash64("chunk"), F.lit(PARTS)), ceil(tasks / PARTS)
+    answers = found.where("chunk IS NOT NULL").select("chunk", "bucket", "counts")
+    out = []
+    for i in range(PARTS):
+        own = held[i] if k else held[0].where(part == i)
+        pairs = (x.repartition(tasks, "chunk").groupBy("chunk") for x in (own, answers.where(part == i)))
+        out.append(materialize(next(pairs).cogroup(next(pairs)).applyInArrow(_taker(k), ROWS), f"chunks{k}"))
+        if k:
+            discard(own)
+    discard(found, *([] if k else held))
+    return out
+
+
 def grow(rows: DataFrame, model: Model) -> list[DataFrame]:
-    """The answers of each depth, written: what chunks need to know of the tree."""
-    tasks = max(3 * rows.sparkSession.sparkContext.defaultParallelism, model.buckets)
-    answers: list[DataFrame] = []
+    """The chunks with the answers of each depth, what they need to know of the tree, in ``PARTS`` tables; ``rows`` goes."""
+    spark = rows.sparkSession
+    tasks = max(3 * spark.sparkContext.defaultParallelism, model.buckets)
+    held = [rows]
     for k in range(model.depth + 1):
-        shared = rows.sparkSession.sparkContext.broadcast(model)  # totals and at most depth / HOT hot contexts
-        asked = rows.mapInArrow(_first_asker(shared), ASKED) if k == 0 else _with_answers(rows, answers, tasks).applyInArrow(_asker(shared, k), ASKED)
+        shared = spark.sparkContext.broadcast(model)  # totals and at most depth / HOT hot contexts
+        asked = reduce(DataFrame.unionAll, held).mapInArrow(_asker(shared, k), ASKED)
         found = materialize(asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_answerer(shared, k), ANSWERS), f"depth{k}")
-        answers.append(found)
-        release(rows.sparkSession)
+        release(spark)
         if k == 0:
             model.vocabulary = int(found.where("chunk IS NULL").agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0])
         else:
             model.hot[k] = _hot(found, model)
-    return answers
+        held = _taken(held, found, k, tasks)
+        release(spark)
+    return held
 
 
 def _hot(found: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -372,31 +403,21 @@ def _hot(found: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     return contexts[order], left[order]
 
 
-def _with_answers(rows: DataFrame, answers: list[DataFrame], tasks: int):
-    levels = [a.where("chunk IS NOT NULL").select("chunk", "bucket", "counts", F.lit(k).cast("long").alias("level")) for k, a in enumerate(answers)]
-    told = reduce(DataFrame.unionAll, levels).repartition(tasks, "chunk")
-    return rows.repartition(tasks, "chunk").groupBy("chunk").cogroup(told.groupBy("chunk"))
-
-
-def contexts_kept(rows: DataFrame, answers: list[DataFrame], model: Model) -> list[int]:
+def contexts_kept(rows: DataFrame, held: list[DataFrame], model: Model) -> list[int]:
     """Retained contexts per depth, counted by the hashes that chunks hold: for reports on how the tree grows."""
-    tasks = max(3 * rows.sparkSession.sparkContext.defaultParallelism, model.buckets)
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        by: list[dict] = [{} for _ in range(shared.value.depth + 1)]
-        for r in right.to_pylist():
-            by[r["level"]][r["bucket"]] = r["counts"]
-        for row in left.to_pylist():
-            chunk = Chunk(row, shared.value)
-            for k in range(shared.value.depth + 1):
-                chunk.hear(k, by[k])
-                if k and len(chunk.context):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            told, out = row["heard"], []
+            chunk = Chunk(row | {"heard": told[:1]}, shared.value)
+            for k in range(1, len(told)):
+                chunk.hear(k, told[k])
+                if len(chunk.context):
                     out += [(k, int(x)) for x in np.unique(chunk.context[chunk.retained]).view(np.int64)]
-        return _table("depth long, context long", out)
+            yield from _table("depth long, context long", out).to_batches()
 
-    got = {r["depth"]: r["n"] for r in _with_answers(rows, answers, tasks).applyInArrow(run, "depth long, context long").distinct().groupBy("depth").agg(F.count("*").alias("n")).collect()}
+    got = {r["depth"]: r["n"] for r in reduce(DataFrame.unionAll, held).mapInArrow(run, "depth long, context long").distinct().groupBy("depth").agg(F.count("*").alias("n")).collect()}
     return [got.get(k, 0) for k in range(1, model.depth + 1)]
 
 
@@ -423,14 +444,13 @@ def score(
     if not model.tokens:
         discard(rows)
         return docs.sparkSession.createDataFrame([], "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    answers = grow(rows, model)
+    held = grow(rows, model)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    levels = model.depth + 1
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _table(SCORES, [r for chunk in _heard(left, right, shared.value, levels) for r in chunk.scores()])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            yield from _table(SCORES, Chunk(row, shared.value).scores()).to_batches()
 
-    tasks = max(3 * docs.sparkSession.sparkContext.defaultParallelism, model.buckets)
-    scored = materialize(_with_answers(rows, answers, tasks).applyInArrow(run, SCORES), "scores")
-    discard(rows, *answers)
+    scored = materialize(reduce(DataFrame.unionAll, held).mapInArrow(run, SCORES), "scores")
+    discard(*held)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from tillwise.llm import suffix_tree as st
@@ -141,6 +142,30 @@ def test_chunks_are_sent_in_parts_and_never_to_ask(spark, monkeypatch):
     assert [label for label, _, path in written if path.exists()] == ["scores"]
 
 
+def test_a_task_never_holds_all_chunks_in_one_row_group(spark, monkeypatch):
+    """What bounds the memory: chunks are rows of some MB, and each table that holds them closes a page after a row and a row group at 4 MB."""
+    groups, write = {}, st.materialize
+
+    def spy(df, label):
+        out = write(df, label)
+        if label.startswith("chunks"):
+            files = [pq.ParquetFile(f).metadata for f in Path(out._scratch_path.removeprefix("file:")).glob("*.parquet")]
+            groups.setdefault(label, []).extend((m.row_group(i).num_rows, m.row_group(i).total_byte_size) for m in files for i in range(m.num_row_groups))
+        return out
+
+    monkeypatch.setattr(st, "materialize", spy)
+    monkeypatch.setattr(st, "PARTS", 1)
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(np.char.mod("%x", rng.integers(0, 1 << 18, st.CHUNK)))) for i in range(8)]  # each a chunk
+    rows, model = st.prepared(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 0, 10, 0, 2, st.HOT, "doc_id", "text", 1 << 30)
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 1)  # one bucket, and few tasks take its answers
+    st.grow(rows, model)
+    assert set(groups) == {"chunks", "chunks0"}
+    for got in groups.values():
+        assert sum(n for n, _ in got) == 8 and sum(size for _, size in got) > 8 << 20
+        assert all(n == 1 or size <= (4 << 20) + size / n for n, size in got)
+
+
 def test_whole_numbers_in_order():
     for key in (np.zeros(0, np.int64), np.array([5, 0, 5, 2]), np.random.default_rng(2).integers(0, 1 << 40, 1000), np.array([1 << 61, 7, 1 << 61, 0])):
         ordered, order = st.in_order(key)

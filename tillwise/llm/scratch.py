@@ -26,6 +26,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Parquet looks at sizes every 100 rows at first; these look at each row, and close a row group at 4 MB.
+_LARGE = {"parquet.page.size.row.check.min": "1", "parquet.block.size": str(4 * 2**20)}
+
+
+def large_rows(df: DataFrame) -> DataFrame:
+    """Mark ``df`` for ``materialize``: its rows are of some MB, and a task shall not hold all of them in one page and one row group, neither here nor where they are read."""
+    df._scratch_options = _LARGE
+    return df
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: what follows starts from these files, and the shuffles that led here are dropped."""
     spark = df.sparkSession
@@ -33,7 +43,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(**getattr(df, "_scratch_options", {})).option("compression", "zstd").parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)

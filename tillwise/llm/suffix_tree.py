@@ -32,7 +32,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import discard, materialize, release
+from .scratch import discard, large_rows, materialize, release
 from .text import encoded, id_remainder
 
 DEPTH = 3
@@ -366,7 +366,7 @@ def _taken(held: list[DataFrame], found: DataFrame, k: int, tasks: int) -> list[
     for i in range(PARTS):
         own = held[i] if k else held[0].where(part == i)
         pairs = (x.repartition(tasks, "chunk").groupBy("chunk") for x in (own, answers.where(part == i)))
-        out.append(materialize(next(pairs).cogroup(next(pairs)).applyInArrow(_taker(k), ROWS), f"chunks{k}"))
+        out.append(materialize(large_rows(next(pairs).cogroup(next(pairs)).applyInArrow(_taker(k), ROWS)), f"chunks{k}"))
         if k:
             discard(own)
     discard(found, *([] if k else held))
@@ -423,7 +423,7 @@ def contexts_kept(rows: DataFrame, held: list[DataFrame], model: Model) -> list[
 
 def prepared(docs: DataFrame, held_out: int, modulus: int, depth: int, least: int, hot: float, id_col: str, text_col: str, bucket: int = BUCKET) -> tuple[DataFrame, Model]:
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = materialize(chunks(texts.withColumn("train", id_remainder(F.col("doc_id"), modulus) != held_out)), "chunks")
+    rows = materialize(large_rows(chunks(texts.withColumn("train", id_remainder(F.col("doc_id"), modulus) != held_out))), "chunks")
     each = F.explode(F.arrays_zip("sizes", "train")).alias("d")
     sums = rows.select(each).agg(F.sum("d.sizes").alias("all"), F.sum(F.when(F.col("d.train"), F.col("d.sizes"))).alias("train")).first()
     tokens = int(sums["all"] or 0)

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -68,6 +69,64 @@ def test_remembered_pieces_equal_whole_texts(limit):
         assert got == WORDS.encode(t, add_special_tokens=False).ids, t
 
 
+class Counted:
+    """A tokenizer that counts what it is asked; ``normalizer`` and ``model`` are itself."""
+
+    def __init__(self):
+        self.asked = []
+        self.normalizer = self.model = self
+
+    def get_vocab(self):
+        return WORDS.get_vocab()
+
+    def encode(self, *args, **more):
+        self.asked.append("encode")
+        return WORDS.encode(*args, **more)
+
+    def normalize_str(self, text):
+        self.asked.append("normalize")
+        return WORDS.normalizer.normalize_str(text)
+
+    def tokenize(self, text):
+        self.asked.append(text)
+        return WORDS.model.tokenize(text)
+
+
+def test_texts_of_a_batch_are_normalised_together_and_each_piece_is_encoded_once():
+    memo = h.WordMemo(counted := Counted())
+    counted.asked.clear()
+    words = [f"é{chr(97 + i)}{chr(97 + k)}" for i in range(26) for k in range(26)]
+    texts = [f"{w.upper()}, the {v} 7" for w in words for v in words[:5]]
+    got = memo.ids([t.encode() for t in texts])
+    assert counted.asked.count("normalize") <= 2 and "encode" not in counted.asked
+    pieces = [x for x in counted.asked if x != "normalize"]
+    assert len(pieces) <= 2 * len(words) + 3  # in capitals and not, and three more
+    for i in range(0, len(texts), 97):
+        assert np.frombuffer(got[i], memo.type).tolist() == WORDS.encode(texts[i], add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("limit", [8, 700_000])
+def test_plain_and_strange_texts_in_one_batch(limit):
+    spaced = ["a\xa0", "\xa0", "zzé", "cé\xa0dé", "é", "\u2003 é", " \t\n", "", "7\u0301 a\u0301", "ÉÉ ÀB", "<|x|> <x| y", "\x1c\x85 é"]
+    texts = [f"{a} {b}" for a in (*STRANGE, *spaced, "plain wörds, 42!") for b in ("", "plain", *spaced)] + [None, "", None, "x"]
+    whole = [WORDS.encode(t or "", add_special_tokens=False).ids for t in texts]
+    memo = h.WordMemo(WORDS, limit)
+    for kind in (pa.string(), pa.large_string()):
+        rows = pa.array(["left out", *texts, "too"], kind).slice(1, len(texts))
+        for part in (rows, rows.slice(5), rows.slice(7, 20), rows.slice(0, 0)):
+            got = [np.frombuffer(x, memo.type).tolist() for x in memo.packed(part).to_pylist()]
+            assert got == whole[part.offset - 1 :][: len(part)]
+
+
+def test_slices_hold_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(h, "SLICE_BYTES", 100)
+    texts = ["x" * n for n in (0, 30, 30, 30, 30, 1000, 0, 1, 1)] + [None] * 3 + ["y" * 250, ""]
+    for rows in (texts, [], [None], ["z" * 500]):
+        parts = list(h._slices(pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["text"])))
+        assert [t for p in parts for t in p.column("text").to_pylist()] == rows
+        assert all(sum(len(t or "") for t in p.column("text").to_pylist()[:-1]) < 100 for p in parts)
+
+
 DECOMPOSED = [chr(c) for c in range(0x80, 0x110000) if chr(c).isalpha() and not WORDS.normalizer.normalize_str(chr(c)).isalpha()]
 
 

@@ -11,26 +11,27 @@ whole tasks, so a lost executor leaves no half block, and any store that Spark r
 
 from __future__ import annotations
 
+import itertools
 import os
-import re
-import struct
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import memory
 from .scratch import discard, fresh_path, materialize
-from .text import encoded
+from .text import SPACE
 
 MIN_WIDTH = 16
 BLOCK_TOKENS = 1 << 19
 STEP = 256
 END = 2
 MEMO = 1_200_000
+SLICE_BYTES = 4 * 2**20
 
 
 # ---------------------------------------------------------------- code
@@ -135,24 +136,26 @@ def unpack(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.ndar
 # ---------------------------------------------------------------- tokens
 
 
-class _Known(dict):
+class _Known:
     """What was encoded lately, in two generations: when the younger is full it becomes the older, and what is met again moves back."""
 
-    def __init__(self, encode: Callable[[bytes], bytes], limit: int):
-        super().__init__()
-        self.encode, self.limit, self.old = encode, limit // 2, {}
-
-    def __missing__(self, key: bytes) -> bytes:
-        found = self.old.get(key)
-        if found is None:
-            found = self.encode(key)
-        self[key] = found
-        return found
-
-    def turn(self) -> None:
-        if len(self) > self.limit:
-            self.old = dict(self)
-            self.clear()
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes | None]], limit: int):
+        self.encode, self.limit, self.young, self.old = encode, limit // 2, {}, {}
+
+    def of(self, keys: list[bytes]) -> list[bytes | None]:
+        """What belongs to each of the different ``keys``; the new ones are encoded together."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        found = list(map(self.young.get, keys))
+        missing = [k for k, x in zip(keys, found) if x is None and k not in self.young]
+        if not missing:
+            return found
+        new = [k for k in missing if k not in self.old]
+        self.young.update((k, self.old[k]) for k in missing if k in self.old)
+        for i in range(0, len(new), 1 << 15):
+            part = new[i : i + (1 << 15)]
+            self.young.update(zip(part, self.encode(part), strict=True))
+        return [self.young[k] if x is None else x for k, x in zip(keys, found)]
 
 
 def _byte_alphabet() -> list[str]:
@@ -161,11 +164,28 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if p else chr(256 + b - sum(prints[:b])) for b, p in enumerate(prints)]
 
 
-_BYTES = _byte_alphabet()
+#: For texts decoded as Latin-1, that is byte by byte; pieces hold no line end, which stands between them.
+_BYTES = {b: c for b, c in enumerate(_byte_alphabet()) if b != 10}
+
+_SPACE, _SINGLE = 0, 1
+
+
+def _kinds(kind: Callable[[int], int]) -> bytes:
+    return bytes(_SPACE if b in SPACE else kind(b) for b in range(256))
+
 
+#: Kinds of bytes: a piece is a run of one kind, a digit is a piece by itself, a word is all between white space.
+_PIECE_KINDS = _kinds(lambda b: _SINGLE if chr(b) in "0123456789" else 2 if b >= 128 or chr(b).isalpha() else 3)
+_WORD_KINDS = _kinds(lambda b: 2)
+_LOWER = bytes(range(256)).lower()
 
-class _Odd(Exception):
-    """A piece whose limits depend on what stands beside it."""
+
+def _values(array: pa.Array) -> list[bytes]:
+    """``to_pylist`` of large binaries without nulls, without a scalar for each."""
+    _, offsets, raw = array.buffers()
+    at = np.frombuffer(offsets, np.int64, len(array) + 1, 8 * array.offset).tolist()
+    raw = raw.to_pybytes() if raw else b""
+    return [raw[a:b] for a, b in zip(at, at[1:])]
 
 
 class WordMemo:
@@ -174,51 +194,88 @@ class WordMemo:
     A piece is a letter run, a digit or a run of ASCII punctuation: what the tokenizer itself encodes one by one.
     That holds while all characters above ASCII are letters, also once normalised, and there is no apostrophe (contractions) and no
     special token; a text with anything else is the sum of its words, since white space always separates.
-    """
 
-    _PIECES = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[^a-z0-9\x80-\xff \t\n\r\x0b\x0c]+")
+    Texts are cut all at once, and each different piece among them is looked up once.
+    """
 
     def __init__(self, tokenizer, limit: int = MEMO):
         self.tokenizer = tokenizer
         self.type = "<u2" if max(tokenizer.get_vocab().values(), default=0) < 1 << 16 else "<u4"
-        self.code = "H" if self.type == "<u2" else "I"
-        self.pieces, self.words = _Known(self._piece, limit), _Known(self._word, limit // 8)
-        self.direct = all(self._direct(p) == self._word(p) for p in ("the".encode(), "ungéheuerß".encode(), b"7", b"#~\x01"))
-
-    def _direct(self, piece: bytes) -> bytes:
-        """Of a piece, by the tokenizer's model alone: its normalizer and byte alphabet are applied here."""
-        if not piece.isascii():
-            piece = self.tokenizer.normalizer.normalize_str(piece.decode("utf-8", "surrogatepass")).encode("utf-8", "surrogatepass")
-        text = piece.decode("ascii") if piece.isalnum() else "".join(map(_BYTES.__getitem__, piece))
-        ids = [t.id for t in self.tokenizer.model.tokenize(text)]
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
-
-    def _word(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
-
-    def _piece(self, piece: bytes) -> bytes:
-        if not piece.isascii():
-            text = piece.decode("utf-8", "surrogatepass").lower()
-            # some letters are a letter and a mark once normalised, and a mark is cut off
-            if not text.isalpha() or not self.tokenizer.normalizer.normalize_str(text).isalpha():
-                raise _Odd
-        return self._direct(piece) if self.direct else self._word(piece)
-
-    def one(self, text: bytes) -> bytes:
-        """Packed ids (of ``type``) of a text."""
-        low = text.lower()
-        if b"'" not in low and b"<|" not in low:
-            try:
-                return b"".join(map(self.pieces.__getitem__, self._PIECES.findall(low)))
-            except _Odd:
-                pass
-        return b"".join(map(self.words.__getitem__, text.split()))
+        self.pieces, self.words = _Known(self._pieces, limit), _Known(self._words, limit // 8)
+        tried = ["the".encode(), "ungéheuerß".encode(), b"7", "Éa".encode(), b"#~\x01"]
+        self.direct = True
+        self.direct = self._pieces(tried) == self._words(tried)
+
+    def _pack(self, ids: list[list[int]]) -> list[bytes]:
+        flat = np.fromiter(itertools.chain.from_iterable(ids), self.type).tobytes()
+        ends = (np.cumsum([len(x) for x in ids], dtype=np.int64) * np.dtype(self.type).itemsize).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        return self._pack([self.tokenizer.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids for w in words])
+
+    def _direct(self, pieces: list[bytes]) -> list[bytes]:
+        """Of normalised pieces, by the tokenizer's model alone: its byte alphabet is applied here."""
+        texts = b"\n".join(pieces).decode("latin-1").translate(_BYTES).split("\n") if pieces else []
+        tokenize = self.tokenizer.model.tokenize
+        return self._pack([[t.id for t in tokenize(x)] for x in texts])
+
+    def _letters(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Normalised, those of letters only: no white space is in them, so all are one text for the normalizer."""
+        texts = {p: t for p in pieces if (t := p.decode("utf-8", "surrogatepass")).lower().isalpha()}
+        normalize = self.tokenizer.normalizer.normalize_str
+        found = normalize(" ".join(texts.values())).split(" ") if texts else []
+        if len(found) != len(texts):
+            found = [normalize(t) for t in texts.values()]
+        # some letters are a letter and a mark once normalised, and a mark is cut off
+        return {p: n.encode("utf-8", "surrogatepass") for p, n in zip(texts, found, strict=True) if n.isalpha()}
+
+    def _pieces(self, pieces: list[bytes]) -> list[bytes | None]:
+        """None for a piece whose limits depend on what stands beside it."""
+        letters = self._letters([p for p in pieces if not p.isascii()])
+        normal = [letters.get(p) if not p.isascii() else None if b"'" in p or b"<|" in p else p for p in pieces]
+        fit = [p for p, n in zip(pieces, normal) if n is not None]
+        found = iter(self._direct([n for n in normal if n is not None]) if self.direct else self._words(fit))
+        return [None if n is None else next(found) for n in normal]
+
+    def _sums(self, texts: pa.Array, known: _Known, kinds: bytes, fold: bytes | None) -> tuple[pa.Array, np.ndarray]:
+        """Packed ids of each text by what is known of its pieces, and the numbers of the texts with a piece of which nothing is."""
+        _, offsets, raw = texts.buffers()
+        at = np.frombuffer(offsets, np.int64, len(texts) + 1, 8 * texts.offset)
+        data = raw[at[0] : at[-1]].to_pybytes() if raw else b""
+        at = at - at[0]
+        kind = np.frombuffer(data.translate(kinds), np.uint8)
+        new = kind == _SINGLE
+        new[1:] |= kind[1:] != kind[:-1]
+        new[at[at < len(data)]] = True
+        runs = np.flatnonzero(new)
+        solid = kind[runs] != _SPACE
+        cuts = np.concatenate([[0], np.cumsum(np.diff(runs, append=len(data))[solid])])
+        first = np.concatenate([[0], np.cumsum(solid)])[np.searchsorted(runs, at)]
+        del kind, new, runs, solid
+        body = pa.py_buffer(data.translate(fold, SPACE))
+        coded = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), body]).dictionary_encode()
+        ids = pa.array(known.of(_values(coded.dictionary)), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset)[first]
+        odd = np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)) if ids.null_count else np.zeros(0, np.int64)
+        rows = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(ends), ids.buffers()[2]])
+        return rows, np.unique(np.searchsorted(first, odd, "right") - 1)
+
+    def packed(self, texts: pa.Array) -> pa.Array:
+        """Packed ids (of ``type``) of each text; a null text is empty."""
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        if not len(texts):
+            return texts
+        out, odd = self._sums(texts, self.pieces, _PIECE_KINDS, _LOWER)
+        if len(odd):
+            whole, _ = self._sums(texts.take(pa.array(odd)), self.words, _WORD_KINDS, None)
+            order = np.arange(len(texts))
+            order[odd] = len(texts) + np.arange(len(odd))
+            out = pa.concat_arrays([out, whole]).take(pa.array(order))
+        return out
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        self.pieces.turn()
-        self.words.turn()
-        return [self.one(t) for t in texts]
+        return _values(self.packed(pa.array(texts, pa.large_binary())))
 
 
 def word_tokenizer(name: str) -> WordMemo:
@@ -234,6 +291,15 @@ def word_tokenizer(name: str) -> WordMemo:
     return memory.keep(("words", name), make)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of ``SLICE_BYTES`` of text or so, of one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 def tokenize(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int | None = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n and ids of every row; a null text is empty, ``end`` closes each document.
 
@@ -242,14 +308,13 @@ def tokenize(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = word_tokenizer(tokenizer)
-        tail = b"" if end is None else np.array([end], memo.type).tobytes()
+        tail = pa.scalar(b"" if end is None else np.array([end], memo.type).tobytes(), pa.large_binary())
         width = np.dtype(memo.type).itemsize
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                packed = [x + tail for x in memo.ids([encoded(t) for t in part.column("text").to_pylist()])]
-                n = pa.array([len(p) // width for p in packed], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), n, pa.array(packed, pa.binary())], ["doc_id", "n", "ids"])
+            for part in _slices(b):
+                packed = pc.binary_join_element_wise(memo.packed(part.column("text")), tail, pa.scalar(b"", pa.large_binary())).cast(pa.binary())
+                n = pc.divide(pc.binary_length(packed).cast(pa.int64()), width)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), n, packed], ["doc_id", "n", "ids"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, "doc_id long, n long, ids binary")
